@@ -88,10 +88,11 @@ def packing_orders(t: Tables, p: ReportParams) -> DataFrame:
     """
     o = period_orders(t, p).select("id", *ORDER_COLS)
     lines = t["order_product"].select("order_id", "product_id", "quantity_needed", "quantity")
-    lines = J.with_product(lines, t["products"], cols=["packing_action"])
-    ol = J.order_lines(o, lines)
-    # Grouping keys are all determined by the order id; the join already
-    # hash-partitions by it, so this aggregate adds no shuffle.
+    # Orders first: only lines of the period reach the product join, which
+    # matters when products are too many to broadcast.
+    ol = J.with_product(J.order_lines(o, lines), t["products"], cols=["packing_action"])
+    # Grouping keys are all determined by the order id; a shuffled order
+    # join already hash-partitions by it, so the aggregate adds no shuffle.
     g = ol.groupBy("order_id", *ORDER_COLS).agg(
         A.qty_sum("quantity_needed").alias("total_quantity_needed"),
         A.qty_sum("quantity").alias("total_quantity"),
@@ -181,9 +182,9 @@ def missing_lines(t: Tables, p: ReportParams) -> DataFrame:
 def product_totals(t: Tables, p: ReportParams) -> DataFrame:
     """Per product: quantities ordered, billed, delivered and replaceable,
     each with its value at the line price; the mean line price; and one
-    line price as ``order_price`` (from the line with the lowest order id,
-    then lowest price).  Products need a known category.  Ordered by the
-    ordered quantity, descending.
+    line price as ``order_price`` (the lowest non-NULL price among the
+    product's lines of its lowest order id).  Products need a known
+    category.  Ordered by the ordered quantity, descending.
     """
     o = period_orders(t, p).filter(P.exclude_stores(*P.EXCLUDED_STORES)).select("id")
     lines = t["order_product"].select(
@@ -191,19 +192,33 @@ def product_totals(t: Tables, p: ReportParams) -> DataFrame:
         "quantity_delivered", "quantity_replaceable", "unit_price",
     )
     ol = lines.join(o, lines["order_id"] == o["id"], "left_semi")
-    aggs = [
-        F.min_by("unit_price", F.struct("order_id", "unit_price")).alias("order_price"),
-        A.exact_avg("unit_price").alias("avg_unit_price"),
-    ]
-    for qty, name in [
+    # Two hash-aggregate levels instead of a min_by over a struct (which
+    # would force a sort-based aggregate over all lines): per (product,
+    # order) keep the lowest price and additive partial sums, then per
+    # product take the price of the lowest order id.  The first level is
+    # keyed by the order id, so a shuffled order join needs no new exchange.
+    qtys = [
         ("quantity_needed", "ordered"),
         ("quantity", "billed"),
         ("quantity_delivered", "delivered"),
         ("quantity_replaceable", "replaceable"),
-    ]:
-        aggs.append(A.qty_sum(qty).alias(f"quantity_{name}"))
-        aggs.append(A.money_sum(A.line_value(qty, "unit_price")).alias(f"total_{name}"))
-    g = ol.groupBy("product_id").agg(*aggs)
+    ]
+    level1 = [
+        F.min("unit_price").alias("_min_price"),
+        F.sum("unit_price").alias("_price_sum"),
+        F.count("unit_price").alias("_price_n"),
+    ]
+    level2 = [
+        F.min_by("_min_price", "order_id").alias("order_price"),
+        F.try_divide(F.sum("_price_sum").cast("double"), F.sum("_price_n")).alias("avg_unit_price"),
+    ]
+    for qty, name in qtys:
+        level1.append(F.sum(qty).alias(f"_q_{name}"))
+        level1.append(F.sum(A.line_value(qty, "unit_price")).alias(f"_v_{name}"))
+        level2.append(A.qty_sum(f"_q_{name}").alias(f"quantity_{name}"))
+        level2.append(A.money_sum(f"_v_{name}").alias(f"total_{name}"))
+    per_order = ol.groupBy("product_id", "order_id").agg(*level1)
+    g = per_order.groupBy("product_id").agg(*level2)
     g = J.with_product(g, t["products"], cols=["name_heb", "category_id", "price", "low_cost_price"], prefix="p_")
     g = J.with_category(g, t["categories"], key="p_category_id")
     out = g.select(
