@@ -23,37 +23,66 @@ BROADCAST_MAX_ROWS = 200_000
 _checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True if ``df`` has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (a LIMIT job), so it is
     cheap even when the table is unexpectedly large.  The answer is
     remembered for the DataFrame object, so a bundle checks each table once.
     """
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     seen = _checked.setdefault(df, {})
     if max_rows not in seen:
         seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
     return seen[max_rows]
 
 
-def small_side(table: DataFrame, projected: DataFrame | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def small_side(table: DataFrame, projected: DataFrame | None = None, max_rows: int | None = None) -> DataFrame:
     """``broadcast(projected)`` if ``table`` is within the row bound, else a plain join side.
 
     Beyond the bound Catalyst and AQE pick the join strategy from sizes
     (sort-merge or shuffled hash, or a runtime broadcast when small enough).
     """
     side = table if projected is None else projected
-    return F.broadcast(side) if fits_broadcast(table, max_rows) else side
+    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return F.broadcast(side) if fits_broadcast(table, bound) else side
 
 
-def order_lines(orders: DataFrame, lines: DataFrame, how: str = "inner") -> DataFrame:
+# Filtered orders with at most this many rows are broadcast to the order-line
+# scan.  The broadcast side is the order id plus a few narrow columns, so the
+# bound keeps it within tens of MB.
+ORDERS_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def _orders_side(orders: DataFrame, projected: DataFrame, max_rows: int | None) -> DataFrame:
+    bound = ORDERS_BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return F.broadcast(projected) if fits_broadcast(orders, bound) else projected
+
+
+def order_lines(orders: DataFrame, lines: DataFrame, how: str = "inner", max_rows: int | None = None) -> DataFrame:
     """Orders joined to their lines on ``orders.id = order_product.order_id``.
 
     Keeps the line columns plus all order columns; orders without lines drop
-    out of an inner join.  ``orders.id`` is renamed to avoid a clash.
+    out of an inner join.  When the (already filtered) orders are within the
+    row bound they are broadcast, so the line table is never shuffled;
+    otherwise it is a shuffled join on the order id, where AQE splits skewed
+    order ids and a runtime bloom filter trims the line scan.
     """
     o = orders.withColumnRenamed("id", "o_id")
-    return lines.join(o, lines["order_id"] == o["o_id"], how).drop("o_id")
+    side = _orders_side(orders, o, max_rows)
+    return lines.join(side, lines["order_id"] == side["o_id"], how).drop("o_id")
+
+
+def lines_of(orders: DataFrame, lines: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Lines whose order is in ``orders`` (a semi join on the order id).
+
+    Equivalent to the inner join when ``orders.id`` is unique, but carries
+    no order columns, so the lines can be aggregated per order before any
+    order details are attached.  Broadcast/shuffle choice as ``order_lines``.
+    """
+    ids = orders.select(F.col("id").alias("_oid"))
+    side = _orders_side(orders, ids, max_rows)
+    return lines.join(side, lines["order_id"] == side["_oid"], "left_semi")
 
 
 def with_product(df: DataFrame, products: DataFrame, cols=None, how: str = "inner", prefix: str = "p_") -> DataFrame:

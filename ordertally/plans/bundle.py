@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ordertally.operators.joins import lines_of
 from ordertally.params import ReportParams
 from ordertally.plans.catalog import AGGREGATED, WEEKLY_REPORTS
 from ordertally.plans.reports import daily_product_totals, daily_status, period_orders
@@ -74,8 +75,7 @@ def shared_inputs(t: dict[str, DataFrame], p: ReportParams, mode: str = "persist
     if mode is None:
         return SharedInputs(Overlay(t))
     orders = period_orders(t, p)
-    lines = t["order_product"]
-    lines = lines.join(orders.select("id"), lines["order_id"] == orders["id"], "left_semi")
+    lines = lines_of(orders, t["order_product"])
     shared = Overlay(t)
     out = SharedInputs(shared)
     if mode == "table":

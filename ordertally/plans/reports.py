@@ -88,16 +88,16 @@ def packing_orders(t: Tables, p: ReportParams) -> DataFrame:
     """
     o = period_orders(t, p).select("id", *ORDER_COLS)
     lines = t["order_product"].select("order_id", "product_id", "quantity_needed", "quantity")
-    # Orders first: only lines of the period reach the product join, which
-    # matters when products are too many to broadcast.
-    ol = J.with_product(J.order_lines(o, lines), t["products"], cols=["packing_action"])
-    # Grouping keys are all determined by the order id; a shuffled order
-    # join already hash-partitions by it, so the aggregate adds no shuffle.
-    g = ol.groupBy("order_id", *ORDER_COLS).agg(
+    # Lines of the period's orders only, then products, then one row per
+    # order (partial aggregation before the shuffle, so an order with very
+    # many lines collapses map-side); order details are attached last.
+    pl = J.with_product(J.lines_of(o, lines), t["products"], cols=["packing_action"])
+    per_order = pl.groupBy("order_id").agg(
         A.qty_sum("quantity_needed").alias("total_quantity_needed"),
         A.qty_sum("quantity").alias("total_quantity"),
         A.conditional_sum(F.col("p_packing_action") == 1, "quantity").alias("type_1_quantity"),
     )
+    g = J.order_lines(o, per_order)
     g = J.with_store(g, t["store"])
     g = J.with_worker(g, t["workers"], role="packing", how="left", prefix="packer_")
     out = g.select(
@@ -125,10 +125,10 @@ def packing_by_worker(t: Tables, p: ReportParams) -> DataFrame:
     """
     o = period_orders(t, p).select("id", "packing_worker_id", "sum")
     lines = t["order_product"].select("order_id", "quantity")
-    ol = J.order_lines(o, lines)
-    per_order = ol.groupBy("order_id", "packing_worker_id", "sum").agg(
+    per_order = J.lines_of(o, lines).groupBy("order_id").agg(
         F.sum("quantity").alias("q"), F.count(F.lit(1)).alias("n_lines")
     )
+    per_order = J.order_lines(o, per_order)
     per_total = per_order.groupBy("packing_worker_id", "sum").agg(
         F.count("order_id").alias("n_orders"), F.sum("q").alias("q"), F.sum("n_lines").alias("n_lines")
     )
@@ -191,7 +191,7 @@ def product_totals(t: Tables, p: ReportParams) -> DataFrame:
         "order_id", "product_id", "quantity_needed", "quantity",
         "quantity_delivered", "quantity_replaceable", "unit_price",
     )
-    ol = lines.join(o, lines["order_id"] == o["id"], "left_semi")
+    ol = J.lines_of(o, lines)
     # Two hash-aggregate levels instead of a min_by over a struct (which
     # would force a sort-based aggregate over all lines): per (product,
     # order) keep the lowest price and additive partial sums, then per
@@ -346,7 +346,7 @@ def daily_detail(t: Tables, day) -> DataFrame:
         P.on_day(day) & P.window_in(0, 1) & P.status_in(*P.DAILY_STATUSES)
     ).select("id")
     lines = t["order_product"].select("order_id", "product_id", "quantity", "quantity_needed")
-    ol = lines.join(o, lines["order_id"] == o["id"], "left_semi")
+    ol = J.lines_of(o, lines)
     ol = J.with_product(ol, t["products"], cols=["name", "name_heb", "price", "product_list"], prefix="")
     return ol.select("product_id", "name", "name_heb", "price", "product_list", "quantity", "quantity_needed")
 

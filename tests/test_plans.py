@@ -33,13 +33,23 @@ def plan(spark, name, mode="simple"):
     return buf.getvalue()
 
 
-def test_packing_orders_aggregates_on_the_join_partitioning(at_scale):
+def test_bounded_period_never_shuffles_the_line_table(at_scale):
+    p = plan(at_scale, "packing_orders")
+    assert p.count("Exchange hashpartitioning") == 1  # only the per-order partial aggregates
+    assert "SortMergeJoin" not in p
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    assert "Exchange rangepartitioning" in p  # the report's ORDER BY
+
+
+def test_large_period_aggregates_on_the_join_partitioning(at_scale, monkeypatch):
+    from ordertally.operators import joins as J
+
+    monkeypatch.setattr(J, "ORDERS_BROADCAST_MAX_ROWS", 0)  # as if the period had too many orders
     p = plan(at_scale, "packing_orders")
-    assert p.count("Exchange hashpartitioning") == 2  # lines and orders, by order id
     assert "SortMergeJoin" in p
-    agg_pos = p.index("HashAggregate")
-    smj_pos = p.index("SortMergeJoin")
-    assert "Exchange hashpartitioning" not in p[agg_pos:smj_pos]  # no re-shuffle for the aggregate
+    # lines and order ids for the semi join, order details for the final join;
+    # the per-order aggregate reuses the semi join's partitioning.
+    assert p.count("Exchange hashpartitioning") == 3
     assert p.count("BroadcastHashJoin") == 3  # products, store, packer: size-checked dimensions
 
 
