@@ -25,6 +25,7 @@ from ordertally.functions import predicates as P
 from ordertally.operators import joins as J
 from ordertally.operators.sorting import sorted_desc
 from ordertally.params import ReportParams, _as_date
+from ordertally.sources.parquet import lines_between
 
 Tables = dict[str, DataFrame]
 
@@ -34,6 +35,12 @@ def period_orders(t: Tables, p: ReportParams) -> DataFrame:
     return t["orders"].filter(P.in_period(p) & P.status_not_in(*P.CANCELLED_STATUSES))
 
 
+def period_lines(t: Tables, p: ReportParams) -> DataFrame:
+    """Order lines that can belong to the period (all lines on the plain
+    layout; only the period's date partitions on the staged layout)."""
+    return lines_between(t["order_product"], p.start, p.end)
+
+
 # --------------------------------------------------------------------------
 # R1: new customers
 
@@ -87,7 +94,7 @@ def packing_orders(t: Tables, p: ReportParams) -> DataFrame:
     the packer is optional.  Ordered by delivery date, newest first.
     """
     o = period_orders(t, p).select("id", *ORDER_COLS)
-    lines = t["order_product"].select("order_id", "product_id", "quantity_needed", "quantity")
+    lines = period_lines(t, p).select("order_id", "product_id", "quantity_needed", "quantity")
     # Lines of the period's orders only, then products, then one row per
     # order (partial aggregation before the shuffle, so an order with very
     # many lines collapses map-side); order details are attached last.
@@ -124,7 +131,7 @@ def packing_by_worker(t: Tables, p: ReportParams) -> DataFrame:
     aggregate, so a worker holding most orders never lands in one task.
     """
     o = period_orders(t, p).select("id", "packing_worker_id", "sum")
-    lines = t["order_product"].select("order_id", "quantity")
+    lines = period_lines(t, p).select("order_id", "quantity")
     per_order = J.lines_of(o, lines).groupBy("order_id").agg(
         F.sum("quantity").alias("q"), F.count(F.lit(1)).alias("n_lines")
     )
@@ -154,7 +161,7 @@ def missing_lines(t: Tables, p: ReportParams) -> DataFrame:
     """
     o = period_orders(t, p).filter(P.exclude_stores(*P.MISSING_LINES_EXCLUDED_STORES))
     o = o.select("id", "store_id", "sum", "packing_worker_id")
-    lines = t["order_product"].filter(F.col("quantity_needed") > F.col("quantity"))
+    lines = period_lines(t, p).filter(F.col("quantity_needed") > F.col("quantity"))
     lines = lines.select("order_id", "product_id", "quantity_needed", "quantity")
     ol = J.order_lines(o, lines)
     ol = J.with_product(ol, t["products"], cols=["name", "name_heb", "name_weight"])
@@ -187,7 +194,7 @@ def product_totals(t: Tables, p: ReportParams) -> DataFrame:
     category.  Ordered by the ordered quantity, descending.
     """
     o = period_orders(t, p).filter(P.exclude_stores(*P.EXCLUDED_STORES)).select("id")
-    lines = t["order_product"].select(
+    lines = period_lines(t, p).select(
         "order_id", "product_id", "quantity_needed", "quantity",
         "quantity_delivered", "quantity_replaceable", "unit_price",
     )
@@ -345,7 +352,8 @@ def daily_detail(t: Tables, day) -> DataFrame:
     o = t["orders"].filter(
         P.on_day(day) & P.window_in(0, 1) & P.status_in(*P.DAILY_STATUSES)
     ).select("id")
-    lines = t["order_product"].select("order_id", "product_id", "quantity", "quantity_needed")
+    lines = lines_between(t["order_product"], day, day)
+    lines = lines.select("order_id", "product_id", "quantity", "quantity_needed")
     ol = J.lines_of(o, lines)
     ol = J.with_product(ol, t["products"], cols=["name", "name_heb", "price", "product_list"], prefix="")
     return ol.select("product_id", "name", "name_heb", "price", "product_list", "quantity", "quantity_needed")
@@ -376,7 +384,8 @@ def daily_product_totals(t: Tables, start, end=None, strict_status: bool = False
         .filter(F.col("report_date").between(F.lit(s), F.lit(e)))
         .select("id", "report_date")
     )
-    lines = t["order_product"].select("order_id", "product_id", "quantity_needed", "quantity")
+    lines = lines_between(t["order_product"], s, e + dt.timedelta(days=1))
+    lines = lines.select("order_id", "product_id", "quantity_needed", "quantity")
     ol = J.order_lines(o, lines)
     g = ol.groupBy("report_date", "product_id").agg(
         A.qty_sum("quantity_needed").alias("quantity_needed"),

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordertally import schema as S
+from ordertally.params import _as_date
 
 
 def table_path(root: str, name: str) -> str:
@@ -27,20 +29,39 @@ def load_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFra
     return {n: load_table(spark, root, n) for n in (names or S.SCHEMAS)}
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
+def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite", lines_by_date: bool = True) -> None:
     """Store report tables for repeated runs.
 
     ``orders`` is partitioned by ``delivery_date`` so the period filter of
-    every report prunes whole directories; ``order_product`` is written
-    sorted by ``order_id`` within files so row-group min/max statistics let
-    the scan skip groups for a selective order-id bloom filter.
+    every report prunes whole directories.  With ``lines_by_date`` the
+    ``order_product`` rows are stored under their order's delivery date too
+    (one shuffle join at staging time; lines without an order keep a NULL
+    date and are kept).  Reports then read only the period's lines instead
+    of the whole line table.  Otherwise lines are written sorted by
+    ``order_id`` so row-group statistics let a selective scan skip groups.
     """
     for name, df in tables.items():
-        w = df
         path = os.path.join(root, name)
         if name == "orders":
-            w.repartition("delivery_date").write.mode(mode).partitionBy("delivery_date").parquet(path)
+            df.repartition("delivery_date").write.mode(mode).partitionBy("delivery_date").parquet(path)
+        elif name == "order_product" and lines_by_date and "orders" in tables:
+            days = tables["orders"].select(F.col("id").alias("_oid"), "delivery_date")
+            dated = df.join(days, df["order_id"] == days["_oid"], "left").drop("_oid")
+            dated.repartition("delivery_date").write.mode(mode).partitionBy("delivery_date").parquet(path)
         elif name == "order_product":
-            w.sortWithinPartitions("order_id").write.mode(mode).parquet(path)
+            df.sortWithinPartitions("order_id").write.mode(mode).parquet(path)
         else:
-            w.write.mode(mode).parquet(path)
+            df.write.mode(mode).parquet(path)
+
+
+def lines_between(lines: DataFrame, lo, hi) -> DataFrame:
+    """Order lines, restricted to a delivery-date range when they carry one.
+
+    A no-op for the plain line table; on the date-partitioned layout of
+    ``write_tables`` it becomes a partition filter on the line scan.  The
+    reports still join lines to the filtered orders, so results are the
+    same either way.
+    """
+    if "delivery_date" in lines.columns:
+        return lines.filter(F.col("delivery_date").between(F.lit(_as_date(lo)), F.lit(_as_date(hi))))
+    return lines

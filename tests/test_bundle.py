@@ -74,13 +74,26 @@ def test_run_daily_partitions_by_date_and_marks_empty_days(spark):
     assert "report_date=2025-01-02" in written
 
 
-def test_parquet_catalog_roundtrip(spark):
+def test_staged_layout_gives_same_reports_and_prunes_lines(spark):
+    import contextlib
+    import io
+
     t = FX.fixture_tables(spark, SF)
     root = tempfile.mkdtemp(prefix="ordertally-tables-")
     PQ.write_tables({k: t[k] for k in FX.FIXTURE_SQL}, root)
     loaded = PQ.load_tables(spark, root)
-    assert _canon(R.zone_store_totals(loaded, E.PERIOD)) == _canon(R.zone_store_totals(t, E.PERIOD))
-    assert os.path.isdir(os.path.join(root, "orders", "delivery_date=1996-01-02"))
+    assert "delivery_date" in loaded["order_product"].columns
+    assert os.path.isdir(os.path.join(root, "order_product", "delivery_date=1996-01-02"))
+    for name, df in Bn.build_reports(loaded, E.PERIOD).items():
+        assert _canon(df) == _canon(Bn.build_reports(t, E.PERIOD, names=[name])[name]), name
+    assert _canon(R.daily_product_totals(loaded, FX.RANGE_START, FX.RANGE_END)) == _canon(
+        R.daily_product_totals(t, FX.RANGE_START, FX.RANGE_END)
+    )
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        R.packing_orders(loaded, E.PERIOD).explain(mode="formatted")
+    scans = [b for b in buf.getvalue().split("\n\n") if "order_product" in b and "Scan parquet" in b]
+    assert scans and all("PartitionFilters: [isnotnull(delivery_date" in b for b in scans)
 
 
 def test_jdbc_source_partitioned_read(spark):
