@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 SINGLE_FILE_MAX_ROWS = 5_000_000
 
 
+def _writer(df: DataFrame, fmt: str, mode: str):
+    w = df.write.mode(mode).format(fmt)
+    return w.option("header", "true") if fmt == "csv" else w
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False, mode: str = "overwrite") -> int:
     """Write one report and return its row count (observed during the write).
 
@@ -28,7 +33,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bo
     out = df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
     if single_file:
         out = out.coalesce(1)
-    out.write.mode(mode).format(fmt).save(path)
+    _writer(out, fmt, mode).save(path)
     return int(obs.get["n_rows"])
 
 
@@ -36,7 +41,9 @@ def write_by_date(df: DataFrame, path: str, date_col: str = "report_date", fmt:
     """Write a dated report partitioned by ``date_col``; returns the row count."""
     obs = Observation()
     out = df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
-    out.repartition(date_col).write.mode(mode).partitionBy(date_col).format(fmt).save(path)
+    # REBALANCE (not repartition): rows of one date go to few files, and AQE
+    # splits a date that holds a large share of the rows across tasks.
+    _writer(out.hint("rebalance", date_col), fmt, mode).partitionBy(date_col).save(path)
     return int(obs.get["n_rows"])
 
 

@@ -41,7 +41,7 @@ def refresh_days(spark: SparkSession, root: str, out: str, lo, hi, strict_status
     t = load_tables(spark, root)
     totals = daily_product_totals(t, lo, hi, strict_status)
     (
-        totals.repartition("report_date")
+        totals.hint("rebalance", "report_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("report_date")
