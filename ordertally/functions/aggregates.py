@@ -22,6 +22,11 @@ def line_value(qty, price) -> Column:
     return _col(qty) * _col(price)
 
 
+def missing_quantity(needed="quantity_needed", packed="quantity") -> Column:
+    """Units ordered but not packed: ``needed - packed``."""
+    return _col(needed) - _col(packed)
+
+
 def money_sum(c) -> Column:
     return F.sum(_col(c)).cast(MONEY_TOTAL)
 

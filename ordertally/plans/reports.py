@@ -172,7 +172,7 @@ def missing_lines(t: Tables, p: ReportParams) -> DataFrame:
         F.col("sum").alias("order_sum"),
         F.col("quantity_needed").alias("order_quantity"),
         F.col("quantity").alias("delivered_quantity"),
-        (F.col("quantity_needed") - F.col("quantity")).alias("missing_quantity"),
+        A.missing_quantity().alias("missing_quantity"),
         "product_id",
         F.col("p_name").alias("product_name"),
         F.col("p_name_heb").alias("name_heb"),
@@ -403,14 +403,59 @@ def daily_product_totals(t: Tables, start, end=None, strict_status: bool = False
     )
 
 
-# Display names of the source reports, for sinks that want them.
+# Display headers of the source reports (column -> header),
+# for sinks that want the original sheet headers.  Headers the source leaves
+# as raw expressions are not listed; those columns keep their own names.
 LABELS: dict[str, dict[str, str]] = {
-    "new_customers": {"first_order": "first order", "last_order": "last order", "number_of_orders": "number of orders"},
-    "packing_orders": {"order_sum": "order sum", "total_quantity_needed": "total_order_quantity_needed", "total_quantity": "total_order_quantity"},
-    "missing_lines": {"order_id": "order id", "order_sum": "order sum", "order_quantity": "order quantity", "delivered_quantity": "delivered quantity", "missing_quantity": "missing quantity"},
-    "product_totals": {"product_id": "product id", "product_name": "product name", "category_id": "category id", "category_name": "category name", "order_price": "order price", "avg_unit_price": "average product price"},
+    "new_customers": {
+        "store_name": "name",
+        "first_order": "first order",
+        "last_order": "last order",
+        "number_of_orders": "number of orders",
+    },
+    "packing_orders": {
+        "order_id": "id",
+        "order_sum": "order sum",
+        "total_quantity_needed": "total_order_quantity_needed",
+        "total_quantity": "total_order_quantity",
+        "store_name": "name",
+    },
+    "missing_lines": {
+        "store_name": "name",
+        "order_id": "order id",
+        "order_sum": "order sum",
+        "order_quantity": "order quantity",
+        "delivered_quantity": "delivered quantity",
+        "missing_quantity": "missing quantity",
+    },
+    "product_totals": {
+        "product_id": "product id",
+        "product_name": "product name",
+        "category_id": "category id",
+        "category_name": "category name",
+        "low_cost_price": "990 price",
+        "order_price": "order price",
+        "avg_unit_price": "average product price",
+        "quantity_ordered": "order quantity by client",
+        "quantity_billed": "order quantity billed",
+        "quantity_delivered": "order delivered",
+        "quantity_replaceable": "order replaceable",
+    },
     "customer_orders": {"first_order": "first order", "last_order": "last order"},
+    "recent_customers": {"first_order": "first order", "last_order": "last order"},
+    "coupon_orders": {"order_id": "id"},
+    "daily_product_totals": {
+        "product_id": "מזהה מוצר",
+        "name": "שם מוצר",
+        "description": "תיאור מוצר",
+        "quantity_needed": "הכמות הנדרשת",
+        "total_supplied": "Total_Supplied",
+        "unit_price": "מחיר ליחידה",
+        "total_cost": "עלות כוללת",
+        "product_list": "רשימת מוצרים",
+    },
 }
+LABELS["second_month_orders"] = LABELS["yearly_orders"] = LABELS["customer_orders"]
 
 
 def daily_status(t: Tables, start, end=None, strict_status: bool = False) -> DataFrame:

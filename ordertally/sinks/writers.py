@@ -64,3 +64,24 @@ def with_empty_dates(df: DataFrame, spine: DataFrame, date_col: str = "report_da
 def report_path(root: str, name: str, label: str | None = None) -> str:
     """``<root>/<name>`` or ``<root>/<name>_<label>`` (label e.g. ``<start>_to_<end>``)."""
     return os.path.join(root, f"{name}_{label}" if label else name)
+
+
+def with_labels(df: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Rename columns to display headers (only those present in ``df``)."""
+    return df.withColumnsRenamed({k: v for k, v in labels.items() if k in df.columns})
+
+
+def write_bundle(results: dict[str, DataFrame], root: str, fmt: str = "parquet", label: str | None = None,
+                 single_file=(), display_labels: dict[str, dict[str, str]] | None = None) -> dict[str, int]:
+    """Write each result to ``root/<name>[_<label>]``; returns row counts by name.
+
+    Reports named in ``single_file`` are written as one ordered file (use for
+    bounded, aggregated results only).  ``display_labels`` renames columns
+    to display headers on the way out.
+    """
+    counts = {}
+    for name, df in results.items():
+        if display_labels and name in display_labels:
+            df = with_labels(df, display_labels[name])
+        counts[name] = write_report(df, report_path(root, name, label), fmt, single_file=name in single_file)
+    return counts
