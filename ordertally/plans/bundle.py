@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ordertally.operators.joins import lines_of
+from ordertally.schema import assert_unique_keys
 from ordertally.params import ReportParams
 from ordertally.plans.catalog import AGGREGATED, WEEKLY_REPORTS
 from ordertally.plans.reports import daily_product_totals, daily_status, period_orders
@@ -111,13 +112,19 @@ def run_all(
     names=None,
     share: str | None = "persist",
     periods=None,
+    validate: bool = False,
 ) -> DataFrame:
     """Run the weekly reports; write each to ``out/<name>_<start>_to_<end>``.
 
     Without ``out`` every report still runs completely (``noop`` sink), which
-    is what benchmarks measure.  Returns the manifest DataFrame
-    ``(report, status, n_rows, seconds, error)``.
+    is what benchmarks measure.  A failing report is recorded and the rest
+    continue; with ``out`` its folder gets a one-row ``error`` table instead
+    of results.  ``validate=True`` first checks that the ids the reports
+    rely on are unique (one grouped job per table).  Returns the manifest
+    DataFrame ``(report, status, n_rows, seconds, error)``.
     """
+    if validate:
+        assert_unique_keys(t)
     if periods:
         share = None  # the shared slice is only valid for one period
     inputs = shared_inputs(t, p, share)
@@ -133,7 +140,11 @@ def run_all(
                     n = write_report(df, report_path(out, name, p.label), fmt, single_file=name in AGGREGATED)
                 rows.append((name, "ok", n, time.perf_counter() - t0, None))
             except Exception as e:  # isolate: record and continue
-                rows.append((name, "failed", None, time.perf_counter() - t0, f"{type(e).__name__}: {e}"[:2000]))
+                message = f"{type(e).__name__}: {e}"[:2000]
+                rows.append((name, "failed", None, time.perf_counter() - t0, message))
+                if out is not None:
+                    err = spark.createDataFrame([(message,)], "error string")
+                    write_report(err, report_path(out, name, p.label), fmt, single_file=True)
     finally:
         inputs.release()
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)

@@ -49,8 +49,11 @@ def test_run_all_writes_every_report_and_manifest(spark):
 def test_run_all_isolates_a_failing_report(spark):
     base = FX.fixture_tables(spark, SF)
     t = Bn.Overlay(base, workers=base["workers"].drop("first_name"))  # breaks worker-name reports
-    manifest = {r["report"]: r for r in Bn.run_all(spark, t, E.PERIOD, share=None).collect()}
+    out = tempfile.mkdtemp(prefix="ordertally-fail-")
+    manifest = {r["report"]: r for r in Bn.run_all(spark, t, E.PERIOD, out=out, share=None).collect()}
     failed = {n for n, r in manifest.items() if r["status"] == "failed"}
+    err = spark.read.parquet(W.report_path(out, "packing_orders", E.PERIOD.label))
+    assert err.columns == ["error"] and err.count() == 1
     assert failed == {"packing_orders", "packing_by_worker", "missing_lines"}
     assert manifest["customer_orders"]["status"] == "ok"
     assert "first_name" in manifest["packing_orders"]["error"]
