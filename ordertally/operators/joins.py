@@ -54,26 +54,45 @@ def small_side(table: DataFrame, projected: DataFrame | None = None, max_rows: i
 ORDERS_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def _orders_side(orders: DataFrame, projected: DataFrame, max_rows: int | None) -> DataFrame:
-    bound = ORDERS_BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return F.broadcast(projected) if fits_broadcast(orders, bound) else projected
+def orders_fit(orders: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether a set of orders is small enough to broadcast to the line scan.
+
+    A caller that filters the same orders several ways can check the
+    widest set once and pass the answer on (every subset fits too).
+    """
+    return fits_broadcast(orders, ORDERS_BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+
+
+def _orders_side(orders: DataFrame, projected: DataFrame, max_rows: int | None, broadcast: bool | None) -> DataFrame:
+    if broadcast is None:
+        broadcast = orders_fit(orders, max_rows)
+    return F.broadcast(projected) if broadcast else projected
 
 
-def order_lines(orders: DataFrame, lines: DataFrame, how: str = "inner", max_rows: int | None = None) -> DataFrame:
+def order_lines(
+    orders: DataFrame,
+    lines: DataFrame,
+    how: str = "inner",
+    max_rows: int | None = None,
+    broadcast: bool | None = None,
+) -> DataFrame:
     """Orders joined to their lines on ``orders.id = order_product.order_id``.
 
     Keeps the line columns plus all order columns; orders without lines drop
     out of an inner join.  When the (already filtered) orders are within the
     row bound they are broadcast, so the line table is never shuffled;
     otherwise it is a shuffled join on the order id, where AQE splits skewed
-    order ids and a runtime bloom filter trims the line scan.
+    order ids and a runtime bloom filter trims the line scan.  ``broadcast``
+    passes a size decision already made by the caller (see ``orders_fit``).
     """
     o = orders.withColumnRenamed("id", "o_id")
-    side = _orders_side(orders, o, max_rows)
+    side = _orders_side(orders, o, max_rows, broadcast)
     return lines.join(side, lines["order_id"] == side["o_id"], how).drop("o_id")
 
 
-def lines_of(orders: DataFrame, lines: DataFrame, max_rows: int | None = None) -> DataFrame:
+def lines_of(
+    orders: DataFrame, lines: DataFrame, max_rows: int | None = None, broadcast: bool | None = None
+) -> DataFrame:
     """Lines whose order is in ``orders`` (a semi join on the order id).
 
     Equivalent to the inner join when ``orders.id`` is unique, but carries
@@ -81,7 +100,7 @@ def lines_of(orders: DataFrame, lines: DataFrame, max_rows: int | None = None) -
     order details are attached.  Broadcast/shuffle choice as ``order_lines``.
     """
     ids = orders.select(F.col("id").alias("_oid"))
-    side = _orders_side(orders, ids, max_rows)
+    side = _orders_side(orders, ids, max_rows, broadcast)
     return lines.join(side, lines["order_id"] == side["_oid"], "left_semi")
 
 

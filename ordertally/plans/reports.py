@@ -16,6 +16,7 @@ Column names are snake_case; ``LABELS`` maps them back to display names.
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,24 @@ def period_orders(t: Tables, p: ReportParams) -> DataFrame:
     return t["orders"].filter(P.in_period(p) & P.status_not_in(*P.CANCELLED_STATUSES))
 
 
+_period_fit: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
+def period_fits(t: Tables, lo, hi) -> bool:
+    """Whether all orders delivered in ``[lo, hi]`` fit the broadcast bound.
+
+    Checked once per orders table and date range; every report's filtered
+    subset of those orders then fits as well.
+    """
+    orders = t["orders"]
+    seen = _period_fit.setdefault(orders, {})
+    key = (_as_date(lo), _as_date(hi), J.ORDERS_BROADCAST_MAX_ROWS)
+    if key not in seen:
+        in_range = orders.filter(F.col("delivery_date").between(F.lit(key[0]), F.lit(key[1])))
+        seen[key] = J.orders_fit(in_range)
+    return seen[key]
+
+
 def period_lines(t: Tables, p: ReportParams) -> DataFrame:
     """Order lines that can belong to the period (all lines on the plain
     layout; only the period's date partitions on the staged layout)."""
@@ -98,13 +117,14 @@ def packing_orders(t: Tables, p: ReportParams) -> DataFrame:
     # Lines of the period's orders only, then products, then one row per
     # order (partial aggregation before the shuffle, so an order with very
     # many lines collapses map-side); order details are attached last.
-    pl = J.with_product(J.lines_of(o, lines), t["products"], cols=["packing_action"])
+    bc = period_fits(t, p.start, p.end)
+    pl = J.with_product(J.lines_of(o, lines, broadcast=bc), t["products"], cols=["packing_action"])
     per_order = pl.groupBy("order_id").agg(
         A.qty_sum("quantity_needed").alias("total_quantity_needed"),
         A.qty_sum("quantity").alias("total_quantity"),
         A.conditional_sum(F.col("p_packing_action") == 1, "quantity").alias("type_1_quantity"),
     )
-    g = J.order_lines(o, per_order)
+    g = J.order_lines(o, per_order, broadcast=bc)
     g = J.with_store(g, t["store"])
     g = J.with_worker(g, t["workers"], role="packing", how="left", prefix="packer_")
     out = g.select(
@@ -132,10 +152,11 @@ def packing_by_worker(t: Tables, p: ReportParams) -> DataFrame:
     """
     o = period_orders(t, p).select("id", "packing_worker_id", "sum")
     lines = period_lines(t, p).select("order_id", "quantity")
-    per_order = J.lines_of(o, lines).groupBy("order_id").agg(
+    bc = period_fits(t, p.start, p.end)
+    per_order = J.lines_of(o, lines, broadcast=bc).groupBy("order_id").agg(
         F.sum("quantity").alias("q"), F.count(F.lit(1)).alias("n_lines")
     )
-    per_order = J.order_lines(o, per_order)
+    per_order = J.order_lines(o, per_order, broadcast=bc)
     per_total = per_order.groupBy("packing_worker_id", "sum").agg(
         F.count("order_id").alias("n_orders"), F.sum("q").alias("q"), F.sum("n_lines").alias("n_lines")
     )
@@ -163,7 +184,7 @@ def missing_lines(t: Tables, p: ReportParams) -> DataFrame:
     o = o.select("id", "store_id", "sum", "packing_worker_id")
     lines = period_lines(t, p).filter(F.col("quantity_needed") > F.col("quantity"))
     lines = lines.select("order_id", "product_id", "quantity_needed", "quantity")
-    ol = J.order_lines(o, lines)
+    ol = J.order_lines(o, lines, broadcast=period_fits(t, p.start, p.end))
     ol = J.with_product(ol, t["products"], cols=["name", "name_heb", "name_weight"])
     ol = J.with_store(ol, t["store"])
     ol = J.with_worker(ol, t["workers"], role="packing", how="inner")
@@ -198,7 +219,7 @@ def product_totals(t: Tables, p: ReportParams) -> DataFrame:
         "order_id", "product_id", "quantity_needed", "quantity",
         "quantity_delivered", "quantity_replaceable", "unit_price",
     )
-    ol = J.lines_of(o, lines)
+    ol = J.lines_of(o, lines, broadcast=period_fits(t, p.start, p.end))
     # Two hash-aggregate levels instead of a min_by over a struct (which
     # would force a sort-based aggregate over all lines): per (product,
     # order) keep the lowest price and additive partial sums, then per
@@ -354,7 +375,7 @@ def daily_detail(t: Tables, day) -> DataFrame:
     ).select("id")
     lines = lines_between(t["order_product"], day, day)
     lines = lines.select("order_id", "product_id", "quantity", "quantity_needed")
-    ol = J.lines_of(o, lines)
+    ol = J.lines_of(o, lines, broadcast=period_fits(t, day, day))
     ol = J.with_product(ol, t["products"], cols=["name", "name_heb", "price", "product_list"], prefix="")
     return ol.select("product_id", "name", "name_heb", "price", "product_list", "quantity", "quantity_needed")
 
@@ -386,7 +407,7 @@ def daily_product_totals(t: Tables, start, end=None, strict_status: bool = False
     )
     lines = lines_between(t["order_product"], s, e + dt.timedelta(days=1))
     lines = lines.select("order_id", "product_id", "quantity_needed", "quantity")
-    ol = J.order_lines(o, lines)
+    ol = J.order_lines(o, lines, broadcast=period_fits(t, s, e + dt.timedelta(days=1)))
     g = ol.groupBy("report_date", "product_id").agg(
         A.qty_sum("quantity_needed").alias("quantity_needed"),
         A.qty_sum("quantity").alias("total_supplied"),
