@@ -3,12 +3,15 @@
     python -m ordertally weekly --tables DIR --out DIR [--start D --end D --cutoff D | --today D]
     python -m ordertally daily  --tables DIR --out DIR --range 111125-131125 [--strict-status]
     python -m ordertally detail --tables DIR --out DIR [--day D | --today D]
+    python -m ordertally stage  --jdbc-url URL ... --out DIR [--jdbc-split N]
 
 Tables come from a Parquet folder (``--tables``), a database
-(``--jdbc-url`` with ``--jdbc-user``/``--jdbc-password``/``--jdbc-driver``)
-or the generated test data (``--fixtures SF_DIR``).  Without ``--start``
-the weekly run covers the last 7 days (8 calendar days up to today); the
-detail run defaults to yesterday.  Exit status 1 if any report failed,
+(``--jdbc-url`` with ``--jdbc-user``/``--jdbc-password``/``--jdbc-driver``,
+``--jdbc-split N`` for parallel reads of the large tables) or the generated
+test data (``--fixtures SF_DIR``).  ``stage`` copies the tables into the
+date-partitioned Parquet layout that later runs read with ``--tables``.
+Without ``--start`` the weekly run covers the last 7 days (8 calendar days
+up to today); the detail run defaults to yesterday.  Exit status 1 if any report failed,
 2 for unusable parameters.
 """
 
@@ -38,7 +41,8 @@ def _tables(spark: SparkSession, a: argparse.Namespace):
         from ordertally.sources.jdbc import load_jdbc_tables
 
         props = {k: v for k, v in {"user": a.jdbc_user, "password": a.jdbc_password, "driver": a.jdbc_driver}.items() if v}
-        return load_jdbc_tables(spark, a.jdbc_url, props, require_credentials=bool(a.jdbc_user))
+        split = {"split": a.jdbc_split} if a.jdbc_split else {}
+        return load_jdbc_tables(spark, a.jdbc_url, props, require_credentials=bool(a.jdbc_user), **split)
     if a.tables:
         from ordertally.sources.parquet import load_tables
 
@@ -60,7 +64,7 @@ def parse_range_text(spark: SparkSession, text: str) -> tuple[dt.date, dt.date]:
 def build_parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="ordertally", description=__doc__.split("\n\n")[0])
     sub = ap.add_subparsers(dest="command", required=True)
-    for name in ("weekly", "daily", "detail"):
+    for name in ("weekly", "daily", "detail", "stage"):
         sp = sub.add_parser(name)
         sp.add_argument("--tables")
         sp.add_argument("--fixtures")
@@ -68,6 +72,7 @@ def build_parser() -> argparse.ArgumentParser:
         sp.add_argument("--jdbc-user")
         sp.add_argument("--jdbc-password")
         sp.add_argument("--jdbc-driver")
+        sp.add_argument("--jdbc-split", type=int, help="read orders and order lines in N parallel id ranges")
         sp.add_argument("--out", required=True)
         sp.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
         sp.add_argument("--today")
@@ -79,7 +84,7 @@ def build_parser() -> argparse.ArgumentParser:
         elif name == "daily":
             sp.add_argument("--range", required=True, dest="range_text")
             sp.add_argument("--strict-status", action="store_true")
-        else:
+        elif name == "detail":
             sp.add_argument("--day")
     return ap
 
@@ -103,6 +108,13 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
                 print(f"{r['report']:22s} {r['status']:7s} {r['n_rows'] if r['n_rows'] is not None else '-':>8} "
                       f"{r['seconds']:.1f}s {r['error'] or ''}")
             return 1 if any(r["status"] != "ok" for r in rows) else 0
+        if a.command == "stage":
+            from ordertally.schema import SCHEMAS
+            from ordertally.sources.parquet import write_tables
+
+            write_tables({n: t[n] for n in SCHEMAS}, a.out)
+            print(f"staged {len(SCHEMAS)} tables under {a.out} (orders and lines by delivery date)")
+            return 0
         if a.command == "daily":
             start, end = parse_range_text(spark, a.range_text)
             status = bundle.run_daily(spark, t, start, end, out=a.out, fmt=a.format, strict_status=a.strict_status)

@@ -46,6 +46,42 @@ def load_jdbc(
     return spark.read.format("jdbc").options(**opts).load()
 
 
+def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str, props: dict | None = None):
+    """``(min, max)`` of ``column`` computed by the database (one row back).
+
+    ``column`` and ``table`` are used as written in the SQL text; quote them
+    in the database's syntax if they need quoting.
+    """
+    q = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    row = spark.read.format("jdbc").options(url=url, query=q, **(props or {})).load().first()
+    return row[0], row[1]
+
+
+def load_jdbc_partitioned(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    num_partitions: int,
+    props: dict | None = None,
+    require_credentials: bool = True,
+) -> DataFrame:
+    """Read ``table`` in ``num_partitions`` parallel ranges of ``column``,
+    with the range bounds taken from the database itself.  An empty table
+    is read as a single task."""
+    lo, hi = jdbc_bounds(spark, url, table, column, props)
+    if lo is None:
+        return load_jdbc(spark, url, table, props, require_credentials=require_credentials)
+    return load_jdbc(
+        spark, url, table, props, partition_column=column, lower=lo, upper=hi,
+        num_partitions=num_partitions, require_credentials=require_credentials,
+    )
+
+
+# Columns the large tables are split on for parallel reads.
+SPLIT_COLUMNS = {"orders": "id", "order_product": "order_id"}
+
+
 def load_jdbc_tables(
     spark: SparkSession,
     url: str,
@@ -57,10 +93,16 @@ def load_jdbc_tables(
     """All report tables from one database, conformed to the declared schemas.
 
     ``ranges`` maps a table name to ``dict(partition_column=..., lower=...,
-    upper=..., num_partitions=...)`` for the large tables.
+    upper=..., num_partitions=...)``; with ``split=n`` the large tables
+    (orders, order lines) are instead read in ``n`` ranges of their id
+    columns, bounds taken from the database.
     """
+    split = ranges.pop("split", None)
     out = {}
     for name in names or S.SCHEMAS:
-        df = load_jdbc(spark, url, name, props, require_credentials=require_credentials, **ranges.get(name, {}))
+        if split and name in SPLIT_COLUMNS and name not in ranges:
+            df = load_jdbc_partitioned(spark, url, name, SPLIT_COLUMNS[name], split, props, require_credentials)
+        else:
+            df = load_jdbc(spark, url, name, props, require_credentials=require_credentials, **ranges.get(name, {}))
         out[name] = S.conform(df, S.SCHEMAS[name])
     return out

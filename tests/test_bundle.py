@@ -113,6 +113,19 @@ def test_jdbc_source_partitioned_read(spark):
     assert pushed.count() == orders.filter("status = 3").count()
 
 
+def test_jdbc_tables_split_reads_and_report(spark):
+    url = "jdbc:derby:memory:ordertally2;create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    t = FX.fixture_tables(spark, SF)
+    for name in FX.FIXTURE_SQL:  # upper-case columns, as the database folds unquoted names
+        upper = t[name].toDF(*[c.upper() for c in t[name].columns])
+        upper.write.format("jdbc").options(url=url, dbtable=name, **driver).mode("overwrite").save()
+    db = JD.load_jdbc_tables(spark, url, driver, require_credentials=False, split=4)
+    assert db["orders"].rdd.getNumPartitions() == 4
+    assert db["order_product"].rdd.getNumPartitions() == 4
+    assert _canon(R.packing_orders(db, E.PERIOD)) == _canon(R.packing_orders(t, E.PERIOD))
+
+
 def test_jdbc_refuses_missing_settings(spark):
     import pytest
 

@@ -38,3 +38,12 @@ def test_daily_range_text_and_detail(spark):
 def test_daily_rejects_bad_ranges(spark, text):
     out = tempfile.mkdtemp(prefix="ordertally-cli-")
     assert cli.main(["daily", "--fixtures", SF, "--out", out, "--range", text], spark=spark) == 2
+
+
+def test_stage_then_run_from_staged_tables(spark):
+    staged = tempfile.mkdtemp(prefix="ordertally-staged-")
+    assert cli.main(["stage", "--fixtures", SF, "--out", staged], spark=spark) == 0
+    out = tempfile.mkdtemp(prefix="ordertally-cli-")
+    assert cli.main(["weekly", "--tables", staged, "--out", out, "--start", "1996-01-01",
+                     "--end", "1996-06-30"], spark=spark) == 0
+    assert len(os.listdir(out)) == 12
