@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertally.params import _as_date
+from ordertally.params import as_date
 
 # Fixed input formats of a report day, tried in this order:
 # day-month-two-digit-year undelimited, with dots, with slashes.
@@ -65,7 +65,7 @@ def date_spine(spark: SparkSession, start, end, name: str = "report_date") -> Da
     The row count is the number of days, so this frame has a known small
     size bound.  A reversed range raises ``ValueError``.
     """
-    s, e = _as_date(start), _as_date(end)
+    s, e = as_date(start), as_date(end)
     if e < s:
         raise ValueError(f"range ends before it starts: {s} > {e}")
     return spark.range(1).select(

@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ordertally.params import ReportParams, _as_date
+from ordertally.params import ReportParams, as_date
 
 # Fixed status and store codes used by the reports.
 CANCELLED_STATUSES = (4, 11)
@@ -22,7 +22,7 @@ ZONE_EXCLUDED_STORES = (84,)
 
 
 def _day(value) -> Column:
-    return F.lit(_as_date(value))
+    return F.lit(as_date(value))
 
 
 def in_period(p: ReportParams, c: str = "delivery_date") -> Column:
@@ -63,7 +63,7 @@ def daily_rows(day, strict_status: bool = False) -> Column:
     AND binds tighter, so the status test applies to the window-0 branch only.
     ``strict_status=True`` applies it to both branches.
     """
-    d = _as_date(day)
+    d = as_date(day)
     evening = on_day(d) & (F.col("delivery_window") == 1)
     morning = on_day(d + dt.timedelta(days=1)) & (F.col("delivery_window") == 0)
     ok = status_in(*DAILY_STATUSES)

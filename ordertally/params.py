@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 
-def _as_date(value) -> dt.date:
+def as_date(value) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()
     if isinstance(value, dt.date):
@@ -28,9 +28,9 @@ class ReportParams:
     cutoff: dt.date | None = None
 
     def __post_init__(self):
-        object.__setattr__(self, "start", _as_date(self.start))
-        object.__setattr__(self, "end", _as_date(self.end))
-        object.__setattr__(self, "cutoff", _as_date(self.cutoff) if self.cutoff else self.start)
+        object.__setattr__(self, "start", as_date(self.start))
+        object.__setattr__(self, "end", as_date(self.end))
+        object.__setattr__(self, "cutoff", as_date(self.cutoff) if self.cutoff else self.start)
         if self.end < self.start:
             raise ValueError(f"period ends before it starts: {self.start} > {self.end}")
 
@@ -45,20 +45,20 @@ def last_n_days(today=None, n: int = 7) -> ReportParams:
 
     With the inclusive period filter this spans ``n + 1`` calendar days.
     """
-    today = _as_date(today) if today is not None else dt.date.today()
+    today = as_date(today) if today is not None else dt.date.today()
     start = today - dt.timedelta(days=n)
     return ReportParams(start, today, start)
 
 
 def yesterday(today=None) -> dt.date:
     """The day before ``today`` (default report day of the daily detail)."""
-    today = _as_date(today) if today is not None else dt.date.today()
+    today = as_date(today) if today is not None else dt.date.today()
     return today - dt.timedelta(days=1)
 
 
 def day_list(start, end) -> list[dt.date]:
     """Every day from ``start`` to ``end`` inclusive, for labels and paths only."""
-    start, end = _as_date(start), _as_date(end)
+    start, end = as_date(start), as_date(end)
     if end < start:
         raise ValueError(f"range ends before it starts: {start} > {end}")
     return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]

@@ -25,7 +25,7 @@ from ordertally.functions import aggregates as A
 from ordertally.functions import predicates as P
 from ordertally.operators import joins as J
 from ordertally.operators.sorting import sorted_desc
-from ordertally.params import ReportParams, _as_date
+from ordertally.params import ReportParams, as_date
 from ordertally.sources.parquet import lines_between
 
 Tables = dict[str, DataFrame]
@@ -47,7 +47,7 @@ def period_fits(t: Tables, lo, hi) -> bool:
     """
     orders = t["orders"]
     seen = _period_fit.setdefault(orders, {})
-    key = (_as_date(lo), _as_date(hi), J.ORDERS_BROADCAST_MAX_ROWS)
+    key = (as_date(lo), as_date(hi), J.ORDERS_BROADCAST_MAX_ROWS)
     if key not in seen:
         in_range = orders.filter(F.col("delivery_date").between(F.lit(key[0]), F.lit(key[1])))
         seen[key] = J.orders_fit(in_range)
@@ -320,7 +320,7 @@ def coupon_orders(t: Tables, p: ReportParams) -> DataFrame:
 # R11, R12: delivery zones
 
 
-def _zone_groups(t: Tables, p: ReportParams, excluded_stores=()) -> DataFrame:
+def _zone_groups(t: Tables, p: ReportParams, excluded_stores=(), collation: str | None = None) -> DataFrame:
     """Orders counted and summed per (store, city) first, then given zones.
 
     The zone join multiplies a pre-aggregated row exactly as it would
@@ -332,26 +332,30 @@ def _zone_groups(t: Tables, p: ReportParams, excluded_stores=()) -> DataFrame:
     pre = o.groupBy("store_id", "city").agg(
         F.count("id").alias("n"), F.sum("sum").alias("s"), F.min("id").alias("min_id")
     )
-    z = J.with_zone(pre, t["cities"], t["city_groups"]).filter(P.non_empty("zone"))
+    z = J.with_zone(pre, t["cities"], t["city_groups"], collation=collation).filter(P.non_empty("zone"))
     return J.with_store(z, t["store"])
 
 
-def zone_store_totals(t: Tables, p: ReportParams) -> DataFrame:
+def zone_store_totals(t: Tables, p: ReportParams, collation: str | None = None) -> DataFrame:
     """Order count and total per store and delivery zone (zones with an
-    empty description are left out; all stores included).  Unordered."""
-    z = _zone_groups(t, p)
+    empty description are left out; all stores included).  Unordered.
+
+    ``collation`` (e.g. ``"UTF8_LCASE"``) matches city names with that
+    collation, for sources whose database compares text case-insensitively.
+    """
+    z = _zone_groups(t, p, collation=collation)
     return z.groupBy("store_id", "store_name", "zone").agg(
         F.sum("n").cast("bigint").alias("order_count"), A.money_sum("s").alias("sum_total")
     )
 
 
-def zone_totals(t: Tables, p: ReportParams) -> DataFrame:
+def zone_totals(t: Tables, p: ReportParams, collation: str | None = None) -> DataFrame:
     """Order count and total per delivery zone, store 84 left out.
 
     ``store_id`` and ``store_name`` are those of the zone's lowest-id order
     (the source shows an arbitrary one).  Ordered by order count, descending.
     """
-    z = _zone_groups(t, p, excluded_stores=P.ZONE_EXCLUDED_STORES)
+    z = _zone_groups(t, p, excluded_stores=P.ZONE_EXCLUDED_STORES, collation=collation)
     g = z.groupBy("zone").agg(
         F.sum("n").cast("bigint").alias("order_count"),
         A.money_sum("s").alias("sum_total"),
@@ -394,8 +398,8 @@ def daily_product_totals(t: Tables, start, end=None, strict_status: bool = False
     day, so the whole range is one grouped pass keyed by ``report_date``.
     The redundant delivery-date range is what reaches the Parquet scan.
     """
-    s = _as_date(start)
-    e = _as_date(end) if end is not None else s
+    s = as_date(start)
+    e = as_date(end) if end is not None else s
     if e < s:
         raise ValueError(f"range ends before it starts: {s} > {e}")
     o = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertally import schema as S
-from ordertally.params import _as_date
+from ordertally.params import as_date
 
 
 def table_path(root: str, name: str) -> str:
@@ -64,5 +64,5 @@ def lines_between(lines: DataFrame, lo, hi) -> DataFrame:
     same either way.
     """
     if "delivery_date" in lines.columns:
-        return lines.filter(F.col("delivery_date").between(F.lit(_as_date(lo)), F.lit(_as_date(hi))))
+        return lines.filter(F.col("delivery_date").between(F.lit(as_date(lo)), F.lit(as_date(hi))))
     return lines

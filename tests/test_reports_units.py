@@ -252,6 +252,28 @@ def test_daily_range_equals_union_of_single_days(spark):
     assert whole == sorted(parts)
 
 
+def test_one_pass_days_equal_the_literal_per_day_condition(spark):
+    from pyspark.sql import functions as F
+
+    from ordertally.functions import predicates as Pr
+
+    t = _daily_tables(spark)
+    for strict in (False, True):
+        for d in ["2025-01-01", "2025-01-02", "2025-01-03"]:
+            o = t["orders"].filter(Pr.daily_rows(d, strict_status=strict)).select("id")
+            lines = t["order_product"].join(o, F.col("order_id") == F.col("id"))
+            literal = lines.groupBy("product_id").agg(F.sum("quantity").alias("total_supplied"))
+            one_pass = R.daily_product_totals(t, d, strict_status=strict).select("product_id", "total_supplied")
+            assert sorted(literal.collect()) == sorted(one_pass.collect()), (d, strict)
+
+
+def test_zone_collation_option(spark):
+    t = make_tables(spark, orders=[{"id": 1, "city": "tlv"}])
+    assert R.zone_store_totals(t, P).count() == 0
+    got = R.zone_store_totals(t, P, collation="UTF8_LCASE").collect()
+    assert [(r["zone"], r["order_count"]) for r in got] == [("center", 1)]
+
+
 def test_daily_status_marks_empty_days(spark):
     t = _daily_tables(spark)
     got = collect(R.daily_status(t, "2025-01-01", "2025-01-03"))
