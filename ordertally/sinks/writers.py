@@ -54,6 +54,7 @@ def with_empty_dates(df: DataFrame, spine: DataFrame, date_col: str = "report_da
     joined against the per-day counts, never against the rows themselves.
     """
     counts = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n"))
+    # Both sides hold at most one row per day; AQE picks the join at run time.
     return spine.join(counts, date_col, "left").select(
         date_col,
         F.coalesce(F.col("n"), F.lit(0)).alias("n_rows"),
