@@ -83,3 +83,38 @@ def test_zone_report_prunes_columns_and_aggregates_before_dimensions(at_scale):
     assert "o_custkey" in orders_schema  # city is derived from the customer key in the fixture
     simple = plan(at_scale, "zone_store_totals")
     assert simple.count("Exchange hashpartitioning") == 2  # (store, city) pre-aggregate, then (store, zone)
+
+
+def _outside_cached(plan_text: str) -> str:
+    """The plan lines that are not part of a cached relation's own plan."""
+    kept, cached_at = [], None
+    for line in plan_text.splitlines():
+        depth = len(line) - len(line.lstrip(" :|+-"))
+        if cached_at is not None and depth > cached_at:
+            continue
+        cached_at = depth if "InMemoryRelation" in line else None
+        kept.append(line)
+    return "\n".join(kept)
+
+
+def test_shared_bundle_slice_is_co_partitioned(at_scale, monkeypatch):
+    from ordertally.operators import joins as J
+    from ordertally.plans import bundle as Bn
+    from ordertally.plans import reports as R
+    from ordertally.sources.fixtures import fixture_tables
+
+    monkeypatch.setattr(J, "ORDERS_BROADCAST_MAX_ROWS", 0)  # long period: shuffled order joins
+    shared = Bn.shared_inputs(fixture_tables(at_scale, SF), E.PERIOD, "persist")
+    try:
+        df = R.packing_orders(shared.tables, E.PERIOD)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        p = _outside_cached(buf.getvalue())
+        assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+        # the cached slice is already partitioned by order id: only the
+        # report's ORDER BY exchanges data
+        assert "Exchange hashpartitioning" not in p
+        assert "Exchange rangepartitioning" in p
+    finally:
+        shared.release()
