@@ -35,9 +35,14 @@ def qty_sum(c) -> Column:
     return F.sum(_col(c)).cast("bigint")
 
 
+def when_else(cond: Column, c, otherwise=0) -> Column:
+    """``CASE WHEN cond THEN c ELSE otherwise END``."""
+    return F.when(cond, _col(c)).otherwise(F.lit(otherwise))
+
+
 def conditional_sum(cond: Column, c, otherwise=0) -> Column:
     """``SUM(CASE WHEN cond THEN c ELSE otherwise END)``; never NULL for non-empty groups."""
-    return qty_sum(F.when(cond, _col(c)).otherwise(F.lit(otherwise)))
+    return qty_sum(when_else(cond, c, otherwise))
 
 
 def exact_avg(c) -> Column:

@@ -34,3 +34,12 @@ AGGREGATED = {
     "second_month_orders", "yearly_orders", "recent_customers",
     "zone_store_totals", "zone_totals",
 }
+
+# Every report by name.  The weekly ones take ``(t, params)``; the daily ones
+# take ``(t, day)`` and ``(t, start, end, strict_status=False)``.
+REPORTS: dict[str, Callable[..., DataFrame]] = {
+    **WEEKLY_REPORTS,
+    "daily_detail": R.daily_detail,
+    "daily_product_totals": R.daily_product_totals,
+    "daily_status": R.daily_status,
+}
