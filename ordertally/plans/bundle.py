@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from ordertally.operators.joins import lines_of
 from ordertally.schema import assert_unique_keys
 from ordertally.params import ReportParams
-from ordertally.plans.catalog import AGGREGATED, WEEKLY_REPORTS
+from ordertally.plans.catalog import BOUNDED_RESULTS, WEEKLY_REPORTS
 from ordertally.plans.reports import daily_product_totals, daily_status, period_orders
 from ordertally.session import scratch_path
 from ordertally.sources.parquet import lines_between
@@ -141,7 +141,7 @@ def run_all(
                 if out is None:
                     n = write_report(df, "unused", fmt="noop")
                 else:
-                    n = write_report(df, report_path(out, name, p.label), fmt, single_file=name in AGGREGATED)
+                    n = write_report(df, report_path(out, name, p.label), fmt, single_file=name in BOUNDED_RESULTS)
                 rows.append((name, "ok", n, time.perf_counter() - t0, None))
             except Exception as e:  # isolate: record and continue
                 message = f"{type(e).__name__}: {e}"[:2000]

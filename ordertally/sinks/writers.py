@@ -13,9 +13,6 @@ import os
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-# Reports whose ordered output is small enough to be written as one file.
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
 
 def _writer(df: DataFrame, fmt: str, mode: str):
     w = df.write.mode(mode).format(fmt)
