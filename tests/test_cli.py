@@ -41,9 +41,22 @@ def test_daily_rejects_bad_ranges(spark, text):
 
 
 def test_stage_then_run_from_staged_tables(spark):
+    from conftest import D, make_tables
+
+    t = make_tables(
+        spark,
+        orders=[{"id": i, "delivery_date": D(f"2025-01-0{1 + i % 5}"), "customer_id": i % 3} for i in range(1, 30)],
+        lines=[{"order_id": i, "product_id": 1 + i % 2} for i in range(1, 30)],
+    )
+    plain = tempfile.mkdtemp(prefix="ordertally-plain-")
+    for name, df in t.items():
+        df.write.parquet(os.path.join(plain, name))
     staged = tempfile.mkdtemp(prefix="ordertally-staged-")
-    assert cli.main(["stage", "--fixtures", SF, "--out", staged], spark=spark) == 0
+    assert cli.main(["stage", "--tables", plain, "--out", staged], spark=spark) == 0
+    assert os.path.isdir(os.path.join(staged, "order_product", "delivery_date=2025-01-02"))
     out = tempfile.mkdtemp(prefix="ordertally-cli-")
-    assert cli.main(["weekly", "--tables", staged, "--out", out, "--start", "1996-01-01",
-                     "--end", "1996-06-30"], spark=spark) == 0
+    assert cli.main(["weekly", "--tables", staged, "--out", out, "--start", "2025-01-01",
+                     "--end", "2025-01-07"], spark=spark) == 0
     assert len(os.listdir(out)) == 12
+    got = spark.read.parquet(os.path.join(out, "packing_orders_2025-01-01_to_2025-01-07"))
+    assert got.count() == 29
