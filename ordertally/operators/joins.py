@@ -1,11 +1,14 @@
 """Joins of the report tables.
 
-Fact-to-fact (orders to order lines) is left to Catalyst and AQE: a
-shuffled join on the order id, with a runtime bloom filter on the lines scan
-when the orders side is filtered, and a broadcast chosen at runtime only when
-the filtered orders turn out small.  Dimension joins broadcast a side only
-after a bounded row-count check; above the bound they fall back to a normal
-(shuffled) join.
+Fact to fact (orders to order lines): when the filtered orders pass a
+bounded row-count check, their ids (and a few narrow columns) are broadcast
+into the line scan, so the line table is never shuffled; otherwise it is a
+shuffled join on the order id, where AQE splits a skewed id and the runtime
+bloom filter built from the filtered orders trims the line scan.
+
+Dimensions are broadcast only after the same kind of bounded check; above
+the bound they fall back to a normal join whose strategy Catalyst and AQE
+choose from sizes.
 """
 
 from __future__ import annotations

@@ -124,7 +124,10 @@ def packing_orders(t: Tables, p: ReportParams) -> DataFrame:
         A.qty_sum("quantity").alias("total_quantity"),
         A.conditional_sum(F.col("p_packing_action") == 1, "quantity").alias("type_1_quantity"),
     )
-    g = J.order_lines(o, per_order, broadcast=bc)
+    # Order details (wide rows) are joined to the per-order sums without a
+    # forced broadcast: both sides are period-sized, and AQE broadcasts at
+    # run time only if the measured size is small.
+    g = J.order_lines(o, per_order, broadcast=False)
     g = J.with_store(g, t["store"])
     g = J.with_worker(g, t["workers"], role="packing", how="left", prefix="packer_")
     out = g.select(
@@ -156,7 +159,7 @@ def packing_by_worker(t: Tables, p: ReportParams) -> DataFrame:
     per_order = J.lines_of(o, lines, broadcast=bc).groupBy("order_id").agg(
         F.sum("quantity").alias("q"), F.count(F.lit(1)).alias("n_lines")
     )
-    per_order = J.order_lines(o, per_order, broadcast=bc)
+    per_order = J.order_lines(o, per_order, broadcast=False)
     per_total = per_order.groupBy("packing_worker_id", "sum").agg(
         F.count("order_id").alias("n_orders"), F.sum("q").alias("q"), F.sum("n_lines").alias("n_lines")
     )

@@ -35,8 +35,14 @@ def plan(spark, name, mode="simple"):
 
 def test_bounded_period_never_shuffles_the_line_table(at_scale):
     p = plan(at_scale, "packing_orders")
-    assert p.count("Exchange hashpartitioning") == 1  # only the per-order partial aggregates
-    assert "SortMergeJoin" not in p
+    lines = p.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2
+    # one exchange carries per-order partial sums (not lines), the other the
+    # period's orders for the detail join
+    below = [lines[i + 1] for i in exchanges]
+    assert sum("partial_sum" in b for b in below) == 1
+    assert any("hashpartitioning(o_id" in lines[i] for i in exchanges)
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
     assert "Exchange rangepartitioning" in p  # the report's ORDER BY
 
