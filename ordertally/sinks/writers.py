@@ -20,7 +20,8 @@ def _writer(df: DataFrame, fmt: str, mode: str):
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False, mode: str = "overwrite") -> int:
-    """Write one report and return its row count (observed during the write).
+    """Write one report and return its row count (observed during the write,
+    in its result stage, so task retries do not count rows twice).
 
     ``single_file=True`` keeps the report's order in one file; use it only
     for aggregated results of bounded size.  Otherwise the range-partitioned
@@ -37,10 +38,12 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bo
 def write_by_date(df: DataFrame, path: str, date_col: str = "report_date", fmt: str = "parquet", mode: str = "overwrite") -> int:
     """Write a dated report partitioned by ``date_col``; returns the row count."""
     obs = Observation()
-    out = df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
     # REBALANCE (not repartition): rows of one date go to few files, and AQE
-    # splits a date that holds a large share of the rows across tasks.
-    _writer(out.hint("rebalance", date_col), fmt, mode).partitionBy(date_col).save(path)
+    # splits a date that holds a large share of the rows across tasks.  The
+    # count is observed above the exchange, in the write's result stage,
+    # where Spark applies each task's metrics once even after retries.
+    out = df.hint("rebalance", date_col).observe(obs, F.count(F.lit(1)).alias("n_rows"))
+    _writer(out, fmt, mode).partitionBy(date_col).save(path)
     return int(obs.get["n_rows"])
 
 
