@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sorted_desc(df: DataFrame, by, ties=(), hidden: bool = False) -> DataFrame:
+def sorted_desc(df: DataFrame, by, ties=(), hidden: bool = False, spread_ties: bool = False) -> DataFrame:
     """Order by ``by`` descending (NULLs last), then ``ties`` ascending.
 
     ``hidden=True`` drops the ``by`` column afterwards, for an order by an
     aggregate that is not part of the output.  This is a global sort (a
-    range-partitioned shuffle), meant for aggregated, report-sized results.
+    range-partitioned shuffle).  When the sort keys may repeat on a large
+    share of the rows (no unique key among them), ``spread_ties=True`` adds
+    a seeded random last key: rows equal on every real key may then fall in
+    different range partitions instead of one task, while the order on the
+    real keys is unchanged (the order among exact ties is unspecified anyway).
     """
     keys = [F.desc_nulls_last(by)] + [F.asc_nulls_last(t) for t in ties]
+    if spread_ties:
+        keys.append(F.rand(seed=17))
     out = df.orderBy(*keys)
     return out.drop(by) if hidden else out

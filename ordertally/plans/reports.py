@@ -203,7 +203,9 @@ def missing_lines(t: Tables, p: ReportParams) -> DataFrame:
         F.col("p_name_weight").alias("name_weight"),
         "packing_worker_id", "first_name", "last_name",
     )
-    return sorted_desc(out, "order_id", ties=["product_id"])
+    # Lines carry no unique key: a hot order repeating a product would
+    # otherwise put all those equal sort keys into one range partition.
+    return sorted_desc(out, "order_id", ties=["product_id"], spread_ties=True)
 
 
 # --------------------------------------------------------------------------

@@ -124,3 +124,25 @@ def test_shared_bundle_slice_is_co_partitioned(at_scale, monkeypatch):
         assert "Exchange rangepartitioning" in p
     finally:
         shared.release()
+
+
+def test_spread_ties_balances_a_repeated_sort_key(spark):
+    from pyspark.sql import functions as F
+
+    from ordertally.operators.sorting import sorted_desc
+
+    df = spark.range(0, 60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("order_id"), F.lit(1).alias("product_id")
+    )
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the 8 range partitions visible
+    try:
+        plain = sorted_desc(df, "order_id", ties=["product_id"]).rdd.glom().map(len).collect()
+        spread = sorted_desc(df, "order_id", ties=["product_id"], spread_ties=True)
+        sizes = spread.rdd.glom().map(len).collect()
+        keys = [r["order_id"] for r in spread.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert max(plain) >= 20_000  # the hot key lands in one partition
+    assert max(sizes) < 15_000  # spread over several
+    assert keys == sorted(keys, reverse=True)
