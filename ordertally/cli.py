@@ -37,17 +37,23 @@ def _tables(spark: SparkSession, a: argparse.Namespace):
         from ordertally.sources.fixtures import fixture_tables
 
         return fixture_tables(spark, a.fixtures)
-    if a.jdbc_url:
-        from ordertally.sources.jdbc import load_jdbc_tables
+    if a.jdbc_url or a.db_env:
+        import os
 
-        props = {k: v for k, v in {"user": a.jdbc_user, "password": a.jdbc_password, "driver": a.jdbc_driver}.items() if v}
+        from ordertally.sources.jdbc import SETTING_NAMES, load_jdbc_tables, settings_to_jdbc
+
+        if a.db_env:
+            url, props = settings_to_jdbc({k: os.environ.get(k) for k in SETTING_NAMES})
+        else:
+            url, props = a.jdbc_url, {"user": a.jdbc_user, "password": a.jdbc_password}
+        props = {k: v for k, v in {**props, "driver": a.jdbc_driver}.items() if v}
         split = {"split": a.jdbc_split} if a.jdbc_split else {}
-        return load_jdbc_tables(spark, a.jdbc_url, props, require_credentials=bool(a.jdbc_user), **split)
+        return load_jdbc_tables(spark, url, props, require_credentials=bool(props.get("user")), **split)
     if a.tables:
         from ordertally.sources.parquet import load_tables
 
         return load_tables(spark, a.tables)
-    raise SystemExit("give --tables, --jdbc-url or --fixtures")
+    raise SystemExit("give --tables, --jdbc-url, --db-env or --fixtures")
 
 
 def parse_range_text(spark: SparkSession, text: str) -> tuple[dt.date, dt.date]:
@@ -73,6 +79,8 @@ def build_parser() -> argparse.ArgumentParser:
         sp.add_argument("--jdbc-password")
         sp.add_argument("--jdbc-driver")
         sp.add_argument("--jdbc-split", type=int, help="read orders and order lines in N parallel id ranges")
+        sp.add_argument("--db-env", action="store_true",
+                        help="connect with DB_DRIVER, DB_USERNAME, DB_PASSWORD, DB_HOST, DB_PORT, DB_NAME")
         sp.add_argument("--out", required=True)
         sp.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
         sp.add_argument("--today")
@@ -94,8 +102,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     spark = spark or SparkSession.builder.appName("ordertally").getOrCreate()
     apply_recommended(spark)
     ensure_checkpoint_dir(spark)
-    t = _tables(spark, a)
     try:
+        t = _tables(spark, a)
         if a.command == "weekly":
             if a.start:
                 p = ReportParams(a.start, a.end or a.start, a.cutoff or None)

@@ -8,6 +8,32 @@ from ordertally import schema as S
 
 REQUIRED = ("url", "user", "password")
 
+# Connection-setting names of the source programs, and their
+# database driver names mapped to JDBC URL schemes.
+SETTING_NAMES = ("DB_DRIVER", "DB_USERNAME", "DB_PASSWORD", "DB_HOST", "DB_PORT", "DB_NAME")
+JDBC_SCHEMES = {
+    "mysql": "jdbc:mysql://{host}:{port}/{database}",
+    "postgresql": "jdbc:postgresql://{host}:{port}/{database}",
+    "mssql": "jdbc:sqlserver://{host}:{port};databaseName={database}",
+}
+
+
+def settings_to_jdbc(settings: dict) -> tuple[str, dict]:
+    """``(url, props)`` from the source programs' six connection settings.
+
+    ``DB_DRIVER`` may carry a client suffix (``mysql+pymysql``); only the
+    database part picks the URL form.  Raises ``ValueError`` naming every
+    missing setting, as the source programs refuse to start without them.
+    """
+    missing = [k for k in SETTING_NAMES if not settings.get(k)]
+    if missing:
+        raise ValueError(f"missing connection settings: {', '.join(missing)}")
+    kind = settings["DB_DRIVER"].split("+", 1)[0].lower()
+    if kind not in JDBC_SCHEMES:
+        raise ValueError(f"unsupported database {settings['DB_DRIVER']!r}; use one of {sorted(JDBC_SCHEMES)}")
+    url = JDBC_SCHEMES[kind].format(host=settings["DB_HOST"], port=settings["DB_PORT"], database=settings["DB_NAME"])
+    return url, {"user": settings["DB_USERNAME"], "password": settings["DB_PASSWORD"]}
+
 
 def load_jdbc(
     spark: SparkSession,

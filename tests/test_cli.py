@@ -60,3 +60,25 @@ def test_stage_then_run_from_staged_tables(spark):
     assert len(os.listdir(out)) == 12
     got = spark.read.parquet(os.path.join(out, "packing_orders_2025-01-01_to_2025-01-07"))
     assert got.count() == 29
+
+
+def test_connection_settings_map_to_jdbc_urls():
+    from ordertally.sources.jdbc import settings_to_jdbc
+
+    base = {"DB_USERNAME": "u", "DB_PASSWORD": "p", "DB_HOST": "db", "DB_PORT": "5432", "DB_NAME": "shop"}
+    url, props = settings_to_jdbc({**base, "DB_DRIVER": "postgresql+psycopg2"})
+    assert url == "jdbc:postgresql://db:5432/shop" and props == {"user": "u", "password": "p"}
+    assert settings_to_jdbc({**base, "DB_DRIVER": "mysql+pymysql"})[0] == "jdbc:mysql://db:5432/shop"
+    assert settings_to_jdbc({**base, "DB_DRIVER": "mssql+pyodbc"})[0] == "jdbc:sqlserver://db:5432;databaseName=shop"
+    with pytest.raises(ValueError, match="DB_PASSWORD, DB_HOST"):
+        settings_to_jdbc({"DB_DRIVER": "mysql", "DB_USERNAME": "u", "DB_PORT": "1", "DB_NAME": "x"})
+    with pytest.raises(ValueError, match="unsupported"):
+        settings_to_jdbc({**base, "DB_DRIVER": "oracle"})
+
+
+def test_cli_refuses_to_start_without_settings(spark, monkeypatch, capsys):
+    for k in ("DB_DRIVER", "DB_USERNAME", "DB_PASSWORD", "DB_HOST", "DB_PORT", "DB_NAME"):
+        monkeypatch.delenv(k, raising=False)
+    out = tempfile.mkdtemp(prefix="ordertally-cli-")
+    assert cli.main(["weekly", "--db-env", "--out", out], spark=spark) == 2
+    assert "missing connection settings" in capsys.readouterr().err
