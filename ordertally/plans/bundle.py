@@ -26,9 +26,8 @@ from ordertally.operators.joins import lines_of
 from ordertally.schema import assert_unique_keys
 from ordertally.params import ReportParams
 from ordertally.plans.catalog import BOUNDED_RESULTS, WEEKLY_REPORTS
-from ordertally.plans.reports import daily_product_totals, daily_status, period_orders
+from ordertally.plans.reports import daily_product_totals, daily_status, period_fits, period_lines, period_orders
 from ordertally.session import scratch_path
-from ordertally.sources.parquet import lines_between
 from ordertally.sinks.writers import report_path, with_empty_dates, write_by_date, write_report
 
 MANIFEST_SCHEMA = T.StructType(
@@ -78,7 +77,7 @@ def shared_inputs(t: dict[str, DataFrame], p: ReportParams, mode: str = "persist
     if mode is None:
         return SharedInputs(Overlay(t))
     orders = period_orders(t, p)
-    lines = lines_of(orders, lines_between(t["order_product"], p.start, p.end))
+    lines = lines_of(orders, period_lines(t, p), broadcast=period_fits(t, p.start, p.end))
     shared = Overlay(t)
     out = SharedInputs(shared)
     if mode == "table":

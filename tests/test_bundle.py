@@ -124,6 +124,15 @@ def test_jdbc_tables_split_reads_and_report(spark):
     assert db["orders"].rdd.getNumPartitions() == 4
     assert db["order_product"].rdd.getNumPartitions() == 4
     assert _canon(R.packing_orders(db, E.PERIOD)) == _canon(R.packing_orders(t, E.PERIOD))
+    # the period's order-id range reaches the database as a WHERE clause on the line table
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        R.packing_orders(db, E.PERIOD).explain(mode="formatted")
+    text = buf.getvalue()
+    assert '("ORDER_ID" >= ' in text and '("ORDER_ID" <= ' in text
 
 
 def test_jdbc_refuses_missing_settings(spark):
