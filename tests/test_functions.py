@@ -117,3 +117,38 @@ def test_sum_types_are_fixed(spark):
     )
     out = df.agg(A.money_sum("m").alias("s"), A.qty_sum("a").alias("q"), A.exact_avg("m").alias("v"))
     assert [f.dataType.simpleString() for f in out.schema] == ["decimal(18,2)", "bigint", "double"]
+
+
+def _python_day(text):
+    """Python's own parse of the three accepted formats, tried in order."""
+    import datetime as dt
+
+    for fmt in ("%d%m%y", "%d.%m.%y", "%d/%m/%y"):
+        try:
+            return dt.datetime.strptime(text.strip(), fmt).date()
+        except ValueError:
+            continue
+    return None
+
+
+def test_parse_day_agrees_with_python_on_random_dates(spark):
+    import datetime as dt
+    import random
+
+    rng = random.Random(7)
+    texts = []
+    for _ in range(600):
+        d = dt.date(1950, 1, 1) + dt.timedelta(days=rng.randrange(0, 100 * 365))
+        yy = f"{d.year % 100:02d}"
+        day = f"{d.day:02d}" if rng.random() < 0.5 else str(d.day)
+        month = f"{d.month:02d}" if rng.random() < 0.5 else str(d.month)
+        form = rng.choice(["plain", "dots", "slashes"])
+        if form == "plain":
+            text = f"{d.day:02d}{d.month:02d}{yy}"
+        else:
+            text = f"{day}{'.' if form == 'dots' else '/'}{month}{'.' if form == 'dots' else '/'}{yy}"
+        texts.append(rng.choice(["", " "]) + text + rng.choice(["", "  "]))
+    texts += ["310225", "290223", "290224", "00.01.25", "1.13.25", "12-12-25", "121225x"]
+    df = spark.createDataFrame([(x,) for x in texts], "s string")
+    got = {r["s"]: r["d"] for r in df.select("s", FD.parse_day("s").alias("d")).collect()}
+    assert got == {x: _python_day(x) for x in texts}
