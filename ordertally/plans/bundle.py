@@ -47,6 +47,7 @@ class Overlay(dict):
     def __init__(self, base: dict[str, DataFrame], **replaced: DataFrame):
         super().__init__(replaced)
         self._base = base
+        self.prune_lines_by_order_id = getattr(base, "prune_lines_by_order_id", False)
 
     def __missing__(self, name: str) -> DataFrame:
         return self._base[name]
@@ -97,6 +98,7 @@ def shared_inputs(t: dict[str, DataFrame], p: ReportParams, mode: str = "persist
         out._cached.extend([orders, lines])
     else:
         raise ValueError(f"unknown sharing mode {mode!r}")
+    shared.prune_lines_by_order_id = False  # the shared lines are already the period's
     return out
 
 

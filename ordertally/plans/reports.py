@@ -67,14 +67,16 @@ def period_fits(t: Tables, lo, hi) -> bool:
 def lines_for_days(t: Tables, lo, hi) -> DataFrame:
     """Order lines that can belong to orders delivered in ``[lo, hi]``.
 
-    Two exact restrictions, both pushed into the line scan: the date
-    partitions on the staged layout, and ``order_id`` between the lowest and
-    highest id of those orders (a WHERE clause for a database source,
-    row-group skipping for Parquet files clustered by order).  The reports
-    still join the lines to the filtered orders.
+    Exact restrictions pushed into the line scan: the date partitions on
+    the staged layout, and -- for table sets that ask for it (database
+    sources; see ``TableSet``) -- ``order_id`` between the lowest and
+    highest id of those orders.  The reports still join the lines to the
+    filtered orders.
     """
-    _, id_lo, id_hi = range_stats(t, lo, hi)
     lines = lines_between(t["order_product"], lo, hi)
+    if not getattr(t, "prune_lines_by_order_id", False):
+        return lines
+    _, id_lo, id_hi = range_stats(t, lo, hi)
     if id_lo is None:  # no orders on those days
         return lines.filter(F.lit(False))
     return lines.filter(F.col("order_id").between(F.lit(id_lo), F.lit(id_hi)))

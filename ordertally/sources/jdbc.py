@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordertally import schema as S
+from ordertally.sources.tableset import TableSet
 
 REQUIRED = ("url", "user", "password")
 
@@ -124,7 +125,7 @@ def load_jdbc_tables(
     columns, bounds taken from the database.
     """
     split = ranges.pop("split", None)
-    out = {}
+    out = TableSet(prune_lines_by_order_id=True)
     for name in names or S.SCHEMAS:
         if split and name in SPLIT_COLUMNS and name not in ranges:
             df = load_jdbc_partitioned(spark, url, name, SPLIT_COLUMNS[name], split, props, require_credentials)

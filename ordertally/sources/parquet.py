@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ordertally import schema as S
 from ordertally.params import as_date
+from ordertally.sources.tableset import TableSet
 
 
 def table_path(root: str, name: str) -> str:
@@ -24,9 +25,16 @@ def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(S.SCHEMAS[name]).parquet(table_path(root, name))
 
 
-def load_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
-    """All (or the named) report tables under ``root`` as lazy DataFrames."""
-    return {n: load_table(spark, root, n) for n in (names or S.SCHEMAS)}
+def load_tables(spark: SparkSession, root: str, names=None, prune_lines_by_order_id: bool = False) -> TableSet:
+    """All (or the named) report tables under ``root`` as lazy DataFrames.
+
+    Set ``prune_lines_by_order_id`` when order lines are stored clustered by
+    order id (see ``TableSet``).
+    """
+    return TableSet(
+        {n: load_table(spark, root, n) for n in (names or S.SCHEMAS)},
+        prune_lines_by_order_id=prune_lines_by_order_id,
+    )
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite", lines_by_date: bool = True) -> None:

@@ -1,0 +1,18 @@
+"""A named set of report tables, with how order lines may be narrowed."""
+
+from __future__ import annotations
+
+
+class TableSet(dict):
+    """``dict`` of table name to DataFrame.
+
+    ``prune_lines_by_order_id``: restrict order-line reads to the id range
+    of the period's orders.  On for database sources, where the range
+    becomes a WHERE clause; for Parquet it pays only when lines are
+    clustered by order id (otherwise the pushed range costs page-index
+    checks without skipping anything), so it is opt-in there.
+    """
+
+    def __init__(self, *args, prune_lines_by_order_id: bool = False, **kwargs):
+        super().__init__(*args, **kwargs)
+        self.prune_lines_by_order_id = prune_lines_by_order_id

@@ -19,6 +19,7 @@ import pytest
 
 import __spark_entry__ as E
 from ordertally import schema as S
+from ordertally.sources.tableset import TableSet
 
 DAY0 = [dt.date(1995, 12, 20) + dt.timedelta(days=i) for i in range(200)]  # around the period
 DAY1 = [dt.date(1998, 2, 18) + dt.timedelta(days=i) for i in range(35)]  # around the daily range
@@ -92,9 +93,10 @@ def _canon(cols, rows):
     return [cols[i] for i in order], collections.Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.fixture(scope="module", params=[11, 29])
+@pytest.fixture(scope="module", params=[(11, False), (29, True)], ids=["seed11", "seed29-id-pruned"])
 def random_world(spark, request):
-    data = random_tables(request.param)
+    seed, prune = request.param
+    data = random_tables(seed)
     root = tempfile.mkdtemp(prefix="ordertally-random-")
     con = duckdb.connect()
     tables = {}
@@ -103,7 +105,7 @@ def random_world(spark, request):
         spark.createDataFrame(rows, S.SCHEMAS[name]).write.parquet(path)
         tables[name] = spark.read.schema(S.SCHEMAS[name]).parquet(path)
         con.execute(f"CREATE VIEW f_{name} AS SELECT * FROM read_parquet('{path}/*.parquet')")
-    return tables, con
+    return TableSet(tables, prune_lines_by_order_id=prune), con
 
 
 @pytest.mark.parametrize("name", sorted(E.BUILDERS))
