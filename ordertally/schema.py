@@ -116,10 +116,6 @@ UNIQUE_KEYS: dict[str, str] = {
     "city_groups": "id",
 }
 
-# Dimensions that never grow with order volume; joins against them may be
-# broadcast once their size has been checked (see operators.joins).
-DIMENSIONS = ("store", "workers", "categories", "cities", "city_groups")
-
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast ``df`` to ``schema`` (column order and types)."""

@@ -152,3 +152,9 @@ def test_parse_day_agrees_with_python_on_random_dates(spark):
     df = spark.createDataFrame([(x,) for x in texts], "s string")
     got = {r["s"]: r["d"] for r in df.select("s", FD.parse_day("s").alias("d")).collect()}
     assert got == {x: _python_day(x) for x in texts}
+
+
+def test_next_day_and_format_day(spark):
+    df = spark.createDataFrame([(D("2024-02-28"),), (D("2024-12-31"),)], "d date")
+    got = [tuple(r) for r in df.select(FD.next_day("d"), FD.format_day(FD.next_day("d"))).collect()]
+    assert got == [(D("2024-02-29"), "2024-02-29"), (D("2025-01-01"), "2025-01-01")]
