@@ -134,5 +134,9 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def assert_unique_keys(tables: dict[str, DataFrame]) -> None:
     """Raise ``ValueError`` if any declared unique key is duplicated."""
     for name, key in UNIQUE_KEYS.items():
-        if name in tables and not duplicate_keys(tables[name], key).isEmpty():
+        try:
+            df = tables[name]  # lazy table dicts build a table on first access
+        except KeyError:
+            continue
+        if not duplicate_keys(df, key).isEmpty():
             raise ValueError(f"{name}.{key} is not unique")

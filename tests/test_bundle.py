@@ -142,3 +142,15 @@ def test_jdbc_refuses_missing_settings(spark):
         JD.load_jdbc(spark, "jdbc:derby:memory:x", "T")
     with pytest.raises(ValueError, match="go together"):
         JD.load_jdbc(spark, "jdbc:derby:memory:x", "T", partition_column="ID", require_credentials=False)
+
+
+def test_validate_checks_lazy_fixture_tables(spark):
+    import pytest
+
+    base = FX.fixture_tables(spark, SF)  # nothing built yet
+    broken = Bn.Overlay(base, workers=base["workers"].unionByName(base["workers"]))
+    with pytest.raises(ValueError, match="workers.id"):
+        Bn.run_all(spark, broken, E.PERIOD, names=["coupon_orders"], validate=True)
+    fresh = FX.fixture_tables(spark, SF)
+    manifest = Bn.run_all(spark, fresh, E.PERIOD, names=["coupon_orders"], validate=True, share=None).collect()
+    assert manifest[0]["status"] == "ok"
