@@ -67,6 +67,20 @@ def parse_range_text(spark: SparkSession, text: str) -> tuple[dt.date, dt.date]:
     return row["s"], row["e"]
 
 
+def parse_periods(items) -> dict[str, ReportParams]:
+    """``REPORT=START:END[:CUTOFF]`` options to per-report periods."""
+    from ordertally.plans.catalog import WEEKLY_REPORTS
+
+    out = {}
+    for item in items:
+        name, _, spec = item.partition("=")
+        parts = spec.split(":")
+        if name not in WEEKLY_REPORTS or len(parts) not in (2, 3):
+            raise ValueError(f"bad --period-for {item!r}; use REPORT=START:END[:CUTOFF] with a weekly report name")
+        out[name] = ReportParams(*parts)
+    return out
+
+
 def build_parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="ordertally", description=__doc__.split("\n\n")[0])
     sub = ap.add_subparsers(dest="command", required=True)
@@ -89,6 +103,8 @@ def build_parser() -> argparse.ArgumentParser:
             sp.add_argument("--end")
             sp.add_argument("--cutoff")
             sp.add_argument("--share", default="persist", choices=["persist", "table", "none"])
+            sp.add_argument("--period-for", action="append", default=[], metavar="REPORT=START:END[:CUTOFF]",
+                            help="give one report its own period, e.g. yearly_orders=2025-01-01:2025-12-31")
         elif name == "daily":
             sp.add_argument("--range", required=True, dest="range_text")
             sp.add_argument("--strict-status", action="store_true")
@@ -110,7 +126,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
             else:
                 p = last_n_days(a.today)
             share = None if a.share == "none" else a.share
-            manifest = bundle.run_all(spark, t, p, out=a.out, fmt=a.format, share=share)
+            periods = parse_periods(a.period_for)
+            manifest = bundle.run_all(spark, t, p, out=a.out, fmt=a.format, share=share, periods=periods)
             rows = manifest.collect()  # one row per report
             for r in rows:
                 print(f"{r['report']:22s} {r['status']:7s} {r['n_rows'] if r['n_rows'] is not None else '-':>8} "

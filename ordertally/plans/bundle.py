@@ -130,26 +130,28 @@ def run_all(
     """
     if validate:
         assert_unique_keys(t)
-    if periods:
-        share = None  # the shared slice is only valid for one period
+    periods = periods or {}
     inputs = shared_inputs(t, p, share)
     rows = []
     try:
         for name in names or WEEKLY_REPORTS:
             t0 = time.perf_counter()
+            period = periods.get(name, p)
+            # the shared slice holds the main period only; other periods read the tables
+            tables = inputs.tables if period == p else t
             try:
-                df = WEEKLY_REPORTS[name](inputs.tables, (periods or {}).get(name, p))
+                df = WEEKLY_REPORTS[name](tables, period)
                 if out is None:
                     n = write_report(df, "unused", fmt="noop")
                 else:
-                    n = write_report(df, report_path(out, name, p.label), fmt, single_file=name in BOUNDED_RESULTS)
+                    n = write_report(df, report_path(out, name, period.label), fmt, single_file=name in BOUNDED_RESULTS)
                 rows.append((name, "ok", n, time.perf_counter() - t0, None))
             except Exception as e:  # isolate: record and continue
                 message = f"{type(e).__name__}: {e}"[:2000]
                 rows.append((name, "failed", None, time.perf_counter() - t0, message))
                 if out is not None:
                     err = spark.createDataFrame([(message,)], "error string")
-                    write_report(err, report_path(out, name, p.label), fmt, single_file=True)
+                    write_report(err, report_path(out, name, period.label), fmt, single_file=True)
     finally:
         inputs.release()
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)

@@ -82,3 +82,19 @@ def test_cli_refuses_to_start_without_settings(spark, monkeypatch, capsys):
     out = tempfile.mkdtemp(prefix="ordertally-cli-")
     assert cli.main(["weekly", "--db-env", "--out", out], spark=spark) == 2
     assert "missing connection settings" in capsys.readouterr().err
+
+
+def test_weekly_run_with_per_report_periods(spark):
+    out = tempfile.mkdtemp(prefix="ordertally-cli-")
+    code = cli.main(["weekly", "--fixtures", SF, "--out", out, "--start", "1996-01-01", "--end", "1996-06-30",
+                     "--period-for", "yearly_orders=1996-01-01:1996-12-31",
+                     "--period-for", "second_month_orders=1996-02-01:1996-02-29"], spark=spark)
+    assert code == 0
+    written = set(os.listdir(out))
+    assert "yearly_orders_1996-01-01_to_1996-12-31" in written
+    assert "second_month_orders_1996-02-01_to_1996-02-29" in written
+    assert "customer_orders_1996-01-01_to_1996-06-30" in written
+    year = spark.read.parquet(os.path.join(out, "yearly_orders_1996-01-01_to_1996-12-31")).count()
+    half = spark.read.parquet(os.path.join(out, "customer_orders_1996-01-01_to_1996-06-30")).count()
+    assert year > half > 0
+    assert cli.main(["weekly", "--fixtures", SF, "--out", out, "--period-for", "nope=1:2"], spark=spark) == 2
