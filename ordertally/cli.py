@@ -137,7 +137,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
             from ordertally.schema import SCHEMAS
             from ordertally.sources.parquet import write_tables
 
-            write_tables({n: t[n] for n in SCHEMAS}, a.out)
+            write_tables(t, a.out, names=list(SCHEMAS))
             print(f"staged {len(SCHEMAS)} tables under {a.out} (orders and lines by delivery date)")
             return 0
         if a.command == "daily":

@@ -37,7 +37,9 @@ def load_tables(spark: SparkSession, root: str, names=None, prune_lines_by_order
     )
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite", lines_by_date: bool = True) -> None:
+def write_tables(
+    tables: dict[str, DataFrame], root: str, mode: str = "overwrite", lines_by_date: bool = True, names=None
+) -> None:
     """Store report tables for repeated runs.
 
     ``orders`` is partitioned by ``delivery_date`` so the period filter of
@@ -50,13 +52,16 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
     date and are kept).  Reports then read only the period's lines instead
     of the whole line table.  Otherwise lines are written sorted by
     ``order_id`` so row-group statistics let a selective scan skip groups.
+    ``names`` limits the tables written (default: every report table present).
     """
-    for name, df in tables.items():
+    wanted = names or [n for n in S.SCHEMAS if _has(tables, n)]
+    for name in wanted:
+        df = tables[name]
         path = os.path.join(root, name)
         if name == "orders":
             staged = df.hint("rebalance", "delivery_date").sortWithinPartitions("delivery_date", "id")
             staged.write.mode(mode).partitionBy("delivery_date").parquet(path)
-        elif name == "order_product" and lines_by_date and "orders" in tables:
+        elif name == "order_product" and lines_by_date and _has(tables, "orders"):
             days = tables["orders"].select(F.col("id").alias("_oid"), "delivery_date")
             dated = df.join(days, df["order_id"] == days["_oid"], "left").drop("_oid")
             staged = dated.hint("rebalance", "delivery_date").sortWithinPartitions("delivery_date", "order_id")
@@ -67,6 +72,15 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
             df.write.mode(mode).parquet(path)
 
 
+def _has(tables, name: str) -> bool:
+    """Membership that also works for lazily built table dicts."""
+    try:
+        tables[name]
+        return True
+    except KeyError:
+        return False
+
+
 def lines_between(lines: DataFrame, lo, hi) -> DataFrame:
     """Order lines, restricted to a delivery-date range when they carry one.
 
