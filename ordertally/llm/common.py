@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import ordertally
 from ordertally.session import scratch_path
 
 # Upper bound on the rows of a side that may be broadcast.  Every side that
@@ -57,6 +62,27 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()  # applications whose workers have the package
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose Python workers can import this package wherever they run.
+
+    The package's sources go to the executors once per application, as a
+    small archive served by the driver.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(ordertally.__file__).resolve().parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="ordertally-src-"), "ordertally_src.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(fn, schema)
+
+
 def map_columns(
     df: DataFrame,
     inputs: list[str],
@@ -88,7 +114,7 @@ def map_columns(
                 cols = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(got, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(i) for i in range(n)] + cols, names)
 
-    return src.mapInArrow(run, schema)
+    return map_arrow(src, run, schema)
 
 
 def _arrow_type(t: T.DataType) -> pa.DataType:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import col, fields, map_columns, staged, words_of
+from ordertally.llm.common import col, fields, map_arrow, map_columns, staged, words_of
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -62,7 +62,7 @@ def word_counts(docs: DataFrame, vocabulary) -> dict[bytes, int]:
                 {"word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64())}
             )
 
-    rows = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = map_arrow(docs.select("text"), run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {bytes(r.word): r.n for r in rows.collect()}  # bounded by the block's vocabulary
 
 

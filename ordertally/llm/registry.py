@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertally.llm import decontaminate, html_text
+from ordertally.llm import decontaminate, html_text, pii, quality_rank, toxicity, warc_archive
 from ordertally.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def _on(fn: Callable[..., DataFrame], *tables: str) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op1_html_text": _on(html_text.op1, "pages"),
+        "op2_toxicity": _on(toxicity.op2, "documents", "labels"),
+        "op5_personal_data": _on(pii.op5, "documents"),
+        "op8_warc_archive": _on(warc_archive.op8, "pages"),
+        "op9_quality_rank": _on(quality_rank.op9, "documents", "labels"),
         "op10_decontaminate": _on(decontaminate.op10, "documents", "benchmark"),
     }
 
