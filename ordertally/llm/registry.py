@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertally.llm import decontaminate, html_text, packing, pii, quality_rank, toxicity, warc_archive
+from ordertally.llm import decontaminate, html_text, near_dup, packing, pii, quality_rank, toxicity, warc_archive
 from ordertally.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_html_text": _on(html_text.op1, "pages"),
         "op2_toxicity": _on(toxicity.op2, "documents", "labels"),
+        "op3_order_minhash": _on(near_dup.op3, "documents"),
         "op4_retrieval_packing": _on(packing.op4, "documents"),
         "op5_personal_data": _on(pii.op5, "documents"),
         "op8_warc_archive": _on(warc_archive.op8, "pages"),
