@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertally.llm import decontaminate, html_text, near_dup, packing, pii, quality_rank, toxicity, warc_archive
+from ordertally.llm import (
+    chat_format,
+    decontaminate,
+    html_text,
+    near_dup,
+    packing,
+    pii,
+    quality_rank,
+    quality_rules,
+    toxicity,
+    warc_archive,
+)
 from ordertally.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +34,8 @@ def queries() -> dict[str, Query]:
         "op3_order_minhash": _on(near_dup.op3, "documents"),
         "op4_retrieval_packing": _on(packing.op4, "documents"),
         "op5_personal_data": _on(pii.op5, "documents"),
+        "op6_divergence_rules": _on(quality_rules.op6, "documents"),
+        "op7_chat_windows": _on(chat_format.op7, "conversations"),
         "op8_warc_archive": _on(warc_archive.op8, "pages"),
         "op9_quality_rank": _on(quality_rank.op9, "documents", "labels"),
         "op10_decontaminate": _on(decontaminate.op10, "documents", "benchmark"),
