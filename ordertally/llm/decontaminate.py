@@ -165,7 +165,7 @@ def find_contamination(
     base = map_columns(
         docs.withColumn("__key", key), ["text"], count, lambda t: [[len(words_of(x)) for x in t.to_pylist()]], [*names, "__key"]
     )
-    joined = base.join(hits, "__key", "left")
+    joined = base.join(hits, "__key", "left")  # no hits: null arrays, merged to empty ones
     spans = fields(FOUND)[1:]
     return map_columns(joined, [f.name for f in spans], spans, _merge, [*names, "n_words"])
 
@@ -183,3 +183,11 @@ def op10(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents of ``docs`` without any benchmark window, with their own columns."""
+    # The row travels whole, so that no column of it can clash with those added.
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("__row"), "text")
+    clean = find_contamination(rows, benchmark, ["__row"]).filter(F.size("span_starts") == 0)
+    return clean.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
