@@ -37,7 +37,7 @@ from ordertally.llm.common import fields, map_arrow, map_columns, staged
 WINDOW = 1024
 END_ID = 0
 SHARD_TOKENS = 2_000_000
-QUERY_TERMS = 16  # most characteristic terms of a seed, used as its query
+QUERY_TERMS = 16  # most characteristic terms that a seed shares with others, used as its query
 NEIGHBOURS = 32  # unused neighbours looked at for one seed
 K1, B = 1.2, 0.75
 TOKENIZER = "byte_bpe_50k"
@@ -116,10 +116,9 @@ def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(ids[:-1], return_counts=True)
 
 
-def characteristic_term(ids: np.ndarray, idf: np.ndarray) -> int:
-    """The id with the largest tf-idf, -1 for an empty document."""
-    terms, tf = terms_of(ids)
-    return int(terms[np.argmax(np.log1p(tf) * idf[terms])]) if len(terms) else -1
+def characteristic_term(ids: np.ndarray, rarity: np.ndarray) -> int:
+    """The document's rarest id that some other document has too, -1 for an empty document."""
+    return int(ids[np.argmax(rarity[ids[:-1]])]) if len(ids) > 1 else -1
 
 
 class ShardIndex:
@@ -135,15 +134,17 @@ class ShardIndex:
         norm = K1 * (1 - B + B * np.repeat([len(d) for d in docs], sizes) / max(1.0, mean_length))
         impact = idf[terms] * tf * (K1 + 1) / (tf + norm)
         self.first = np.concatenate(([0], np.cumsum(sizes)))
-        self.terms, self.weight = terms, impact
         order = np.argsort(terms, kind="stable")
         self.posting_docs, self.posting_weights = of[order], impact[order]
         self.posting_at = np.searchsorted(terms[order], np.arange(VOCABULARY + 1))
+        # A term that no other document of the shard has finds nothing.
+        self.terms, self.weight = terms, np.where(np.diff(self.posting_at)[terms] > 1, impact, 0)
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 score of every document for the seed's most characteristic terms."""
         s, e = self.first[seed], self.first[seed + 1]
         best = s + np.argsort(-self.weight[s:e], kind="stable")[:QUERY_TERMS]
+        best = best[self.weight[best] > 0]
         spans = [(self.posting_at[t], self.posting_at[t + 1]) for t in self.terms[best]]
         if not spans:
             return np.zeros(self.n)
@@ -227,12 +228,13 @@ def pack_documents(docs: DataFrame, with_ids: bool = True, shard_tokens: int = S
     tokens = staged(spark, token_table(docs), "token-ids")
     df, n_docs, n_tokens = corpus_statistics(tokens)
     shared = spark.sparkContext.broadcast(inverse_frequencies(df, n_docs))
+    rarity = spark.sparkContext.broadcast(np.where(df > 1, -df, -np.inf))
     mean_length = n_tokens / max(1, n_docs)
     schema = docs.select("doc_id").schema.fields + fields(PIECE.split(", ", 1)[1])
     schema = schema if with_ids else schema[:-1]
 
     def term(column):
-        return [[characteristic_term(np.frombuffer(x.as_buffer(), IDS), shared.value) for x in column]]
+        return [[characteristic_term(np.frombuffer(x.as_buffer(), IDS), rarity.value) for x in column]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 32
