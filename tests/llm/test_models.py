@@ -1,0 +1,383 @@
+"""Toxicity, quality ranking, quality rules, chat windows and near duplicates against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ordertally.llm import chat_format, near_dup, quality_rank, quality_rules, toxicity
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], DOCS)
+
+
+# --- toxicity ---------------------------------------------------------------
+
+
+def brute_counts(rows):
+    """N-gram -> documents with it, per class; an n-gram is a history in its word and a symbol."""
+    out = {0: Counter(), 1: Counter()}
+    for text, label in rows:
+        data, seen = toxicity._bytes(text), set()
+        for i in range(1, len(data)):
+            j = i
+            while j > 0 and i - j < toxicity.ORDER - 1:
+                j -= 1
+                if data[j] == 32:
+                    break
+            seen.add(data[j : i + 1])
+        out[label].update(seen)
+    return out
+
+
+def test_ngram_counts_and_log_ratios(spark):
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcé") for _ in range(rng.randint(1, 9)))
+    rows = [(" ".join(word() for _ in range(rng.randint(0, 40))), int(rng.random() < 0.4)) for _ in range(60)]
+    rows += [("bad " * 30 + word(), 1) for _ in range(80)] + [("good " * 3 + word(), 0) for _ in range(80)] + [("", 1)]
+    rows += [(None, 0)]
+    want = brute_counts(rows)
+    counts = toxicity.ngram_counts(spark.createDataFrame(rows, "text string, label int")).cache()
+    unpack = lambda k: (k % 2**64).to_bytes(8, "big").lstrip(b"\0")
+    got = {unpack(r.key): (r.toxic, r.ordinary) for r in counts.collect()}
+    assert got == {g: (want[1][g], want[0][g]) for g in set(want[0]) | set(want[1])}
+
+    # Shared probabilities and class ratios by their definitions.
+    d = toxicity.DISCOUNT
+    every = {g[i:] for g in got for i in range(len(g))}
+    followed = Counter(g[1:] for g in every if len(g) > 1)
+
+    def shared(g):
+        if not g:
+            return 1 / 256
+        after = [followed[x] for x in followed if x[:-1] == g[:-1]]
+        return (max(followed[g] - d, 0) + d * len(after) * shared(g[1:])) / sum(after)
+
+    ratios = {unpack(r.key): r.ratio for r in toxicity.log_ratios(counts, len(got)).collect()}
+    assert {b" b", b" g"} <= set(ratios)
+    by_history = {}
+    for g in got:
+        by_history.setdefault(g[:-1], []).append(g)
+    spoken = set()
+    for h, grams in by_history.items():
+        t, o = [sum(got[g][k] for g in grams) for k in (0, 1)]
+        for g in grams:
+            n, share = sum(got[g]), t / (t + o)
+            if (got[g][0] - n * share) ** 2 / (n * share * (1 - share) + 1) < toxicity.evidence_needed(len(got)):
+                continue
+            spoken.add(g)
+            pooled = (max(n - d, 0) + d * len(grams) * shared(g[1:])) / (t + o)
+            p = []
+            for k, total in ((0, t), (1, o)):
+                left = d * sum(got[x][k] > 0 for x in grams) + toxicity.SHARED_WEIGHT
+                p.append((max(got[g][k] - d, 0) + left * pooled) / (total + toxicity.SHARED_WEIGHT))
+            assert ratios[g] == pytest.approx(math.log(p[0] / p[1]), abs=1e-9)
+    assert set(ratios) == spoken
+
+
+def test_keys_do_not_depend_on_chunks(monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab é.X") for _ in range(rng.randint(0, 300))) for _ in range(20)] + [None, "", "!!"]
+    ratios = np.random.default_rng(0).normal(size=toxicity.BUCKETS).astype(np.float16)
+    model = toxicity.ToxicityModel(type("Held", (), {"value": ratios})())
+    whole = model.difference(texts)
+    monkeypatch.setattr(toxicity, "CHUNK", 37)
+    assert np.allclose(whole, model.difference(texts)) and whole[-3:].tolist() == [0, 0, 0]
+    assert np.allclose(whole, [model.difference([t])[0] for t in texts])
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = toxicity.op2(docs, labels).join(labels, "doc_id").toPandas()
+    held = got[got.held_out]
+    assert ((held.score >= 0) & (held.score <= 1)).all() and (got.predicted == (got.score >= 0.3)).all()
+    assert (held.predicted == held.toxic).mean() > 0.9
+    order = held.score.rank()
+    n, m = (held.toxic == 1).sum(), (held.toxic == 0).sum()
+    assert (order[held.toxic == 1].sum() - n * (n + 1) / 2) / (n * m) > 0.88
+
+
+def test_toxicity_edge_cases(spark):
+    texts = ["nice words here"] * 30 + ["awful scum trash"] * 30 + [None, "", "…", "scum " * 30_000]
+    docs = documents(spark, texts).withColumn("Score", F.lit("mine"))
+    labels = spark.createDataFrame(
+        [(i, int(i >= 30)) for i in range(60)] + [(0, None), (None, 1)], "doc_id long, toxic int"
+    )
+    got = toxicity.op2(docs, labels).collect()
+    assert len(got) == len(texts) and all(0 <= r.score <= 1 for r in got)
+    score = {r.doc_id: r.score for r in got}
+    assert score[60] == score[61] == score[62] and score[63] > score[0]
+    for none in (labels.limit(0), labels.filter("toxic = 0")):
+        assert {r.score for r in toxicity.op2(docs, none).collect()} == {toxicity.UNTRAINED_SCORE}
+    assert toxicity.op2(docs.limit(0), labels).collect() == []
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.filter("doc_id < 30").count() == 30
+    assert kept.filter("doc_id between 30 and 59").count() == 0
+
+
+# --- quality ranking -----------------------------------------------------------
+
+
+def test_quality_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = quality_rank.op9(docs, labels).join(labels, "doc_id").toPandas()
+    held = got[got.held_out]
+    assert (held.predicted == held.quality).mean() > 0.95 and (got.predicted == (got.score >= 0.3)).all()
+
+
+def test_pairs_recover_a_ranking():
+    rng = np.random.default_rng(2)
+    x, w = rng.normal(size=(3000, 4)), np.array([2.0, -1, 0, 0.5])
+    y = (x @ w + rng.logistic(size=3000) > 0).astype(int)
+    got = quality_rank.fit_pairs(x, y)
+    assert np.corrcoef(got, w)[0, 1] > 0.98
+    better, worse = quality_rank.preference_pairs(y, 5000)
+    assert (y[better] == 1).all() and (y[worse] == 0).all() and set(better) == set(np.flatnonzero(y))
+
+
+def test_quality_edge_cases(spark):
+    texts = ["A plain sentence of words."] * 20 + ["### $$$ &&& ***"] * 20 + [None, "", "\n", "w " * 40_000]
+    docs = documents(spark, texts).withColumn("predicted", F.lit("mine"))
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(40)] + [(0, None), (None, 1)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_rank.op9(docs, labels).collect()}
+    assert len(got) == len(texts) and all(0 <= r.score <= 1 for r in got.values())
+    assert all(got[i].predicted == (i < 20) for i in range(40)) and got[40].score == got[41].score
+    assert {r.score for r in quality_rank.op9(docs, labels.limit(0)).collect()} == {quality_rank.UNTRAINED_SCORE}
+    assert quality_rank.op9(docs.limit(0), labels).collect() == []
+
+
+# --- quality rules ---------------------------------------------------------------
+
+
+def base_counts(t):
+    t = t or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    seen, marked = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7)), set()
+    for i in range(len(words) - 7):
+        if seen[tuple(words[i : i + 8])] > 1:
+            marked |= set(range(i, i + 8))
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(marked)
+
+
+def test_base_counts_equal_brute_force(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["a ", "b ", "é\t", "#x ", "\n", " ", "\x0b", "word "]) for _ in range(rng.randint(0, 120))) for _ in range(150)]
+    texts += [None, "", " \n \n", "x " * 30, "a b c d e f g h " * 4, "\n".join(["same line"] * 5), "w " * 50_000]
+    docs = documents(spark, texts).withColumn("kept", F.lit(1))
+    for r in quality_rules.op6(docs).collect():
+        want = base_counts(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and not (r.base_failed and r.kept)
+    assert quality_rules.op6(docs.limit(0)).collect() == []
+
+
+def test_divergence_equals_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    table = quality_rules.text_counts(docs).cache()
+    names = list(quality_rules.COMMON_WORDS)
+    rows = table.collect()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in rows:
+        words = [w.lower().strip(".,;:!?") for w in re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id])]
+        hits = [sum(w in ws for w in words) for ws in quality_rules.COMMON_WORDS.values()]
+        assert r.language == (hits.index(max(hits)) + 1 if max(hits) else 0)
+        assert sum(r.class_counts) >= len(texts[r.doc_id])
+        if r.language:
+            listed = quality_rules.COMMON_WORDS[names[r.language - 1]]
+            assert r.word_counts == [words.count(w) for w in listed] + [len(words) - max(hits)]
+    share = lambda xs: np.array(xs) / max(1e-300, sum(xs))
+    use = [r for r in rows if r.n_words >= 40 and 100 * r.n_repeat_words <= 30 * r.n_words]
+
+    def distance(p, q):
+        m = (p + q) / 2
+        part = lambda a: sum(x * math.log2(x / y) for x, y in zip(a, m, strict=True) if x > 0)
+        return math.sqrt(max(0, (part(p) + part(q)) / 2))
+
+    judged = {r.doc_id: r for r in quality_rules.judge(table).collect()}
+    for language in (1, 2):
+        group = [r for r in use if r.language == language]
+        class_ref = np.mean([share(r.class_counts) for r in group], axis=0)
+        word_ref = np.mean([share(r.word_counts) for r in group], axis=0)
+        for r in group:
+            x = judged[r.doc_id]
+            assert x.class_distance == pytest.approx(distance(share(r.class_counts), share(class_ref)), abs=1e-4)
+            assert x.word_distance == pytest.approx(distance(share(r.word_counts), share(word_ref)), abs=1e-4)
+            far = x.class_distance > quality_rules.CLASS_DISTANCE or x.word_distance > quality_rules.WORD_DISTANCE
+            assert x.kept == (not far)
+
+
+def test_rules_keep_good_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = quality_rules.op6(docs).join(labels, "doc_id").filter("not base_failed").toPandas()
+    assert got[got.quality == 1].kept.mean() > 0.995 and got[got.quality == 0].kept.mean() < 0.6
+
+
+# --- chat ---------------------------------------------------------------------------
+
+
+def digest(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def test_conversations_read_back(spark):
+    rng = random.Random(8)
+    bits = ["<|turn|>", "<|", "<~|end|>", "~", "[INST]", "[~/INST]", "</s>", "<s>", "\n", "word ", "é 👍", "<<SYS>>", "|>", "<"]
+    rows = []
+    for c in range(30):
+        roles = ["system"] * (c % 3 == 0) + [rng.choice(["user", "assistant", "tool", "<|text|>"]) for _ in range(rng.randint(1, 25))]
+        rows += [(c, i, r, "".join(rng.choice(bits) for _ in range(rng.randint(0, 150)))) for i, r in enumerate(roles)]
+    rows += [(100, 0, None, None), (100, 1, "assistant", None), (101, 3, "assistant", "b"), (101, 3, "assistant", "a"),
+             (101, None, "user", "first"), (101, 3, "assistant", "a"), (None, 0, "user", "x"), (102, 0, "assistant", "long " * 20_000)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("turns", F.lit(1))
+    got = {r.conv_id: r for r in chat_format.op7(conv).collect()}
+    convs = {}
+    for c, i, r, t in rows:
+        convs.setdefault(c, []).append((i is not None, i or 0, r or "", t or ""))
+    said = "</s>[INST] ok [/INST]"
+    convs[-1] = [(True, 0, "user", said), (True, 1, "assistant", said)]
+    assert set(got) == set(convs)
+    for c, turns in convs.items():
+        turns.sort()
+        loss = "".join(t for *_, r, t in turns if r == "assistant")
+        x = got[c]
+        assert (x.n_turns, x.turns_sha256) == (len(turns), digest("".join(f"{r}\n{t}\n" for *_, r, t in turns)))
+        assert (x.loss_chars, x.loss_sha256) == (len(loss), digest(loss))
+    assert [r.conv_id for r in chat_format.op7(conv.limit(0)).collect()] == [-1]
+
+
+def test_windows_follow_the_budget(spark):
+    rng = random.Random(9)
+    rows = [(c, i, "system" if i == 0 and c % 2 else ["user", "assistant"][i % 2], "w " * rng.randint(0, 120)) for c in range(8) for i in range(40)]
+    windows = chat_format.chat_windows(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()
+    by_conv = {}
+    for w in sorted(windows, key=lambda w: (w.conv_id, w.window_id)):
+        by_conv.setdefault(w.conv_id, []).append(w)
+    size = lambda c, i: rows[c * 40 + i][3].count("w") + chat_format.TURN_OVERHEAD
+    total = 0
+    for c, ws in by_conv.items():
+        n_system = int(c % 2)
+        room = chat_format.BUDGET - chat_format.HISTORY_TOKENS - (size(c, 0) if n_system else 0)
+        at = 0
+        for w in ws:
+            assert w.n_tokens <= chat_format.BUDGET
+            end, held = at, 0
+            while end < 40 and (end == at or held + size(c, end) <= room):
+                held += size(c, end)
+                end += 1
+            history = [i for i in range(max(n_system, at - chat_format.HISTORY_TURNS), at) if sum(size(c, j) for j in range(i, at)) <= chat_format.HISTORY_TOKENS]
+            shown = (list(range(n_system)) if at else []) + (history if at else []) + list(range(at, end))
+            text = "".join(f"<|turn|>{rows[c * 40 + i][2]}<|text|>{rows[c * 40 + i][3]}<|end|>" for i in shown)
+            assert w.formatted == text and w.n_repeated == len(shown) - (end - at)
+            own = [rows[c * 40 + i][3] for i in range(at, end) if rows[c * 40 + i][2] == "assistant"]
+            assert [text[s.start : s.end] for s in w.loss_spans] == own
+            at, total = end, total + 1
+        assert at == 40
+    assert total == len(windows)
+
+
+# --- near duplicates ------------------------------------------------------------------
+
+
+def levenshtein(a, b):
+    p = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        q = [i]
+        for j, y in enumerate(b, 1):
+            q.append(min(p[j] + 1, q[-1] + 1, p[j - 1] + (x != y)))
+        p = q
+    return p[-1]
+
+
+def test_banded_alignment_is_exact():
+    rng = random.Random(10)
+    for _ in range(4000):
+        a = [rng.choice("abc") for _ in range(rng.randint(0, 14))]
+        b = [rng.choice("abc") for _ in range(rng.randint(0, 14))] if rng.random() < 0.5 else [x for x in a if rng.random() < 0.8]
+        limit, d = rng.randint(0, 10), levenshtein(a, b)
+        assert near_dup.edit_distance(a, b, limit) == (d if d <= limit else None)
+
+
+def test_sketches_follow_their_definition():
+    words = near_dup.word_numbers("a b c d e f g a b c d e x")
+    h = near_dup.labelled_shingles(words)
+    assert len(h) == 9 and len(set(h.tolist())) == 9  # the repeated shingle has another label
+    assert near_dup.labelled_shingles(near_dup.word_numbers("a b c d e"))[0] == h[0]
+    assert near_dup.sketch("A b, c d e f") == near_dup.sketch("a b c D e! f") and near_dup.sketch("!!") is None
+    assert len(near_dup.sketch("one")) == near_dup.SKETCHES
+
+
+def brute_classes(texts):
+    label = {i: i for i in range(len(texts))}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if texts[i] and texts[j] and (texts[i] == texts[j] or near_dup.similar(texts[i], texts[j])):
+                a, b = sorted((root(i), root(j)))
+                label[b] = a
+    return {i: root(i) for i in label}
+
+
+def planted(rng):
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = [[rng.choice(vocabulary) for _ in range(rng.randint(30, 200))] for _ in range(25)]
+    shared = [rng.choice(vocabulary) for _ in range(60)]
+    texts = [" ".join(b) for b in base]
+    for b in base[:12]:
+        for _ in range(3):
+            copy = list(b)
+            for _ in range(max(1, len(copy) // 25)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append(" ".join(copy))
+    texts += [" ".join(b + shared) for b in base[12:]] + [texts[3]] * 40 + [texts[3] + " tail"] * 2
+    return texts + [None, "", "", "!!", "!!", "one two", "one two", "y " * 3000, "y " * 3001]
+
+
+def test_classes_equal_brute_force(spark):
+    texts = planted(random.Random(11))
+    got = {r.doc_id: r for r in near_dup.op3(documents(spark, texts).withColumn("digest", F.lit(1))).collect()}
+    want = brute_classes(texts)
+    assert {i: r.class_id for i, r in got.items()} == want
+    assert all(r.kept == (r.class_id == i) for i, r in got.items())
+
+
+def test_long_chains_settle(spark):
+    n = 300
+    links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001)], "a long, b long")
+    got = {r.node: r.label for r in near_dup.components(links).collect()}
+    assert got == {i: 0 for i in range(n + 1)} | {1000: 1000, 1001: 1000}
+    assert near_dup.components(links.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
+def test_filter_keeps_one_of_each(spark, monkeypatch, broadcast_rows):
+    from ordertally.llm import common
+
+    joined = common.bounded_broadcast
+    monkeypatch.setattr(near_dup, "bounded_broadcast", lambda df: joined(df, broadcast_rows))
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text), (2, text), (3, text.replace("w7 ", "x ")), (4, "alone here"), (4, "alone here"), (None, text), (None, text), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("class_id", F.lit("mine"))
+    kept = near_dup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 4, 5, 6, None, None]
+    assert near_dup.drop_near_duplicates(docs.limit(0)).count() == 0
+    assert near_dup.op3(docs.limit(0)).count() == 0
