@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from ordertally.functions.dates import parse_range
 from ordertally.params import ReportParams, last_n_days, yesterday
 from ordertally.plans import bundle
-from ordertally.plans.reports import daily_detail
+from ordertally.plans.reports import LABELS, daily_detail
 from ordertally.session import apply_recommended, ensure_checkpoint_dir
-from ordertally.sinks.writers import report_path, write_report
+from ordertally.sinks.writers import report_path, with_labels, write_report
 
 
 def _tables(spark: SparkSession, a: argparse.Namespace):
@@ -47,7 +47,7 @@ def _tables(spark: SparkSession, a: argparse.Namespace):
         else:
             url, props = a.jdbc_url, {"user": a.jdbc_user, "password": a.jdbc_password}
         props = {k: v for k, v in {**props, "driver": a.jdbc_driver}.items() if v}
-        split = {"split": a.jdbc_split} if a.jdbc_split else {}
+        split = {} if a.jdbc_split is None else {"split": a.jdbc_split}
         return load_jdbc_tables(spark, url, props, require_credentials=bool(props.get("user")), **split)
     if a.tables:
         from ordertally.sources.parquet import load_tables
@@ -92,12 +92,14 @@ def build_parser() -> argparse.ArgumentParser:
         sp.add_argument("--jdbc-user")
         sp.add_argument("--jdbc-password")
         sp.add_argument("--jdbc-driver")
-        sp.add_argument("--jdbc-split", type=int, help="read orders and order lines in N parallel id ranges")
+        sp.add_argument("--jdbc-split", type=int, help="read orders and order lines in N parallel id ranges (default 16, 0: one task)")
         sp.add_argument("--db-env", action="store_true",
                         help="connect with DB_DRIVER, DB_USERNAME, DB_PASSWORD, DB_HOST, DB_PORT, DB_NAME")
         sp.add_argument("--out", required=True)
         sp.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
         sp.add_argument("--today")
+        if name != "stage":
+            sp.add_argument("--headers", action="store_true", help="write the display names of the columns")
         if name == "weekly":
             sp.add_argument("--start")
             sp.add_argument("--end")
@@ -123,11 +125,15 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         if a.command == "weekly":
             if a.start:
                 p = ReportParams(a.start, a.end or a.start, a.cutoff or None)
+            elif a.end or a.cutoff:
+                raise ValueError("--end and --cutoff need --start")
             else:
                 p = last_n_days(a.today)
             share = None if a.share == "none" else a.share
             periods = parse_periods(a.period_for)
-            manifest = bundle.run_all(spark, t, p, out=a.out, fmt=a.format, share=share, periods=periods)
+            manifest = bundle.run_all(
+                spark, t, p, out=a.out, fmt=a.format, share=share, periods=periods, headers=a.headers
+            )
             rows = manifest.collect()  # one row per report
             for r in rows:
                 print(f"{r['report']:22s} {r['status']:7s} {r['n_rows'] if r['n_rows'] is not None else '-':>8} "
@@ -142,12 +148,20 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
             return 0
         if a.command == "daily":
             start, end = parse_range_text(spark, a.range_text)
-            status = bundle.run_daily(spark, t, start, end, out=a.out, fmt=a.format, strict_status=a.strict_status)
+            status = bundle.run_daily(spark, t, start, end, out=a.out, fmt=a.format, strict_status=a.strict_status, headers=a.headers)
             empty = status.filter(F.col("status") == "No Data").count()
             print(f"daily product totals {start}..{end} written; days without data: {empty}")
             return 0
         day = dt.date.fromisoformat(a.day) if a.day else yesterday(a.today)
-        n = write_report(daily_detail(t, day), report_path(a.out, "daily_detail", day.isoformat()), a.format)
+        path = report_path(a.out, "daily_detail", day.isoformat())
+        try:
+            names = LABELS.get("daily_detail", {}) if a.headers else {}
+            n = write_report(with_labels(daily_detail(t, day), names), path, a.format)
+        except Exception as e:  # leaves an error table, as the weekly reports do
+            message = f"{type(e).__name__}: {e}"
+            write_report(spark.createDataFrame([(message,)], "error string"), path, a.format, single_file=True)
+            print(f"daily detail {day} failed: {message}", file=sys.stderr)
+            return 1
         print(f"daily detail {day}: {n} rows")
         return 0
     except ValueError as e:

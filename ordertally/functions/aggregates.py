@@ -1,7 +1,8 @@
 """Aggregate expressions with fixed, engine-independent result types.
 
-Money sums are DECIMAL(18,2), quantity sums BIGINT, averages DOUBLE computed
-as ``sum / count`` so every engine returns the same bits.
+Money sums are DECIMAL(18,2), averages DOUBLE computed as ``sum / count`` so
+every engine returns the same bits.  Quantity sums follow the quantities:
+BIGINT for whole numbers, DECIMAL with three places for weights.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def money_sum(c) -> Column:
 
 
 def qty_sum(c) -> Column:
-    return F.sum(_col(c)).cast("bigint")
+    """Exact sum; BIGINT of whole numbers, DECIMAL(22,3) of weights."""
+    return F.sum(_col(c))
 
 
 def when_else(cond: Column, c, otherwise=0) -> Column:

@@ -14,6 +14,8 @@ from ordertally.params import as_date
 # Fixed input formats of a report day, tried in this order:
 # day-month-two-digit-year undelimited, with dots, with slashes.
 DAY_FORMATS = ("ddMMyy", "d.M.yy", "d/M/yy")
+# Undelimited digits: day and month may have one digit where the rest still fits.
+DAY_DIGITS = r"^(3[01]|[12][0-9]|0[1-9]|[1-9])(1[0-2]|0[1-9]|[1-9])([0-9]{2})"
 
 # Fixed two-digit-year pivot: years 69..99 are 1969..1999, 00..68 are 2000..2068.
 PIVOT_YEAR = 2069
@@ -26,11 +28,14 @@ def _col(c) -> Column:
 def parse_day(c) -> Column:
     """Parse a day written as ``ddMMyy``, ``d.M.yy`` or ``d/M/yy``; NULL if none fits.
 
-    Surrounding blanks are ignored.  Two-digit years follow the common
+    Surrounding white space is ignored.  Undelimited text may leave out
+    leading zeros (``11125`` is 11.1.25).  Two-digit years follow the common
     pivot (``75`` is 1975, ``25`` is 2025) rather than Spark's 2000-based one.
     """
-    text = F.trim(_col(c))
-    parsed = F.coalesce(*[F.try_to_date(text, fmt) for fmt in DAY_FORMATS])
+    text = F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    day, month, year = (F.regexp_extract(text, DAY_DIGITS, i) for i in (1, 2, 3))
+    digits = F.when(F.concat(day, month, year) == text, F.concat_ws(".", day, month, year))
+    parsed = F.coalesce(F.try_to_date(digits, DAY_FORMATS[1]), *[F.try_to_date(text, fmt) for fmt in DAY_FORMATS[1:]])
     return F.when(F.year(parsed) >= PIVOT_YEAR, F.add_months(parsed, -1200)).otherwise(parsed)
 
 

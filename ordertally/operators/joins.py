@@ -1,127 +1,96 @@
 """Joins of the report tables.
 
-Fact to fact (orders to order lines): when the filtered orders pass a
-bounded row-count check, their ids (and a few narrow columns) are broadcast
-into the line scan, so the line table is never shuffled; otherwise it is a
-shuffled join on the order id, where AQE splits a skewed id and the runtime
-bloom filter built from the filtered orders trims the line scan.
-
-Dimensions are broadcast only after the same kind of bounded check; above
-the bound they fall back to a normal join whose strategy Catalyst and AQE
-choose from sizes.
+Fact to fact (orders to order lines): when the filtered orders are small
+enough, their ids and a few narrow columns are broadcast into the line
+scan, so the line table is never shuffled; otherwise it is a shuffled join on
+the order id, where AQE splits a skewed id and the runtime bloom filter built
+from the filtered orders trims the line scan.  Sizes are measured anew for
+every report that is built, so they follow the tables.
+
+Dimensions (a key and a few columns) are broadcast within the same bound, so
+that the rows they are attached to stay where they are; beyond it Catalyst
+and AQE choose the join.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dimension with at most this many rows is broadcast.  The projections
-# broadcast here are two to four narrow columns, so the bound keeps the
-# broadcast table within a few tens of MB.
-BROADCAST_MAX_ROWS = 200_000
-
-_checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
+# Dimensions, and filtered orders, are broadcast up to this many bytes.
+BROADCAST_BYTES = 64 << 20
+ORDERS_BROADCAST_BYTES = 64 << 20
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job), so it is
-    cheap even when the table is unexpectedly large.  The answer is
-    remembered for the DataFrame object, so a bundle checks each table once.
-    """
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    seen = _checked.setdefault(df, {})
-    if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return seen[max_rows]
+# Bytes of a value in a row (text adds its length), and of the row itself.
+WORD, ROW_OVERHEAD = 8, 16
 
 
-def small_side(table: DataFrame, projected: DataFrame | None = None, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(projected)`` if ``table`` is within the row bound, else a plain join side.
+def side_bytes(df: DataFrame) -> int:
+    """Bytes that the rows of ``df`` take.
 
-    Beyond the bound Catalyst and AQE pick the join strategy from sizes
-    (sort-merge or shuffled hash, or a runtime broadcast when small enough).
+    One aggregate: every task adds up its rows and returns one number.
     """
-    side = table if projected is None else projected
-    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return F.broadcast(side) if fits_broadcast(table, bound) else side
+    fixed = ROW_OVERHEAD + WORD * len(df.columns)
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    total = F.count(F.lit(1)) * fixed
+    if texts:
+        total = total + F.coalesce(F.sum(sum(texts, F.lit(0).cast("bigint"))), F.lit(0))
+    return df.agg(total.alias("n")).first()["n"]
 
 
-# Filtered orders with at most this many rows are broadcast to the order-line
-# scan.  The broadcast side is the order id plus a few narrow columns, so the
-# bound keeps it within tens of MB.
-ORDERS_BROADCAST_MAX_ROWS = 2_000_000
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    return side_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
-def orders_fit(orders: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether a set of orders is small enough to broadcast to the line scan.
-
-    A caller that filters the same orders several ways can check the
-    widest set once and pass the answer on (every subset fits too).
-    """
-    return fits_broadcast(orders, ORDERS_BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it is within the bound, else as it is."""
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
-def _orders_side(orders: DataFrame, projected: DataFrame, max_rows: int | None, broadcast: bool | None) -> DataFrame:
+def _orders_side(projected: DataFrame, broadcast: bool | None) -> DataFrame:
     if broadcast is None:
-        broadcast = orders_fit(orders, max_rows)
+        broadcast = fits_broadcast(projected, ORDERS_BROADCAST_BYTES)
     return F.broadcast(projected) if broadcast else projected
 
 
-def order_lines(
-    orders: DataFrame,
-    lines: DataFrame,
-    how: str = "inner",
-    max_rows: int | None = None,
-    broadcast: bool | None = None,
-) -> DataFrame:
+def order_lines(orders: DataFrame, lines: DataFrame, how: str = "inner", broadcast: bool | None = None) -> DataFrame:
     """Orders joined to their lines on ``orders.id = order_product.order_id``.
 
     Keeps the line columns plus all order columns; orders without lines drop
-    out of an inner join.  When the (already filtered) orders are within the
-    row bound they are broadcast, so the line table is never shuffled;
-    otherwise it is a shuffled join on the order id, where AQE splits skewed
-    order ids and a runtime bloom filter trims the line scan.  ``broadcast``
-    passes a size decision already made by the caller (see ``orders_fit``).
+    out of an inner join.  ``broadcast=False`` leaves the choice to Catalyst
+    and AQE; by default the (already filtered) orders are measured, and
+    broadcast if they are within ``ORDERS_BROADCAST_BYTES``.
     """
     o = orders.withColumnRenamed("id", "o_id")
-    side = _orders_side(orders, o, max_rows, broadcast)
-    return lines.join(side, lines["order_id"] == side["o_id"], how).drop("o_id")
+    return lines.join(_orders_side(o, broadcast), lines["order_id"] == F.col("o_id"), how).drop("o_id")
 
 
-def lines_of(
-    orders: DataFrame, lines: DataFrame, max_rows: int | None = None, broadcast: bool | None = None
-) -> DataFrame:
+def lines_of(orders: DataFrame, lines: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Lines whose order is in ``orders`` (a semi join on the order id).
 
     Equivalent to the inner join when ``orders.id`` is unique, but carries
-    no order columns, so the lines can be aggregated per order before any
-    order details are attached.  Broadcast/shuffle choice as ``order_lines``.
+    no order columns.  Broadcast/shuffle choice as ``order_lines``.
     """
     ids = orders.select(F.col("id").alias("_oid"))
-    side = _orders_side(orders, ids, max_rows, broadcast)
-    return lines.join(side, lines["order_id"] == side["_oid"], "left_semi")
+    return lines.join(_orders_side(ids, broadcast), lines["order_id"] == F.col("_oid"), "left_semi")
 
 
 def with_product(df: DataFrame, products: DataFrame, cols=None, how: str = "inner", prefix: str = "p_") -> DataFrame:
     """Attach product columns on ``product_id = products.id``."""
     cols = cols or [c for c in products.columns if c != "id"]
     p = products.select(F.col("id").alias("_pid"), *[F.col(c).alias(prefix + c) for c in cols])
-    return df.join(small_side(products, p), df["product_id"] == p["_pid"], how).drop("_pid")
+    return df.join(small_side(p), df["product_id"] == p["_pid"], how).drop("_pid")
 
 
 def with_category(df: DataFrame, categories: DataFrame, key: str = "category_id", how: str = "inner") -> DataFrame:
     c = categories.select(F.col("id").alias("_cid"), F.col("name").alias("category_name"))
-    return df.join(small_side(categories, c), df[key] == c["_cid"], how).drop("_cid")
+    return df.join(small_side(c), df[key] == c["_cid"], how).drop("_cid")
 
 
 def with_store(df: DataFrame, store: DataFrame, key: str = "store_id", how: str = "inner") -> DataFrame:
     s = store.select(F.col("id").alias("_sid"), F.col("name").alias("store_name"))
-    return df.join(small_side(store, s), df[key] == s["_sid"], how).drop("_sid")
+    return df.join(small_side(s), df[key] == s["_sid"], how).drop("_sid")
 
 
 ROLES = {"packing": "packing_worker_id", "dispatcher": "dispatcher_worker_id"}
@@ -145,7 +114,7 @@ def with_worker(
         F.col("first_name").alias(prefix + "first_name"),
         F.col("last_name").alias(prefix + "last_name"),
     )
-    return df.join(small_side(workers, w), df[key] == w["_wid"], how).drop("_wid")
+    return df.join(small_side(w), df[key] == w["_wid"], how).drop("_wid")
 
 
 def with_zone(
@@ -163,11 +132,9 @@ def with_zone(
     names with that collation instead of byte equality.
     """
     g = city_groups.select(F.col("id").alias("_gid"), F.col("description").alias("zone"))
-    zones = cities.join(small_side(city_groups, g), cities["city_group_id"] == g["_gid"], "inner").select(
+    zones = cities.join(small_side(g), cities["city_group_id"] == g["_gid"], "inner").select(
         F.col("name").alias("_city"), F.col("city_group_id"), F.col("zone")
     )
     left = df[key] if collation is None else F.collate(df[key], collation)
     right = zones["_city"] if collation is None else F.collate(zones["_city"], collation)
-    both_small = fits_broadcast(cities) and fits_broadcast(city_groups)
-    side = F.broadcast(zones) if both_small else zones
-    return df.join(side, left == right, how).drop("_city")
+    return df.join(small_side(zones), left == right, how).drop("_city")

@@ -27,9 +27,9 @@ from ordertally.operators.joins import lines_of
 from ordertally.schema import assert_unique_keys
 from ordertally.params import ReportParams
 from ordertally.plans.catalog import BOUNDED_RESULTS, WEEKLY_REPORTS
-from ordertally.plans.reports import daily_product_totals, daily_status, period_fits, period_lines, period_orders
-from ordertally.session import scratch_path
-from ordertally.sinks.writers import report_path, with_empty_dates, write_by_date, write_report
+from ordertally.plans.reports import LABELS, daily_product_totals, daily_status, period_lines, period_orders
+from ordertally.session import delete_folder, scratch_path
+from ordertally.sinks.writers import read_report, report_path, with_empty_dates, with_labels, write_by_date, write_report
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -48,7 +48,6 @@ class Overlay(dict):
     def __init__(self, base: dict[str, DataFrame], **replaced: DataFrame):
         super().__init__(replaced)
         self._base = base
-        self.prune_lines_by_order_id = getattr(base, "prune_lines_by_order_id", False)
 
     def __missing__(self, name: str) -> DataFrame:
         return self._base[name]
@@ -60,26 +59,30 @@ class SharedInputs:
 
     tables: dict[str, DataFrame]
     _cached: list = field(default_factory=list)
+    _folder: str | None = None
 
     def release(self) -> None:
         for df in self._cached:
             df.unpersist()
         self._cached.clear()
+        if self._folder is not None:
+            delete_folder(self.tables["orders"].sparkSession, self._folder)
+            self._folder = None
 
 
 def shared_inputs(t: dict[str, DataFrame], p: ReportParams, mode: str = "persist") -> SharedInputs:
     """Tables restricted to the period's non-cancelled orders and their lines.
 
-    ``mode="persist"`` caches them hash-partitioned by order id (memory,
-    spilling to disk; a lost executor's blocks are recomputed from the
-    source), so joins between them need no further shuffle.  ``mode="table"``
-    writes them as Parquet under the shared ``spark.checkpoint.dir`` and
-    reads them back, cutting the lineage.  ``mode=None`` shares nothing.
+    ``mode="persist"`` caches them as they were scanned (memory, spilling to
+    disk; a lost executor's blocks are recomputed from the source), so a hot
+    order stays spread over the scan's partitions.  ``mode="table"`` writes
+    them as Parquet under the shared ``spark.checkpoint.dir`` and reads them
+    back, cutting the lineage.  ``mode=None`` shares nothing.
     """
     if mode is None:
         return SharedInputs(Overlay(t))
     orders = period_orders(t, p)
-    lines = lines_of(orders, period_lines(t, p), broadcast=period_fits(t, p.start, p.end))
+    lines = lines_of(orders, period_lines(t, p))
     shared = Overlay(t)
     out = SharedInputs(shared)
     if mode == "table":
@@ -89,17 +92,14 @@ def shared_inputs(t: dict[str, DataFrame], p: ReportParams, mode: str = "persist
         lines.write.parquet(f"{root}/order_product")
         shared["orders"] = spark.read.schema(orders.schema).parquet(f"{root}/orders")
         shared["order_product"] = spark.read.schema(lines.schema).parquet(f"{root}/order_product")
+        out._folder = root
     elif mode == "persist":
-        # Co-partition both by order id (same explicit count, which AQE keeps)
-        # so every report's order/line join reuses this partitioning.
-        n = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        orders = orders.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
-        lines = lines.repartition(n, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
+        orders = orders.persist(StorageLevel.MEMORY_AND_DISK)
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
         shared["orders"], shared["order_product"] = orders, lines
         out._cached.extend([orders, lines])
     else:
         raise ValueError(f"unknown sharing mode {mode!r}")
-    shared.prune_lines_by_order_id = False  # the shared lines are already the period's
     return out
 
 
@@ -118,22 +118,36 @@ def run_all(
     names=None,
     share: str | None = "persist",
     periods=None,
-    validate: bool = False,
+    validate: bool = True,
+    headers: bool = False,
 ) -> DataFrame:
     """Run the weekly reports; write each to ``out/<name>_<start>_to_<end>``.
 
     Without ``out`` every report still runs completely (``noop`` sink), which
     is what benchmarks measure.  A failing report is recorded and the rest
     continue; with ``out`` its folder gets a one-row ``error`` table instead
-    of results.  ``validate=True`` first checks that the ids the reports
-    rely on are unique (one grouped job per table).  Returns the manifest
-    DataFrame ``(report, status, n_rows, seconds, error)``.
+    of results.  If the shared slice cannot be made, that is recorded as
+    ``shared_inputs`` and the reports read the plain tables.  ``validate``
+    first checks that the ids the reports rely on are unique (those of the
+    period's orders, and of the dimensions).  ``headers`` writes the display
+    names of the columns.  Returns the manifest DataFrame
+    ``(report, status, n_rows, seconds, error)``.
     """
-    if validate:
-        assert_unique_keys(t)
     periods = periods or {}
-    inputs = shared_inputs(t, p, share)
     rows = []
+    t0 = time.perf_counter()
+    try:
+        inputs = shared_inputs(t, p, share)
+    except Exception as e:  # a table may be missing: only its reports fail
+        inputs = SharedInputs(Overlay(t))
+        rows.append(("shared_inputs", "failed", None, time.perf_counter() - t0, f"{type(e).__name__}: {e}"))
+    if validate:
+        try:
+            slice_ = {"orders": period_orders(inputs.tables, p)} if "orders" in inputs.tables else {}
+            assert_unique_keys(Overlay(t, **slice_))
+        except ValueError:
+            inputs.release()
+            raise
     try:
         for name in names or WEEKLY_REPORTS:
             t0 = time.perf_counter()
@@ -142,13 +156,15 @@ def run_all(
             tables = inputs.tables if period == p else t
             try:
                 df = WEEKLY_REPORTS[name](tables, period)
+                if headers:
+                    df = with_labels(df, LABELS.get(name, {}))
                 if out is None:
                     n = write_report(df, "unused", fmt="noop")
                 else:
                     n = write_report(df, report_path(out, name, period.label), fmt, single_file=name in BOUNDED_RESULTS)
                 rows.append((name, "ok", n, time.perf_counter() - t0, None))
             except Exception as e:  # isolate: record and continue
-                message = f"{type(e).__name__}: {e}"[:2000]
+                message = f"{type(e).__name__}: {e}"
                 rows.append((name, "failed", None, time.perf_counter() - t0, message))
                 if out is not None:
                     err = spark.createDataFrame([(message,)], "error string")
@@ -166,6 +182,7 @@ def run_daily(
     out: str | None = None,
     fmt: str = "parquet",
     strict_status: bool = False,
+    headers: bool = False,
 ) -> DataFrame:
     """Daily product totals for every day of a range in one pass.
 
@@ -178,9 +195,12 @@ def run_daily(
     label = f"{start}_to_{end}"
     totals = totals.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_by_date(totals, report_path(out, "daily_product_totals", label), fmt=fmt)
+        # The date column names the partition folders and keeps its name.
+        names = {k: v for k, v in LABELS["daily_product_totals"].items() if k != "report_date"} if headers else {}
+        write_by_date(with_labels(totals, names), report_path(out, "daily_product_totals", label), fmt=fmt)
         status_path = report_path(out, "daily_status", label)
-        write_report(with_empty_dates(totals, date_spine(spark, start, end)), status_path, fmt, single_file=True)
+        status = with_empty_dates(totals, date_spine(spark, start, end))
+        write_report(status, status_path, fmt, single_file=True)
     finally:
         totals.unpersist()
-    return spark.read.format(fmt).load(status_path)
+    return read_report(spark, status_path, status.schema, fmt)

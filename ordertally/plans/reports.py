@@ -1,7 +1,7 @@
 """The report queries as DataFrame plans.
 
 Every builder takes the table dict ``t`` (see ``sources``) and parameters,
-and returns a lazy DataFrame.  Plans follow the same shape:
+and returns a DataFrame.  Plans follow the same shape:
 
 * filter ``orders`` on the period first (pushed to the scan, and a runtime
   bloom filter for the order-lines scan);
@@ -10,13 +10,15 @@ and returns a lazy DataFrame.  Plans follow the same shape:
   unique ``id`` columns of orders, products, categories, store and workers;
 * attach dimensions through size-checked broadcast joins.
 
+Building a report measures the sides it may broadcast (one aggregate each, over
+the date-filtered orders and the dimensions); all else is lazy.
+
 Column names are snake_case; ``LABELS`` maps them back to display names.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import weakref
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,50 +40,13 @@ def period_orders(t: Tables, p: ReportParams) -> DataFrame:
     return t["orders"].filter(P.in_period(p) & P.status_not_in(*P.CANCELLED_STATUSES))
 
 
-_range_stats: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
-
-
-def range_stats(t: Tables, lo, hi):
-    """``(n, min_id, max_id)`` of the orders delivered in ``[lo, hi]``.
-
-    One aggregate over the date-filtered orders scan, computed once per
-    orders table and date range and then reused by every report.
-    """
-    orders = t["orders"]
-    seen = _range_stats.setdefault(orders, {})
-    key = (as_date(lo), as_date(hi))
-    if key not in seen:
-        row = (
-            orders.filter(F.col("delivery_date").between(F.lit(key[0]), F.lit(key[1])))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-            .first()
-        )
-        seen[key] = (row["n"], row["lo"], row["hi"])
-    return seen[key]
-
-
-def period_fits(t: Tables, lo, hi) -> bool:
-    """Whether all orders delivered in ``[lo, hi]`` fit the broadcast bound;
-    every report's filtered subset of them then fits as well."""
-    return range_stats(t, lo, hi)[0] <= J.ORDERS_BROADCAST_MAX_ROWS
-
-
 def lines_for_days(t: Tables, lo, hi) -> DataFrame:
     """Order lines that can belong to orders delivered in ``[lo, hi]``.
 
-    Exact restrictions pushed into the line scan: the date partitions on
-    the staged layout, and -- for table sets that ask for it (database
-    sources; see ``TableSet``) -- ``order_id`` between the lowest and
-    highest id of those orders.  The reports still join the lines to the
-    filtered orders.
+    On the staged layout the date partitions restrict the line scan; the
+    reports still join the lines to the filtered orders.
     """
-    lines = lines_between(t["order_product"], lo, hi)
-    if not getattr(t, "prune_lines_by_order_id", False):
-        return lines
-    _, id_lo, id_hi = range_stats(t, lo, hi)
-    if id_lo is None:  # no orders on those days
-        return lines.filter(F.lit(False))
-    return lines.filter(F.col("order_id").between(F.lit(id_lo), F.lit(id_hi)))
+    return lines_between(t["order_product"], lo, hi)
 
 
 def period_lines(t: Tables, p: ReportParams) -> DataFrame:
@@ -146,8 +111,7 @@ def packing_orders(t: Tables, p: ReportParams) -> DataFrame:
     # Lines of the period's orders only, then products, then one row per
     # order (partial aggregation before the shuffle, so an order with very
     # many lines collapses map-side); order details are attached last.
-    bc = period_fits(t, p.start, p.end)
-    pl = J.with_product(J.lines_of(o, lines, broadcast=bc), t["products"], cols=["packing_action"])
+    pl = J.with_product(J.lines_of(o, lines), t["products"], cols=["packing_action"])
     per_order = pl.groupBy("order_id").agg(
         A.qty_sum("quantity_needed").alias("total_quantity_needed"),
         A.qty_sum("quantity").alias("total_quantity"),
@@ -184,17 +148,16 @@ def packing_by_worker(t: Tables, p: ReportParams) -> DataFrame:
     """
     o = period_orders(t, p).select("id", "packing_worker_id", "sum")
     lines = period_lines(t, p).select("order_id", "quantity")
-    bc = period_fits(t, p.start, p.end)
-    per_order = J.lines_of(o, lines, broadcast=bc).groupBy("order_id").agg(
+    # Worker and order total are fixed-width: they come along with the order id.
+    per_order = J.order_lines(o, lines).groupBy("order_id", "packing_worker_id", "sum").agg(
         F.sum("quantity").alias("q"), F.count(F.lit(1)).alias("n_lines")
     )
-    per_order = J.order_lines(o, per_order, broadcast=False)
     per_total = per_order.groupBy("packing_worker_id", "sum").agg(
         F.count("order_id").alias("n_orders"), F.sum("q").alias("q"), F.sum("n_lines").alias("n_lines")
     )
     per_worker = per_total.groupBy("packing_worker_id").agg(
         F.sum("n_orders").cast("bigint").alias("order_count"),
-        F.sum("q").cast("bigint").alias("quantity"),
+        F.sum("q").alias("quantity"),
         A.money_sum("sum").alias("distinct_sum"),
         F.sum("n_lines").alias("_n"),
     )
@@ -216,7 +179,7 @@ def missing_lines(t: Tables, p: ReportParams) -> DataFrame:
     o = o.select("id", "store_id", "sum", "packing_worker_id")
     lines = period_lines(t, p).filter(F.col("quantity_needed") > F.col("quantity"))
     lines = lines.select("order_id", "product_id", "quantity_needed", "quantity")
-    ol = J.order_lines(o, lines, broadcast=period_fits(t, p.start, p.end))
+    ol = J.order_lines(o, lines)
     ol = J.with_product(ol, t["products"], cols=["name", "name_heb", "name_weight"])
     ol = J.with_store(ol, t["store"])
     ol = J.with_worker(ol, t["workers"], role="packing", how="inner")
@@ -232,14 +195,29 @@ def missing_lines(t: Tables, p: ReportParams) -> DataFrame:
         F.col("p_name_weight").alias("name_weight"),
         "packing_worker_id", "first_name", "last_name",
     )
-    # Lines carry no unique key: a hot order repeating a product would
-    # otherwise put all those equal sort keys into one range partition.
+    # Lines carry no unique key, and a hot order may repeat a product.
     return sorted_desc(out, "order_id", ties=["product_id"], spread_ties=True)
 
 
 # --------------------------------------------------------------------------
 # R5: product totals
 
+# Room for a price in cents, moved above zero by ``_ZERO``; a NULL price takes
+# the last place, so it counts only if the order has no other.
+_PLACES, _ZERO = 10**13, 10**12
+
+
+def _packed_price():
+    cents = F.coalesce((F.col("unit_price") * 100).cast("bigint") + F.lit(_ZERO), F.lit(_PLACES - 1))
+    return (F.col("order_id").cast("decimal(19,0)") * F.lit(_PLACES).cast("decimal(14,0)") + cents).cast("decimal(38,0)")
+
+
+def _unpacked_price(packed: str):
+    place = F.pmod(F.col(packed), F.lit(_PLACES).cast("decimal(38,0)")).cast("bigint")
+    cents = (place - F.lit(_ZERO)).cast("decimal(14,0)")
+    return F.when(place < _PLACES - 1, (cents / 100).cast("decimal(12,2)"))
+
+
 
 def product_totals(t: Tables, p: ReportParams) -> DataFrame:
     """Per product: quantities ordered, billed, delivered and replaceable,
@@ -253,34 +231,23 @@ def product_totals(t: Tables, p: ReportParams) -> DataFrame:
         "order_id", "product_id", "quantity_needed", "quantity",
         "quantity_delivered", "quantity_replaceable", "unit_price",
     )
-    ol = J.lines_of(o, lines, broadcast=period_fits(t, p.start, p.end))
-    # Two hash-aggregate levels instead of a min_by over a struct (which
-    # would force a sort-based aggregate over all lines): per (product,
-    # order) keep the lowest price and additive partial sums, then per
-    # product take the price of the lowest order id.  The first level is
-    # keyed by the order id, so a shuffled order join needs no new exchange.
-    qtys = [
+    ol = J.lines_of(o, lines)
+    # One hash aggregate per product, so only partial rows are exchanged.
+    # The price of the lowest order id comes from the least packed number
+    # (order id, then price), which needs no sort as a struct would.
+    aggs = [
+        F.min(_packed_price()).alias("_price"),
+        F.try_divide(F.sum("unit_price").cast("double"), F.count("unit_price")).alias("avg_unit_price"),
+    ]
+    for qty, name in (
         ("quantity_needed", "ordered"),
         ("quantity", "billed"),
         ("quantity_delivered", "delivered"),
         ("quantity_replaceable", "replaceable"),
-    ]
-    level1 = [
-        F.min("unit_price").alias("_min_price"),
-        F.sum("unit_price").alias("_price_sum"),
-        F.count("unit_price").alias("_price_n"),
-    ]
-    level2 = [
-        F.min_by("_min_price", "order_id").alias("order_price"),
-        F.try_divide(F.sum("_price_sum").cast("double"), F.sum("_price_n")).alias("avg_unit_price"),
-    ]
-    for qty, name in qtys:
-        level1.append(F.sum(qty).alias(f"_q_{name}"))
-        level1.append(F.sum(A.line_value(qty, "unit_price")).alias(f"_v_{name}"))
-        level2.append(A.qty_sum(f"_q_{name}").alias(f"quantity_{name}"))
-        level2.append(A.money_sum(f"_v_{name}").alias(f"total_{name}"))
-    per_order = ol.groupBy("product_id", "order_id").agg(*level1)
-    g = per_order.groupBy("product_id").agg(*level2)
+    ):
+        aggs.append(A.qty_sum(qty).alias(f"quantity_{name}"))
+        aggs.append(A.money_sum(A.line_value(qty, "unit_price")).alias(f"total_{name}"))
+    g = ol.groupBy("product_id").agg(*aggs).withColumn("order_price", _unpacked_price("_price"))
     g = J.with_product(g, t["products"], cols=["name_heb", "category_id", "price", "low_cost_price"], prefix="p_")
     g = J.with_category(g, t["categories"], key="p_category_id")
     out = g.select(
@@ -347,7 +314,7 @@ def coupon_orders(t: Tables, p: ReportParams) -> DataFrame:
         F.col("id").alias("order_id"), "customer_id", "created_date", "sum",
         "discount_sum", "discount_promotions", "coupons",
     )
-    return sorted_desc(out, "order_id")
+    return sorted_desc(out, "order_id", settle="order_id")
 
 
 # --------------------------------------------------------------------------
@@ -412,7 +379,7 @@ def daily_detail(t: Tables, day) -> DataFrame:
         P.on_day(day) & P.window_in(0, 1) & P.status_in(*P.DAILY_STATUSES)
     ).select("id")
     lines = lines_for_days(t, day, day).select("order_id", "product_id", "quantity", "quantity_needed")
-    ol = J.lines_of(o, lines, broadcast=period_fits(t, day, day))
+    ol = J.lines_of(o, lines)
     ol = J.with_product(ol, t["products"], cols=["name", "name_heb", "price", "product_list"], prefix="")
     return ol.select("product_id", "name", "name_heb", "price", "product_list", "quantity", "quantity_needed")
 
@@ -444,7 +411,7 @@ def daily_product_totals(t: Tables, start, end=None, strict_status: bool = False
     )
     lines = lines_for_days(t, s, e + dt.timedelta(days=1))
     lines = lines.select("order_id", "product_id", "quantity_needed", "quantity")
-    ol = J.order_lines(o, lines, broadcast=period_fits(t, s, e + dt.timedelta(days=1)))
+    ol = J.order_lines(o, lines)
     g = ol.groupBy("report_date", "product_id").agg(
         A.qty_sum("quantity_needed").alias("quantity_needed"),
         A.qty_sum("quantity").alias("total_supplied"),

@@ -1,7 +1,9 @@
 """Explicit schemas of the eight order-reporting tables and key checks.
 
 The source system never declares types; these are fixed here so that money
-stays exact (DECIMAL) and dates are calendar days (DATE).
+stays exact (DECIMAL) and dates are calendar days (DATE).  Two kinds of
+column keep the type their source has: quantities are whole numbers (INT) or
+weights (DECIMAL(12,3)), and ``created_date`` is a DATE or a TIMESTAMP.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(12, 2)
+WEIGHT = T.DecimalType(12, 3)
+QUANTITIES = ("quantity_needed", "quantity", "quantity_delivered", "quantity_replaceable")
 
 ORDERS = T.StructType(
     [
@@ -117,9 +121,57 @@ UNIQUE_KEYS: dict[str, str] = {
 }
 
 
+def resolved(schema: T.StructType, source: T.StructType) -> T.StructType:
+    """``schema`` with quantities and ``created_date`` typed as ``source`` has them."""
+    types = {f.name.lower(): f.dataType for f in source.fields}
+
+    def of(f: T.StructField) -> T.DataType:
+        have = types.get(f.name)
+        if f.name in QUANTITIES and have is not None and not isinstance(have, T.IntegralType):
+            return WEIGHT
+        if f.name == "created_date" and isinstance(have, (T.TimestampType, T.TimestampNTZType)):
+            return have
+        return f.dataType
+
+    return T.StructType([T.StructField(f.name, of(f), f.nullable) for f in schema.fields])
+
+
+def _always_exact(have: T.DataType, want: T.DataType) -> bool:
+    """Whether every value of one type is one of the other."""
+    if have == want or isinstance(have, T.NullType):
+        return True
+    sizes = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    if isinstance(have, T.IntegralType):
+        if isinstance(want, T.IntegralType):
+            return sizes[type(have)] <= sizes[type(want)]
+        return isinstance(want, T.DecimalType) and sizes[type(have)] <= want.precision - want.scale
+    if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType):
+        return have.scale <= want.scale and have.precision - have.scale <= want.precision - want.scale
+    return False
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast ``df`` to ``schema`` (column order and types)."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Select and cast ``df`` to ``schema`` (column order and types; see ``resolved``).
+
+    A value that its column's type cannot hold exactly fails the read with
+    the column's name; nothing is rounded or cut.  Columns that need no such
+    check stay plain casts, so filters on them are still pushed down.
+    """
+    have = {f.name.lower(): f.dataType for f in df.schema.fields}  # databases may fold names
+
+    def cast(f: T.StructField):
+        c = F.col(f.name)
+        out = c.try_cast(f.dataType)
+        if _always_exact(have[f.name], f.dataType):
+            return c.cast(f.dataType).alias(f.name)
+        if isinstance(have[f.name], T.StringType):
+            exact = out.isNotNull()
+        else:
+            exact = out.try_cast(have[f.name]) == c
+        text = F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), c.cast("string"))
+        return F.when(c.isNull() | exact, out).otherwise(F.raise_error(text).cast(f.dataType)).alias(f.name)
+
+    return df.select([cast(f) for f in resolved(schema, df.schema).fields])
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -49,17 +49,27 @@ def apply_recommended(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared folder and is used as is; only
-    when it is unset (local tests) a scratch folder is created.
+    On a cluster this setting names a shared folder and is used as is.  A
+    local session without it gets a scratch folder; elsewhere that would be
+    another folder on every machine, so it is refused.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ordertally-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate or replaced files, wherever it lies."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables inside the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), name)

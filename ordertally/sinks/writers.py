@@ -47,6 +47,12 @@ def write_by_date(df: DataFrame, path: str, date_col: str = "report_date", fmt:
     return int(obs.get["n_rows"])
 
 
+def read_report(spark, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """A written report with its types."""
+    reader = spark.read.schema(schema).format(fmt)
+    return (reader.option("header", "true") if fmt == "csv" else reader).load(path)
+
+
 def with_empty_dates(df: DataFrame, spine: DataFrame, date_col: str = "report_date") -> DataFrame:
     """Per day of ``spine``: the number of result rows and ``'OK'`` or ``'No Data'``.
 

@@ -30,13 +30,23 @@ SELECT o_orderkey AS id, o_orderkey + 500000 AS wp_id, o_custkey AS customer_id,
   concat('L', CAST(o_custkey % 50 AS VARCHAR(20))) AS last_name,
   concat('05', CAST(o_custkey AS VARCHAR(20)), '-', CAST(o_orderkey % 2 AS VARCHAR(20))) AS phone,
   concat('NATION_', CAST(o_custkey % 27 AS VARCHAR(20))) AS city,
-  nullif(o_orderkey % 12, 0) AS packing_worker_id, o_orderkey % 6 AS dispatcher_worker_id
+  CASE WHEN o_orderkey % 12 > 8 THEN -(o_orderkey % 12) ELSE nullif(o_orderkey % 12, 0) END AS packing_worker_id, o_orderkey % 6 AS dispatcher_worker_id
 FROM {orders}""",
     "order_product": """
 SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS quantity_needed,
   greatest(CAST(l_quantity AS INT) - CASE WHEN l_returnflag = 'R' THEN l_linenumber ELSE 0 END, 0) AS quantity,
   greatest(CAST(l_quantity AS INT) - CASE WHEN l_returnflag = 'R' THEN l_linenumber ELSE 0 END, 0) AS quantity_delivered,
   l_linenumber % 2 AS quantity_replaceable, CAST(l_extendedprice AS DECIMAL(12,2)) AS unit_price
+FROM {lineitem}""",
+    # The same lines sold by weight: quantities with three places.
+    "order_product_weight": """
+SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity / 8 AS DECIMAL(12,3)) AS quantity_needed,
+  CAST(greatest(l_quantity / 8 - CASE WHEN l_returnflag = 'R' THEN l_linenumber / 4 ELSE 0 END, 0) AS DECIMAL(12,3))
+    AS quantity,
+  CAST(greatest(l_quantity / 8 - CASE WHEN l_returnflag = 'R' THEN l_linenumber / 4 ELSE 0 END, 0) AS DECIMAL(12,3))
+    AS quantity_delivered,
+  CAST(l_linenumber % 2 AS DECIMAL(12,3)) AS quantity_replaceable,
+  CAST(l_extendedprice AS DECIMAL(12,2)) AS unit_price
 FROM {lineitem}""",
     "products": """
 SELECT p_partkey AS id, p_name AS name, concat('H ', p_name) AS name_heb,
@@ -48,11 +58,11 @@ FROM {part}""",
     "categories": """
 SELECT DISTINCT CAST(substr(p_brand, 7) AS INT) AS id, p_brand AS name FROM {part}""",
     "store": """
-SELECT CAST(80 + s_suppkey AS INT) AS id, s_name AS name FROM {supplier} WHERE s_suppkey < 7""",
+SELECT CAST(80 + s_suppkey AS INT) AS id, s_name AS name FROM {supplier}""",
     "workers": """
 SELECT s_suppkey AS id, concat('W', CAST(s_suppkey AS VARCHAR(10))) AS first_name,
   concat('X', CAST(s_suppkey AS VARCHAR(10))) AS last_name
-FROM {supplier} WHERE s_suppkey BETWEEN 1 AND 8""",
+FROM {supplier}""",
     "cities": """
 SELECT n_name AS name, n_regionkey AS city_group_id FROM {nation}""",
     "city_groups": """
@@ -63,6 +73,7 @@ SELECT r_regionkey AS id, CASE WHEN r_name = 'ASIA' THEN '' ELSE r_name END AS d
 FIXTURE_SOURCE = {
     "orders": "orders",
     "order_product": "lineitem",
+    "order_product_weight": "lineitem",
     "products": "part",
     "categories": "part",
     "store": "supplier",
@@ -88,7 +99,7 @@ def fixture_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     src = FIXTURE_SOURCE[name]
     base = spark.read.parquet(base_path(sf_dir, src))
     df = spark.sql(FIXTURE_SQL[name], **{src: base})
-    return S.conform(df, S.SCHEMAS[name])
+    return S.conform(df, S.SCHEMAS[name.removesuffix("_weight")])
 
 
 class FixtureTables(dict):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordertally import schema as S
-from ordertally.sources.tableset import TableSet
 
 REQUIRED = ("url", "user", "password")
 
@@ -55,7 +54,7 @@ def load_jdbc(
     column with bounds and ``num_partitions`` so the database is read in
     parallel ranges.  Filters on the result are pushed to the database.
     """
-    opts = {"url": url, "dbtable": table, **(props or {})}
+    opts = {"url": url, "dbtable": table, "fetchsize": str(FETCH_ROWS), **(props or {})}
     needed = REQUIRED if require_credentials else ("url",)
     missing = [k for k in needed if not opts.get(k)]
     if missing:
@@ -105,8 +104,11 @@ def load_jdbc_partitioned(
     )
 
 
-# Columns the large tables are split on for parallel reads.
+# Columns the large tables are split on for parallel reads, and into how many.
 SPLIT_COLUMNS = {"orders": "id", "order_product": "order_id"}
+SPLIT = 16
+# Rows fetched at a time; without it some drivers hold a whole result.
+FETCH_ROWS = 10_000
 
 
 def load_jdbc_tables(
@@ -119,13 +121,13 @@ def load_jdbc_tables(
 ) -> dict[str, DataFrame]:
     """All report tables from one database, conformed to the declared schemas.
 
-    ``ranges`` maps a table name to ``dict(partition_column=..., lower=...,
-    upper=..., num_partitions=...)``; with ``split=n`` the large tables
-    (orders, order lines) are instead read in ``n`` ranges of their id
-    columns, bounds taken from the database.
+    The large tables (orders, order lines) are read in ``split`` ranges of
+    their id columns (``SPLIT`` by default; 0 reads each in one task), bounds
+    taken from the database.  ``ranges`` maps a table name to its own
+    ``dict(partition_column=..., lower=..., upper=..., num_partitions=...)``.
     """
-    split = ranges.pop("split", None)
-    out = TableSet(prune_lines_by_order_id=True)
+    split = ranges.pop("split", SPLIT)
+    out = {}
     for name in names or S.SCHEMAS:
         if split and name in SPLIT_COLUMNS and name not in ranges:
             df = load_jdbc_partitioned(spark, url, name, SPLIT_COLUMNS[name], split, props, require_credentials)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ordertally import schema as S
 from ordertally.params import as_date
-from ordertally.sources.tableset import TableSet
 
 
 def table_path(root: str, name: str) -> str:
@@ -21,20 +20,39 @@ def table_path(root: str, name: str) -> str:
 
 
 def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One table with its declared schema (no inference, pruning and pushdown apply)."""
-    return spark.read.schema(S.SCHEMAS[name]).parquet(table_path(root, name))
+    """One table with its declared schema; pruning and pushdown apply.
 
+    Tables with columns that keep their source's type (``schema.resolved``)
+    are typed by their files.
+    """
+    path = table_path(root, name)
+    if name in KEEP_TYPES:
+        found = spark.read.parquet(path)
+        return S.conform(found, S.SCHEMAS[name]) if _differs(found, name) else _typed(spark, path, name, found.schema)
+    return spark.read.schema(S.SCHEMAS[name]).parquet(path)
 
-def load_tables(spark: SparkSession, root: str, names=None, prune_lines_by_order_id: bool = False) -> TableSet:
-    """All (or the named) report tables under ``root`` as lazy DataFrames.
 
-    Set ``prune_lines_by_order_id`` when order lines are stored clustered by
-    order id (see ``TableSet``).
-    """
-    return TableSet(
-        {n: load_table(spark, root, n) for n in (names or S.SCHEMAS)},
-        prune_lines_by_order_id=prune_lines_by_order_id,
-    )
+# Tables with columns that keep their source's type.
+KEEP_TYPES = ("orders", "order_product")
+
+
+def _typed(spark: SparkSession, path: str, name: str, found) -> DataFrame:
+    schema = S.resolved(S.SCHEMAS[name], found)
+    extra = [f for f in found.fields if f.name not in schema.names]  # a date partition of the lines
+    if extra:
+        schema = type(schema)(schema.fields + extra)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _differs(found: DataFrame, name: str) -> bool:
+    """Whether the files hold other types than the table, so that values need a checked cast."""
+    have = {f.name: f.dataType for f in found.schema.fields}
+    return any(have.get(f.name, f.dataType) != f.dataType for f in S.resolved(S.SCHEMAS[name], found.schema).fields)
+
+
+def load_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
+    """All (or the named) report tables under ``root`` as lazy DataFrames."""
+    return {n: load_table(spark, root, n) for n in (names or S.SCHEMAS)}
 
 
 def write_tables(
@@ -55,6 +73,8 @@ def write_tables(
     ``names`` limits the tables written (default: every report table present).
     """
     wanted = names or [n for n in S.SCHEMAS if _has(tables, n)]
+    # Lines first: whoever sees an order then finds its lines.
+    wanted = sorted(wanted, key=lambda n: n != "order_product")
     for name in wanted:
         df = tables[name]
         path = os.path.join(root, name)
@@ -63,10 +83,12 @@ def write_tables(
             staged.write.mode(mode).partitionBy("delivery_date").parquet(path)
         elif name == "order_product" and lines_by_date and _has(tables, "orders"):
             days = tables["orders"].select(F.col("id").alias("_oid"), "delivery_date")
+            df = df.drop("delivery_date")  # of an earlier staging
             dated = df.join(days, df["order_id"] == days["_oid"], "left").drop("_oid")
             staged = dated.hint("rebalance", "delivery_date").sortWithinPartitions("delivery_date", "order_id")
             staged.write.mode(mode).partitionBy("delivery_date").parquet(path)
         elif name == "order_product":
+            df = df.drop("delivery_date")
             df.sortWithinPartitions("order_id").write.mode(mode).parquet(path)
         else:
             df.write.mode(mode).parquet(path)

@@ -88,12 +88,10 @@ def test_zone_join_with_collation(spark):
     assert [(r["id"], r["zone"]) for r in got] == [(1, "center")]
 
 
-def test_small_side_check_falls_back_above_bound(spark):
-    t = make_tables(spark)
-    assert J.fits_broadcast(t["store"], max_rows=10)
-    assert not J.fits_broadcast(t["store"], max_rows=2)
-    plan = t["orders"].join(J.small_side(t["store"], max_rows=2), t["orders"]["store_id"] == t["store"]["id"])
-    assert plan.count() == 0
+def test_sides_are_broadcast_by_bytes(spark):
+    side = spark.range(100).selectExpr("id", "if(id = 0, null, 'xx') as name")
+    assert J.side_bytes(side) == 100 * 32 + 99 * 2 and J.side_bytes(side.limit(0)) == 0
+    assert J.fits_broadcast(side, 3398) and not J.fits_broadcast(side, 3397)
 
 
 def test_unique_key_check(spark):

@@ -37,10 +37,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.BUILDERS) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.BUILDERS))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     scols, srows = _canon(df.columns, [tuple(r) for r in df.collect()])

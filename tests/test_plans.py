@@ -50,7 +50,7 @@ def test_bounded_period_never_shuffles_the_line_table(at_scale):
 def test_large_period_aggregates_on_the_join_partitioning(at_scale, monkeypatch):
     from ordertally.operators import joins as J
 
-    monkeypatch.setattr(J, "ORDERS_BROADCAST_MAX_ROWS", 0)  # as if the period had too many orders
+    monkeypatch.setattr(J, "ORDERS_BROADCAST_BYTES", 0)  # as if the period had too many orders
     p = plan(at_scale, "packing_orders")
     assert "SortMergeJoin" in p
     # lines and order ids for the semi join, order details for the final join;
@@ -91,39 +91,51 @@ def test_zone_report_prunes_columns_and_aggregates_before_dimensions(at_scale):
     assert simple.count("Exchange hashpartitioning") == 2  # (store, city) pre-aggregate, then (store, zone)
 
 
-def _outside_cached(plan_text: str) -> str:
-    """The plan lines that are not part of a cached relation's own plan."""
-    kept, cached_at = [], None
-    for line in plan_text.splitlines():
-        depth = len(line) - len(line.lstrip(" :|+-"))
-        if cached_at is not None and depth > cached_at:
-            continue
-        cached_at = depth if "InMemoryRelation" in line else None
-        kept.append(line)
-    return "\n".join(kept)
+def test_product_totals_exchanges_partial_rows_once(at_scale):
+    p = plan(at_scale, "product_totals")
+    exchanges = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
+    of_lines = [line for line in exchanges if "product_id" in line or "order_id" in line]
+    assert len(of_lines) == 1 and "order_id" not in of_lines[0]
 
 
-def test_shared_bundle_slice_is_co_partitioned(at_scale, monkeypatch):
+def test_size_checks_send_no_rows_to_one_task(at_scale):
     from ordertally.operators import joins as J
-    from ordertally.plans import bundle as Bn
-    from ordertally.plans import reports as R
     from ordertally.sources.fixtures import fixture_tables
 
-    monkeypatch.setattr(J, "ORDERS_BROADCAST_MAX_ROWS", 0)  # long period: shuffled order joins
-    shared = Bn.shared_inputs(fixture_tables(at_scale, SF), E.PERIOD, "persist")
+    t = fixture_tables(at_scale, SF)
+    seen = []
+    first = type(t["orders"]).first
     try:
-        df = R.packing_orders(shared.tables, E.PERIOD)
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        p = _outside_cached(buf.getvalue())
-        assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
-        # the cached slice is already partitioned by order id: only the
-        # report's ORDER BY exchanges data
-        assert "Exchange hashpartitioning" not in p
-        assert "Exchange rangepartitioning" in p
+        type(t["orders"]).first = lambda self: (seen.append(self), first(self))[1]
+        assert J.fits_broadcast(t["orders"].select("id", "sum"))
     finally:
-        shared.release()
+        type(t["orders"]).first = first
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        seen[0].explain()
+    assert "LocalLimit" not in buf.getvalue() and "partial_count" in buf.getvalue()
+
+
+def test_coupon_orders_scan_the_table_once(spark, tmp_path):
+    """Records that tasks read while the report runs, by the table's own row count."""
+    from pyspark.sql import functions as F
+
+    from ordertally.operators.sorting import sorted_desc
+
+    spark.range(50_000).withColumn("v", F.col("id") % 7).write.parquet(str(tmp_path / "t"))
+    seen = spark.sparkContext.accumulator(0)
+    table = spark.read.parquet(str(tmp_path / "t"))
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = table.mapInArrow(count, table.schema)
+    sorted_desc(rows, "id", settle="id").write.format("noop").mode("overwrite").save()
+    assert seen.value == 50_000
+    sorted_desc(rows, "v", ties=["id"], spread_ties=True).write.format("noop").mode("overwrite").save()
+    assert seen.value == 100_000
 
 
 def test_spread_ties_balances_a_repeated_sort_key(spark):

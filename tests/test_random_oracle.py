@@ -19,7 +19,6 @@ import pytest
 
 import __spark_entry__ as E
 from ordertally import schema as S
-from ordertally.sources.tableset import TableSet
 
 DAY0 = [dt.date(1995, 12, 20) + dt.timedelta(days=i) for i in range(200)]  # around the period
 DAY1 = [dt.date(1998, 2, 18) + dt.timedelta(days=i) for i in range(35)]  # around the daily range
@@ -74,12 +73,22 @@ def random_tables(seed: int) -> dict[str, list[tuple]]:
     workers = [(i, _maybe(rng, f"W{i}"), f"X{i}") for i in range(1, 9)]  # workers 9-11 unknown
     cities = [("TLV", 1), ("HFA", 2), ("JLM", 3), ("BSH", 4), ("TLV", 1)]  # TLV twice; EILAT missing
     city_groups = [(1, "center"), (2, ""), (3, None), (4, "south")]
+    eighths = lambda q: None if q is None else decimal.Decimal(q) / 8
+    by_weight = [(*x[:2], *map(eighths, x[2:6]), x[6]) for x in lines]
     return {
-        "orders": orders, "order_product": lines, "products": products, "categories": categories,
+        "orders": orders, "order_product": lines, "order_product_weight": by_weight, "products": products, "categories": categories,
         "store": store, "workers": workers, "cities": cities, "city_groups": city_groups,
     }
 
 
+SCHEMAS = {
+    **S.SCHEMAS,
+    "order_product_weight": S.T.StructType(
+        [S.T.StructField(f.name, S.WEIGHT if f.name in S.QUANTITIES else f.dataType) for f in S.ORDER_PRODUCT.fields]
+    ),
+}
+
+
 def _norm(v):
     if isinstance(v, float):
         return repr(v)
@@ -93,19 +102,19 @@ def _canon(cols, rows):
     return [cols[i] for i in order], collections.Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.fixture(scope="module", params=[(11, False), (29, True)], ids=["seed11", "seed29-id-pruned"])
+@pytest.fixture(scope="module", params=[11, 29])
 def random_world(spark, request):
-    seed, prune = request.param
+    seed = request.param
     data = random_tables(seed)
     root = tempfile.mkdtemp(prefix="ordertally-random-")
     con = duckdb.connect()
     tables = {}
     for name, rows in data.items():
         path = os.path.join(root, name)
-        spark.createDataFrame(rows, S.SCHEMAS[name]).write.parquet(path)
-        tables[name] = spark.read.schema(S.SCHEMAS[name]).parquet(path)
+        spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(path)
+        tables[name] = spark.read.schema(SCHEMAS[name]).parquet(path)
         con.execute(f"CREATE VIEW f_{name} AS SELECT * FROM read_parquet('{path}/*.parquet')")
-    return TableSet(tables, prune_lines_by_order_id=prune), con
+    return tables, con
 
 
 @pytest.mark.parametrize("name", sorted(E.BUILDERS))

@@ -36,7 +36,7 @@ def skew_session(spark, monkeypatch):
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(J, "ORDERS_BROADCAST_MAX_ROWS", 0)  # long period: shuffled order/line join
+    monkeypatch.setattr(J, "ORDERS_BROADCAST_BYTES", 0)  # long period: shuffled order/line join
     yield spark
     for k, v in old.items():
         if v is None:
@@ -91,3 +91,17 @@ def test_hot_order_in_product_totals(skew_session):
     got = {r["product_id"]: r for r in R.product_totals(t, P).collect()}
     assert sum(r["quantity_billed"] for r in got.values()) == N_LINES
     assert got[1]["order_price"] == 5
+
+
+def test_hot_order_stays_spread_on_the_shared_path(skew_session):
+    from ordertally.params import ReportParams
+    from ordertally.plans import bundle as Bn
+
+    t = _tables(skew_session)
+    p = ReportParams("2025-01-01", "2025-01-03")
+    shared = Bn.shared_inputs(t, p, "persist")
+    try:
+        sizes = sorted(shared.tables["order_product"].rdd.glom().map(len).collect())
+        assert sum(sizes) == N_LINES and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        shared.release()

@@ -42,3 +42,46 @@ def test_incremental_daily_totals_match_batch(spark):
     q.awaitTermination()
     everything = PQ.load_tables(spark, root)
     assert _canon(spark.read.parquet(out)) == _canon(R.daily_product_totals(everything, "2025-01-01", "2025-01-05"))
+
+
+def test_lines_that_land_late_and_days_that_empty(spark):
+    root = tempfile.mkdtemp(prefix="ordertally-stream-src-")
+    out = os.path.join(tempfile.mkdtemp(prefix="ordertally-stream-out-"), "daily")
+    ckpt = os.path.join(tempfile.mkdtemp(prefix="ordertally-stream-ckpt-"), "c")
+
+    def step():
+        SD.start_daily_totals(spark, root, out, checkpoint=ckpt).awaitTermination()
+        return sorted({str(r.report_date) for r in spark.read.parquet(out).collect()})
+
+    days = ["2025-01-02", "2025-01-05", "2024-01-05"]
+    world = make_tables(
+        spark,
+        orders=[{"id": i, "delivery_date": D(d), "delivery_window": 1} for i, d in enumerate(days)],
+        lines=[{"order_id": 0}, {"order_id": 1}, {"order_id": 2}],
+    )
+    first = {**world, "orders": world["orders"].filter("id = 0"), "order_product": world["order_product"].filter("order_id = 0")}
+    PQ.write_tables(first, root)
+    assert step() == ["2025-01-02"]
+    # an order without its lines yet, then the lines
+    PQ.write_tables({"orders": world["orders"].filter("id = 1")}, root, mode="append", names=["orders"])
+    assert step() == ["2025-01-02"]
+    late = {"orders": world["orders"], "order_product": world["order_product"].filter("order_id = 1")}
+    PQ.write_tables(late, root, mode="append", names=["order_product"])
+    assert step() == ["2025-01-02", "2025-01-05"]
+    # an order a year back recomputes only its own days
+    calls, refresh = [], SD.refresh_days
+    SD.refresh_days = lambda *a: (calls.append(a[3:5]), refresh(*a))
+    try:
+        PQ.write_tables(
+            {"orders": world["orders"].filter("id = 2"), "order_product": world["order_product"].filter("order_id = 2")},
+            root, mode="append", names=["orders", "order_product"],
+        )
+        assert step() == ["2024-01-05", "2025-01-02", "2025-01-05"]
+    finally:
+        SD.refresh_days = refresh
+    assert calls == [(D("2024-01-04"), D("2024-01-05"))]
+    # a day that has no rows any more loses its partition
+    SD.refresh_days(spark, root, out, D("2025-01-03"), D("2025-01-04"))
+    os.makedirs(os.path.join(out, "report_date=2025-01-03"))
+    SD.refresh_days(spark, root, out, D("2025-01-03"), D("2025-01-04"))
+    assert not os.path.exists(os.path.join(out, "report_date=2025-01-03"))
