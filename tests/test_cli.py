@@ -98,3 +98,52 @@ def test_weekly_run_with_per_report_periods(spark):
     half = spark.read.parquet(os.path.join(out, "customer_orders_1996-01-01_to_1996-06-30")).count()
     assert year > half > 0
     assert cli.main(["weekly", "--fixtures", SF, "--out", out, "--period-for", "nope=1:2"], spark=spark) == 2
+
+
+@pytest.mark.parametrize("extra", [["--end", "1996-06-30"], ["--cutoff", "1996-05-01"]])
+def test_dates_without_a_start_are_refused(spark, extra, capsys):
+    out = tempfile.mkdtemp(prefix="ordertally-cli-")
+    assert cli.main(["weekly", "--fixtures", SF, "--out", out, *extra], spark=spark) == 2
+    assert "--start" in capsys.readouterr().err and not os.listdir(out)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_daily_run_in_every_format(spark, fmt, capsys):
+    out = tempfile.mkdtemp(prefix="ordertally-cli-")
+    args = ["daily", "--fixtures", SF, "--out", out, "--range", "250298-160398", "--format", fmt]
+    assert cli.main(args, spark=spark) == 0
+    assert "days without data: " in capsys.readouterr().out
+
+
+def test_headers_are_the_display_names(spark):
+    out = tempfile.mkdtemp(prefix="ordertally-cli-")
+    args = ["weekly", "--fixtures", SF, "--out", out, "--start", "1996-01-01", "--end", "1996-06-30", "--headers"]
+    assert cli.main(args, spark=spark) == 0
+    got = spark.read.parquet(os.path.join(out, "missing_lines_1996-01-01_to_1996-06-30")).columns
+    assert "missing quantity" in got and "missing_quantity" not in got
+    assert cli.main(["daily", "--fixtures", SF, "--out", out, "--range", "250298", "--headers"], spark=spark) == 0
+    got = spark.read.parquet(os.path.join(out, "daily_product_totals_1998-02-25_to_1998-02-25")).columns
+    assert "Total_Supplied" in got
+
+
+def test_detail_run_leaves_an_error_table(spark, monkeypatch):
+    out = tempfile.mkdtemp(prefix="ordertally-cli-")
+
+    def broken(*a):
+        raise RuntimeError("x" * 5000)
+
+    monkeypatch.setattr(cli, "daily_detail", broken)
+    assert cli.main(["detail", "--fixtures", SF, "--out", out, "--day", "1998-02-25"], spark=spark) == 1
+    row = spark.read.parquet(os.path.join(out, "daily_detail_1998-02-25")).first()
+    assert row.error == "RuntimeError: " + "x" * 5000
+
+
+def test_checkpoint_folder_is_required_off_local():
+    from ordertally.session import ensure_checkpoint_dir
+
+    class Unset:
+        conf = {}
+        sparkContext = type("C", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Unset)

@@ -33,6 +33,10 @@ def test_yesterday_and_cutoff_default():
         ("010175", "1975-01-01"),
         ("010168", "2068-01-01"),
         ("010169", "1969-01-01"),
+        ("11125", "2025-01-11"),
+        ("1125", "2025-01-01"),
+        ("45125", None),
+        ("\t111125\n", "2025-11-11"),
         ("310225", None),
         ("junk", None),
         ("2025-11-11", None),
@@ -146,7 +150,8 @@ def test_parse_day_agrees_with_python_on_random_dates(spark):
         else:
             text = f"{day}{'.' if form == 'dots' else '/'}{month}{'.' if form == 'dots' else '/'}{yy}"
         texts.append(rng.choice(["", " "]) + text + rng.choice(["", "  "]))
-    texts += ["310225", "290223", "290224", "00.01.25", "1.13.25", "12-12-25", "121225x"]
+    texts += ["".join(rng.choice("0123456789") for _ in range(rng.choice([3, 4, 5, 5, 6, 7]))) for _ in range(400)]
+    texts += ["\t11125\n", "310225", "290223", "290224", "00.01.25", "1.13.25", "12-12-25", "121225x"]
     df = spark.createDataFrame([(x,) for x in texts], "s string")
     got = {r["s"]: r["d"] for r in df.select("s", FD.parse_day("s").alias("d")).collect()}
     assert got == {x: _python_day(x) for x in texts}

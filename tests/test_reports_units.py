@@ -288,3 +288,52 @@ def test_reversed_range_raises(spark):
         R.daily_product_totals(t, "2025-01-03", "2025-01-01")
     with pytest.raises(ValueError):
         ReportParams("2025-01-03", "2025-01-01")
+
+
+def test_order_of_rows_ties_included(spark):
+    day = [D("2025-01-02"), D("2025-01-05"), D("2025-01-02"), D("2025-01-05")]
+    t = make_tables(
+        spark,
+        orders=[{"id": i + 1, "delivery_date": d, "customer_id": 9 - i, "city": ["TLV", "HFA"][i % 2]} for i, d in enumerate(day)],
+        lines=[
+            {"order_id": 1, "product_id": 2, "quantity_needed": 5, "quantity": 1},
+            {"order_id": 1, "product_id": 1, "quantity_needed": 5, "quantity": 1},
+            {"order_id": 2, "product_id": 1, "quantity_needed": 3, "quantity": 1},
+            {"order_id": 3, "product_id": 2, "quantity_needed": 3, "quantity": 1},
+            {"order_id": 4, "product_id": 1, "quantity_needed": 1, "quantity": 0},
+            {"order_id": 4, "product_id": 1, "quantity_needed": 1, "quantity": 0},
+        ],
+        city_groups=[(1, "center"), (2, "north")],
+    )
+    # R2: newest day first, then the lower id
+    assert [r["order_id"] for r in collect(R.packing_orders(t, P))] == [2, 4, 1, 3]
+    # R4: highest order first, then the product; equal lines both appear
+    got = [(r["order_id"], r["product_id"]) for r in collect(R.missing_lines(t, P))]
+    assert got == [(4, 1), (4, 1), (3, 2), (2, 1), (1, 1), (1, 2)]
+    # R5: larger quantity first
+    assert [(r["product_id"], r["quantity_ordered"]) for r in collect(R.product_totals(t, P))] == [(1, 10), (2, 8)]
+    # R9: equal counts by customer; R12: equal counts by zone
+    assert [r["customer_id"] for r in collect(R.recent_customers(t, P))] == [6, 7, 8, 9]
+    assert [r["zone"] for r in collect(R.zone_totals(t, P))] == ["center", "north"]
+
+
+def test_identical_rows_beyond_a_chunk_all_come_back(spark, monkeypatch):
+    from ordertally.operators import sorting
+
+    monkeypatch.setattr(sorting, "EQUAL_ROWS", 3)
+    df = spark.createDataFrame([(1, "a")] * 10 + [(2, None)] * 4 + [(None, "b")], "k int, v string")
+    got = [tuple(r) for r in sorting.sorted_desc(df, "k", spread_ties=True).collect()]
+    assert got == [(2, None)] * 4 + [(1, "a")] * 10 + [(None, "b")]
+
+
+def test_order_price_of_null_and_negative_prices(spark):
+    t = make_tables(
+        spark, orders=[{"id": 5}, {"id": 10**15}],
+        lines=[
+            {"order_id": 5, "product_id": 1, "unit_price": None}, {"order_id": 5, "product_id": 1, "unit_price": M("-2.5")},
+            {"order_id": 10**15, "product_id": 1, "unit_price": M("-9")},
+            {"order_id": 5, "product_id": 2, "unit_price": None}, {"order_id": 10**15, "product_id": 2, "unit_price": M(3)},
+        ],
+    )
+    got = {r["product_id"]: r["order_price"] for r in collect(R.product_totals(t, P))}
+    assert got == {1: M("-2.50"), 2: None}
