@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import col, fields, map_arrow, map_columns, staged, words_of
+from ordertally.llm.common import col, fields, map_arrow, map_columns, pieces, staged, words_of
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -54,7 +54,7 @@ def word_counts(docs: DataFrame, vocabulary) -> dict[bytes, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = vocabulary.value, Counter()
-        for b in batches:
+        for b in pieces(batches):
             for text in b.column(0).to_pylist():
                 counts.update(filter(known.__contains__, words_of(text)))
         if counts:

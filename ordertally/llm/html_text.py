@@ -43,9 +43,14 @@ FURNITURE_WORDS = frozenset(
     "aside footer foot header masthead topbar toolbar cookie cookies consent gdpr notice notices notification alert "
     "popup modal overlay newsletter subscribe subscription signup login search share sharing social related "
     "recommended recommendations teaser teasers widget widgets comment comments commentlist discussion disqus replies "
-    "reply respond reader readers pagination pager copyright legal disclaimer skip toc complementary contentinfo "
+    "reply respond pagination pager copyright legal disclaimer skip toc complementary contentinfo "
     "dialog alertdialog form".split()
 )
+# Furniture only outside of the article; inside they hold its title.
+TOP_WORDS = frozenset("header head masthead".split())
+# Of an article or main element, only these speak against it.
+ASIDE_WORDS = frozenset("comment comments commentlist reply replies respond teaser teasers related promo promos".split())
+_ABOUT_THE_LAYOUT = frozenset("has with no without free open is js".split())
 MAIN_WORDS = frozenset("article main content post entry story".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -189,9 +194,12 @@ def keeps(tree, x: list[float]) -> bool:
 
 
 def _cues(attrs: str) -> set[str]:
+    """Words of the names that an element gives itself, but for names such as ``has-sidebar``."""
     if "=" not in attrs:
         return set()
-    return {w for m in _NAMING.finditer(attrs) for w in _WORDS.findall((m[1] or m[2] or m[3] or "").lower())}
+    names = [n for m in _NAMING.finditer(attrs) for n in (m[1] or m[2] or m[3] or "").lower().split()]
+    words = [set(_WORDS.findall(n)) for n in names]
+    return set().union(*[w for w in words if not w & _ABOUT_THE_LAYOUT])
 
 
 def text_blocks(html: str) -> list[tuple[str, int, float, bool, bool, bool]]:
@@ -288,7 +296,10 @@ def text_blocks(html: str) -> list[tuple[str, int, float, bool, bool, bool]]:
             while stack[-1][0] == "head":  # a head whose end tag was left out
                 stack.pop()
         _, in_main, in_furniture, skipped = stack[-1]
+        if in_main:
+            furniture = bool(cues & (FURNITURE_WORDS - TOP_WORDS)) or bool(_HIDDEN.search(attrs))
         if tag in ("article", "main"):
+            furniture = bool(cues & ASIDE_WORDS) or bool(_HIDDEN.search(attrs))
             in_main = True
         elif tag == "header":
             furniture = furniture or not in_main

@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import BROADCAST_ROWS, bounded_broadcast, map_arrow, staged
+from ordertally.llm.common import BROADCAST_ROWS, bounded_broadcast, map_arrow, pieces, staged
 from ordertally.session import scratch_path
 
 # Payloads of fewer bytes are always kept in full.
@@ -199,7 +199,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             writer.close()
             made.append((path, writer.records, where.get_file_info(_located(path)[1]).size))
 
-        for b in batches:
+        for b in pieces(batches):
             for page_id, url, payload, refers_to in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if writer is None:
                     path = f"{folder}/{uuid.uuid4().hex}.warc.zst"

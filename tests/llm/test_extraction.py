@@ -53,6 +53,9 @@ def test_given_pages_give_their_article_text(spark, sf_small, tree):
         ("<article><p>x</p><section class='comments'><article><p>nice one</p></article></section></article>", "x"),
         ("<header><h1>Site</h1></header><main><header><h1>T</h1></header><p>x</p></main><footer>f</footer>", "T\n\nx"),
         ("<article>a<script>if (a<b) {'</p>'}</script><style>p{}</style><!-- <p>no</p> -->b</article>", "ab"),
+        ("<div class='page has-sidebar'><article class='post with-ads'><div class='article-header'><h1>T</h1></div><p>x</article>", "T\n\nx"),
+        ("<div class='header'>Site name</div><div id='content'><p>Some text of the page.</p></div>", "Some text of the page."),
+        ("<main><p>x</p><div class='related'><article><p>Other story</p></article></div></main>", "x"),
         ("<article><div class='cookie-notice'>We use cookies</div><p>x<!-- cut", "x"),
     ],
 )
