@@ -22,6 +22,9 @@ from ordertally.session import scratch_path
 # so the bound is one of bytes as well: 24 MB of data.
 BROADCAST_ROWS = 1_000_000
 
+# Rows that a Python worker turns into objects at once.
+PIECE_ROWS = 500
+
 # Byte translation that lower-cases A-Z, keeps 0-9, a-z and every non-ASCII
 # byte, and turns the rest into spaces.
 _WORD_BYTES = bytes(
@@ -83,6 +86,13 @@ def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in pieces of at most ``PIECE_ROWS`` rows, so that few rows at a time are Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, PIECE_ROWS):
+            yield b.slice(at, PIECE_ROWS)
+
+
 def map_columns(
     df: DataFrame,
     inputs: list[str],
@@ -108,7 +118,7 @@ def map_columns(
     n = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             if b.num_rows:
                 got = fn(*[b.column(i) for i in at])
                 cols = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(got, types, strict=True)]
