@@ -42,5 +42,45 @@ def queries() -> dict[str, Query]:
     }
 
 
+_WORDS = (
+    r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+# Archives: of equal payloads of 1000 bytes or more, the largest page id is kept.
+_ARCHIVE_SQL = """
+WITH payloads AS (SELECT page_id, encode(COALESCE(html, '')) AS body FROM pages),
+sized AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM payloads),
+kept AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN MAX(page_id) OVER (PARTITION BY payload_digest) END AS kept_id FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN kept_id IS DISTINCT FROM page_id AND kept_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN kept_id IS DISTINCT FROM page_id THEN kept_id END AS refers_to
+FROM kept"""
+
+# Contamination: every window of every document against every window of every item.
+_WINDOWS_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, COALESCE({_WORDS}, []) AS words FROM documents),
+item_words AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark WHERE text IS NOT NULL),
+item_windows AS (
+  SELECT DISTINCT item, LEAST(len(words), 10) AS size,
+    array_to_string(words[place + 1 : place + LEAST(len(words), 10)], ' ') AS shown
+  FROM item_words, unnest(range(0, GREATEST(len(words) - 9, 1))) AS places(place) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT row, place, size, array_to_string(words[place + 1 : place + size], ' ') AS shown
+  FROM docs CROSS JOIN sizes, unnest(range(0, len(words) - size + 1)) AS places(place)),
+hits AS (SELECT DISTINCT row, item, place, w.size FROM doc_windows w JOIN item_windows i ON i.size = w.size AND i.shown = w.shown),
+hit_words AS (
+  SELECT row, COUNT(DISTINCT word) AS n_hit
+  FROM (SELECT row, unnest(range(place, place + size)) AS word FROM hits) GROUP BY row),
+found AS (SELECT row, COUNT(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row)
+SELECT doc_id, len(words) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+  sha256(COALESCE(items, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (row) LEFT JOIN found USING (row)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other operators (models, sketches, parsers, token ids) have no SQL form."""
+    return {"op8_warc_archive": _ARCHIVE_SQL, "op10_decontaminate": _WINDOWS_SQL}

@@ -52,3 +52,18 @@ def test_stages_take_empty_documents(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_small).count() == 0
+
+
+def test_queries_equal_their_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    for name, sql in registry.oracle_sql().items():
+        got = registry.queries()[name](spark, sf)
+        want = con.execute(sql)
+        names = [d[0] for d in want.description]
+        assert sorted(names) == sorted(got.columns)
+        assert sorted(map(str, (tuple(r) for r in got.select(names).collect()))) == sorted(map(str, want.fetchall()))
