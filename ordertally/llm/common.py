@@ -18,8 +18,8 @@ import ordertally
 from ordertally.session import scratch_path
 
 # Upper bound on the rows of a side that may be broadcast.  Every side that
-# is checked against it has fixed-width columns only (at most three longs),
-# so the bound is one of bytes as well: 24 MB of data.
+# is checked against it has at most four fixed-width columns, so the bound is
+# one of bytes as well: 32 MB of data.
 BROADCAST_ROWS = 1_000_000
 
 # Rows that a Python worker turns into objects at once.
@@ -65,6 +65,11 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows of an Arrow batch between the JVM and a Python worker.  Documents are
+# long rows: Spark's default of 10,000 would hold tens of MB on either side.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _SHIPPED: set[str] = set()  # applications whose workers have the package
 
 
@@ -72,8 +77,12 @@ def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``mapInArrow`` whose Python workers can import this package wherever they run.
 
     The package's sources go to the executors once per application, as a
-    small archive served by the driver.
+    small archive served by the driver.  The session's Arrow batches are
+    lowered to ``BATCH_ROWS`` rows if they are larger.
     """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING, "10000")) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     sc = df.sparkSession.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = Path(ordertally.__file__).resolve().parent
