@@ -5,11 +5,14 @@ A document is the sequence of its words.  Each sketch samples its
 occurrence number, under a hash of its own and keeps them in text order, so
 equal sketches speak for small edit distance rather than for equal sets.
 ``SKETCHES`` sketches are taken.  Documents with an equal sketch value are
-candidates: each with the smallest id of that value, never all pairs.
-Candidates are verified by an alignment of their words, banded by the edits
-that ``SIMILARITY`` allows; similarity is 1 - edits / length of the longer.
+candidates: first each with the smallest id of that value.  Candidates are
+verified by an alignment of their words, banded by the edits that
+``SIMILARITY`` allows; similarity is 1 - edits / length of the longer.
 Classes are the connected components of verified links, found by min-label
-propagation over tables in the shared folder.
+propagation over tables in the shared folder.  Members of one value that are
+then of different classes are compared too, all with all, in tiles of at most
+about ``TILE_ROWS`` rows a side: words that two texts cannot share rule most
+pairs out, the rest are aligned, and only links are written.
 
 Exact copies are joined on a digest of the whole text first; one of each goes
 on to the sketches.
@@ -23,12 +26,14 @@ id are one document, linked to whatever any of them is linked to.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import bounded_broadcast, col, fields, map_columns, staged, words_of
+from ordertally.llm.common import bounded_broadcast, col, fields, map_arrow, map_columns, pieces, staged, words_of
 
 SHINGLE = 5
 SAMPLED = 2
@@ -37,6 +42,9 @@ SIMILARITY = 0.8
 MAX_ROUNDS = 40
 
 BLOCK = 1 << 18  # hashes held at once
+TILE_ROWS = 1000  # rows of a tile's side, on average
+TILE_WORDS = 500_000  # words of a tile's side, on average
+FILTER_BITS = 2048  # bits that stand for a text's words
 
 _LARGEST = np.uint64(2**64 - 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -62,12 +70,19 @@ def labelled_shingles(words: np.ndarray) -> np.ndarray:
     h = np.zeros(n, np.uint64)
     for j in range(min(SHINGLE, len(words))):
         h = _mix(h * _MULTIPLIER + words[j : j + n] + np.uint64(1))
+    return _labelled(h)
+
+
+def _labelled(h: np.ndarray) -> np.ndarray:
+    """A hash of each hash and its occurrence number."""
+    n = len(h)
+    out = np.empty(n, np.uint64)
     order = np.argsort(h, kind="stable")
     s = h[order]
     first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
     occurrence = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    h[order] = _mix(s + _MULTIPLIER * occurrence.astype(np.uint64))
-    return h
+    out[order] = _mix(s + _MULTIPLIER * occurrence.astype(np.uint64))
+    return out
 
 
 def sketch(text: str | None) -> list[int] | None:
@@ -131,13 +146,18 @@ def _slide(a: list, b: list, i: int, k: int) -> int:
     return i
 
 
+def allowed_edits(longer, least: float = SIMILARITY):
+    """Edits between similar texts, the longer of ``longer`` words (a number or an array)."""
+    return np.int64(longer * (1 - least) + 1e-9)
+
+
 def similar(x: str | None, y: str | None, least: float = SIMILARITY) -> bool:
     """Whether at most a share ``1 - least`` of the longer text's words are edits."""
     a, b = words_of(x), words_of(y)
     if not a or not b:
         return False
     longer = max(len(a), len(b))
-    limit = int(longer * (1 - least) + 1e-9)
+    limit = allowed_edits(longer, least)
     if abs(len(a) - len(b)) > limit:
         return False
     counts: dict = {}
@@ -192,6 +212,118 @@ def verified_links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return map_columns(both, ["text_0", "text_1"], fields("linked boolean"), run, ["a", "b"]).filter("linked").select("a", "b")
 
 
+def word_bits(words: np.ndarray) -> np.ndarray:
+    """``FILTER_BITS`` bits, those of the words labelled with their occurrence numbers set."""
+    bits = np.zeros(FILTER_BITS, bool)
+    bits[_labelled(words) % np.uint64(FILTER_BITS)] = True
+    return np.packbits(bits).view(np.uint64)
+
+
+def tile_links(rows: list[tuple]) -> list[tuple[int, int]]:
+    """Links (a, b) between rows (value, side, doc_id, class_id, sketches, text) of one tile, of different classes.
+
+    Rows of side 0 are compared with those of side 1, or with one another if
+    there are none.  Two rows are compared under the least value they share,
+    and not at all once links have joined their classes.
+    """
+    sides = [np.array([i for i, r in enumerate(rows) if r[1] == s], np.int64) for s in (0, 1)]
+    numbers = [word_numbers(r[5]) for r in rows]
+    sizes, bits = np.array([len(x) for x in numbers]), np.array([word_bits(x) for x in numbers])
+    classes, ids = np.array([r[3] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
+    label = {int(c): int(c) for c in classes}
+    values = [None] * len(rows)
+
+    def root(c: int) -> int:
+        while label[c] != c:
+            label[c] = c = label[label[c]]
+        return c
+
+    out = []
+    for at, i in enumerate(sides[0].tolist()):
+        others = sides[1] if len(sides[1]) else sides[0][at + 1 :]
+        others = others[(classes[others] != classes[i]) & (ids[others] != ids[i])]
+        limit = allowed_edits(np.maximum(sizes[others], sizes[i]))
+        near = np.abs(sizes[others] - sizes[i]) <= limit
+        others, limit = others[near], limit[near]
+        # A set bit that the other lacks is a word that the other lacks, so an edit at least.
+        lacks = [np.bitwise_count(x).sum(1, dtype=np.int64) for x in (bits[i] & ~bits[others], bits[others] & ~bits[i])]
+        for j in others[np.maximum(*lacks) <= limit].tolist():
+            x, y = root(int(classes[i])), root(int(classes[j]))
+            if x == y:
+                continue
+            for k in (i, j):
+                if values[k] is None:
+                    values[k] = set(rows[k][4])
+            if min(values[i] & values[j]) == rows[i][0] and similar(rows[i][5], rows[j][5]):
+                label[max(x, y)] = min(x, y)
+                out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
+def links_across(docs: DataFrame, reps: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a sketch value that ``classes`` (node, label) leaves apart.
+
+    A value's members are dealt into blocks, a class of many members into
+    blocks of its own; a tile is two blocks, or one with itself.  No tile
+    has two blocks of one class.
+    """
+    spark = docs.sparkSession
+    known = reps.select("doc_id", "n_words", F.explode("sketches").alias("value"))
+    known = known.join(classes.withColumnsRenamed({"node": "doc_id", "label": "class_id"}), "doc_id", "left")
+    known = known.withColumn("class_id", F.coalesce("class_id", "doc_id"))
+    apart = known.groupBy("value").agg(F.count("*").alias("n"), F.min("class_id").alias("x"), F.max("class_id").alias("y"))
+    apart = apart.filter("n > 2 AND x < y").select("value")  # two members have been compared
+    members = staged(spark, known.join(apart, "value", "left_semi"), "members")
+
+    sums = (F.sum("n").alias("n"), F.sum("words").alias("words"))
+    per_class = members.groupBy("value", "class_id").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"))
+    alone = (F.col("n") >= TILE_ROWS) | (F.col("words") >= TILE_WORDS)
+    pools = per_class.select("value", "class_id", "n", "words", F.when(alone, F.col("class_id")).alias("own"))
+    pools = staged(spark, pools, "pools")
+    blocks = pools.groupBy("value", "own").agg(*sums)
+    blocks = blocks.select(
+        "value", "own", F.least("n", F.greatest(F.ceil(F.col("n") / TILE_ROWS), F.ceil(F.col("words") / TILE_WORDS))).alias("parts")
+    )
+    parts = blocks.select("value", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    left, right = (parts.select("value", F.struct("own", "part").alias(c)) for c in ("l", "r"))
+    tiles = left.join(right, "value").filter("l <= r AND (l.own IS NULL OR NOT l.own <=> r.own)")
+    tiles = staged(spark, tiles.withColumn("tile", F.monotonically_increasing_id()), "tiles")
+    sides = tiles.select("value", "tile", F.explode(F.expr("IF(l = r, array(struct(l AS block, 0 AS side)), array(struct(l AS block, 0 AS side), struct(r AS block, 1 AS side)))")).alias("x"))
+    sides = sides.select("value", "tile", "x.side", F.coalesce("x.block.own", F.lit(0)).alias("own"), F.col("x.block.own").isNull().alias("mixed"), "x.block.part")
+
+    dealt = members.join(pools.select("value", "class_id", "own"), ["value", "class_id"])
+    dealt = dealt.join(blocks.withColumnRenamed("own", "of"), "value").filter("own <=> of")
+    dealt = dealt.select(
+        "value", "doc_id", "class_id", F.coalesce("own", F.lit(0)).alias("own"), F.col("own").isNull().alias("mixed"),
+        F.pmod(F.xxhash64(F.lit("tile"), "doc_id"), "parts").alias("part"),
+    ).distinct()
+    dealt = dealt.join(sides, ["value", "own", "mixed", "part"]).select("value", "tile", "side", "doc_id", "class_id")
+
+    needed = reps.join(members.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "digest"])
+    texts = docs.select("doc_id", "text", F.md5("text").alias("digest")).filter("text <> ''")
+    texts = texts.join(needed.select("doc_id", "digest", "sketches"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    rows = dealt.join(texts, "doc_id").select("tile", "value", "side", "doc_id", "class_id", "sketches", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, []
+
+        def links() -> pa.RecordBatch:
+            found = tile_links(held)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for b in pieces(batches):
+            for t, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if t != tile:
+                    if held:
+                        yield links()
+                    tile, held = t, []
+                held.append(tuple(row))
+        if held:
+            yield links()
+
+    return map_arrow(rows.repartition("tile").sortWithinPartitions("tile"), run, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each connected component of undirected ``links`` (a, b).
 
@@ -235,6 +367,10 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     links = staged(spark, verified_links(docs, close.select("a", "b")), "links")
     same = ids.join(copies, "digest").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
     found = components(links.unionByName(same))
+    across = staged(spark, links_across(docs, reps.filter("sketches IS NOT NULL"), found), "links")
+    if not across.isEmpty():
+        known = found.select(F.col("label").alias("a"), F.col("node").alias("b")).filter("a <> b")
+        found = components(known.unionByName(across))
     everyone = ids.select("doc_id").distinct()
     classes = everyone.join(found.withColumnsRenamed({"node": "doc_id", "label": "class_id"}), "doc_id", "left")
     return classes.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))

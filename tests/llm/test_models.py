@@ -359,6 +359,34 @@ def test_classes_equal_brute_force(spark):
     assert all(r.kept == (r.class_id == i) for i, r in got.items())
 
 
+def family(rng):
+    """2,048 texts on one template, any two at edit similarity 0.75 or less: 16 blocks of 8 words in two versions."""
+    blocks = [[" ".join(f"b{i}v{v}x{rng.randrange(10**6)}" for _ in range(8)) for v in (0, 1)] for i in range(16)]
+    codes = []
+    for m in range(2048):  # extended Hamming code: any two words differ in four places at least
+        bits, data = [0] * 16, iter(f"{m:011b}")
+        for i in range(1, 16):
+            if i & (i - 1):
+                bits[i] = int(next(data))
+        for p in (1, 2, 4, 8):
+            bits[p] = sum(bits[i] for i in range(1, 16) if i & p and i != p) % 2
+        bits[0] = sum(bits) % 2
+        codes.append(" ".join(b[v] for b, v in zip(blocks, bits, strict=True)))
+    return codes
+
+
+@pytest.mark.parametrize("tile_rows", [1000, 40])
+def test_large_family_keeps_its_close_pairs(spark, monkeypatch, tile_rows):
+    monkeypatch.setattr(near_dup, "TILE_ROWS", tile_rows, raising=False)
+    texts = family(random.Random(12))[:: 1 if tile_rows > 100 else 8]
+    n = len(texts)
+    texts += [texts[n - 1 - i].replace(texts[n - 1 - i].split()[5 * i], "other") for i in range(10)]
+    texts += [texts[0]] * 2
+    got = {r.doc_id: r.class_id for r in near_dup.op3(documents(spark, texts)).collect()}
+    want = {i: i for i in range(n)} | {n + i: n - 1 - i for i in range(10)} | {n + 10: 0, n + 11: 0}
+    assert got == want
+
+
 def test_long_chains_settle(spark):
     n = 300
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001)], "a long, b long")
