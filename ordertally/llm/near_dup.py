@@ -14,6 +14,11 @@ then of different classes are compared too, all with all, in tiles of at most
 about ``TILE_ROWS`` rows a side: words that two texts cannot share rule most
 pairs out, the rest are aligned, and only links are written.
 
+A text of fewer than ``SHORT`` words has few shingles, and one edit may
+change them all.  It and the texts that can be similar to it have exact keys
+besides: cut into one segment more than the pair's allowed edits, the shorter
+text has a segment that stands unchanged in the longer one, about where it was.
+
 Exact copies are joined on a digest of the whole text first; one of each goes
 on to the sketches.
 
@@ -27,6 +32,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +51,7 @@ BLOCK = 1 << 18  # hashes held at once
 TILE_ROWS = 1000  # rows of a tile's side, on average
 TILE_WORDS = 500_000  # words of a tile's side, on average
 FILTER_BITS = 2048  # bits that stand for a text's words
+SHORT = 20  # words below which a text's candidates are exact
 
 _LARGEST = np.uint64(2**64 - 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -110,6 +117,41 @@ def sketch(text: str | None) -> list[int] | None:
     return value.view(np.int64).tolist()
 
 
+def short_keys(text: str | None) -> list[int]:
+    """Keys of a short text, or of one that can be similar to a short one.
+
+    Two similar texts share a key if the shorter has fewer than ``SHORT`` words.
+    """
+    words = words_of(text)
+    n = len(words)
+    if not n or n - allowed_edits(n) >= SHORT:
+        return []
+    keys = set()
+
+    def add(shorter: int, longer: int, i: int, start: int, end: int) -> None:
+        key = blake2b(b" ".join([b"%d %d %d" % (shorter, longer, i), *words[start:end]]), digest_size=8)
+        keys.add(int.from_bytes(key.digest(), "big", signed=True))
+
+    def cuts(shorter: int, longer: int) -> list[int]:
+        segments = min(int(allowed_edits(longer)) + 1, shorter)
+        return [shorter * i // segments for i in range(segments + 1)]
+
+    longer = n
+    while n < SHORT and longer - allowed_edits(longer) <= n:  # this text as the shorter one
+        at = cuts(n, longer)
+        for i, (s, e) in enumerate(zip(at, at[1:])):
+            add(n, longer, i, s, e)
+        longer += 1
+    edits = int(allowed_edits(n))
+    for shorter in range(max(1, n - edits), min(n, SHORT - 1) + 1):  # as the longer one
+        at, more = cuts(shorter, n), n - shorter
+        spare = (edits - more) // 2  # a shift is made and, up to the difference in length, undone
+        for i, (s, e) in enumerate(zip(at, at[1:])):
+            for start in range(max(0, s - spare), min(s + more + spare, n - (e - s)) + 1):
+                add(shorter, n, i, start, start + e - s)
+    return sorted(keys)
+
+
 def edit_distance(a: list, b: list, limit: int) -> int | None:
     """Edits (insert, delete, replace) between two sequences, None if more than ``limit``.
 
@@ -180,7 +222,8 @@ def sketch_table(docs: DataFrame) -> DataFrame:
 
     def run(texts):
         texts = texts.to_pylist()
-        return [[len(words_of(t)) for t in texts], [sketch(t) for t in texts]]
+        values = [sketch(t) for t in texts]
+        return [[len(words_of(t)) for t in texts], [v and v + short_keys(t) for v, t in zip(values, texts, strict=True)]]
 
     rows = docs.select("doc_id", "text", F.expr("CASE WHEN text <> '' THEN md5(text) END").alias("digest")).filter(
         "doc_id IS NOT NULL"

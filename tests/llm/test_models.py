@@ -359,6 +359,42 @@ def test_classes_equal_brute_force(spark):
     assert all(r.kept == (r.class_id == i) for i, r in got.items())
 
 
+def short_texts(rng):
+    """Texts of up to 27 words of few or many kinds, some with a few edits of each kind."""
+    texts = []
+    for n in list(range(1, 28)) * 6:
+        base = [f"{rng.choice('abcdefgh')}{rng.randrange(10 ** rng.randint(1, 4))}" for _ in range(n)]
+        texts.append(base)
+        for _ in range(2):
+            copy = list(base)
+            for _ in range(rng.randint(1, max(1, n // 5))):
+                at = rng.randrange(len(copy) + 1)
+                copy[at : at + rng.randint(0, 1)] = ["new"] * rng.randint(0, 1)
+            texts.append(copy)
+    return [" ".join(t) for t in texts]
+
+
+def test_similar_short_texts_share_a_key():
+    texts = short_texts(random.Random(13)) + ["a b c d e", "a b x d e", "a b c d", "a b c d e f", "a b x d e f"]
+    keys = [set(near_dup.short_keys(t)) for t in texts]
+    found = 0
+    for i, t in enumerate(texts):
+        for j in range(i):
+            if min(len(t.split()), len(texts[j].split())) < near_dup.SHORT and near_dup.similar(t, texts[j]):
+                found += 1
+                assert keys[i] & keys[j], (t, texts[j])
+    assert found > 200
+    assert near_dup.short_keys(None) == near_dup.short_keys("!!") == near_dup.short_keys("w " * 24) == []
+
+
+def test_short_classes_equal_brute_force(spark):
+    texts = short_texts(random.Random(14))
+    texts = [t for t in texts if len(t.split()) < near_dup.SHORT]
+    texts += ["alpha beta gamma delta epsilon", "alpha beta other delta epsilon", "one two three four five six", "one two x four five six"]
+    got = {r.doc_id: r.class_id for r in near_dup.op3(documents(spark, texts)).collect()}
+    assert got == brute_classes(texts)
+
+
 def family(rng):
     """2,048 texts on one template, any two at edit similarity 0.75 or less: 16 blocks of 8 words in two versions."""
     blocks = [[" ".join(f"b{i}v{v}x{rng.randrange(10**6)}" for _ in range(8)) for v in (0, 1)] for i in range(16)]
