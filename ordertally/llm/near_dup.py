@@ -48,7 +48,7 @@ SIMILARITY = 0.8
 MAX_ROUNDS = 40
 
 BLOCK = 1 << 18  # hashes held at once
-TILE_ROWS = 1000  # rows of a tile's side, on average
+TILE_ROWS = 400  # rows of a tile's side, on average
 TILE_WORDS = 500_000  # words of a tile's side, on average
 FILTER_BITS = 2048  # bits that stand for a text's words
 SHORT = 20  # words below which a text's candidates are exact
