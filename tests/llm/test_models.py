@@ -126,16 +126,6 @@ def test_toxicity_edge_cases(spark):
     assert kept.filter("doc_id between 30 and 59").count() == 0
 
 
-def test_counts_cover_the_rows_of_the_curve(spark):
-    ids = spark.range(2000).withColumnRenamed("id", "doc_id").filter(F.pmod(toxicity.crc_of_id(), F.lit(4)) != 2)
-    part = F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(toxicity.CALIBRATION_SHARE))
-    curve = {r.doc_id for r in ids.filter(part == 0).collect()}
-    texts = ["nice words here" if i % 2 else "vyqx" if i in curve else "awful scum trash" for i in range(2000)]
-    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(2000)], "doc_id long, toxic int")
-    model = toxicity.train(documents(spark, texts), labels)
-    assert model.difference(["vyqx"])[0] > 0 > model.difference(["nice words here"])[0]
-
-
 # --- quality ranking -----------------------------------------------------------
 
 
