@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from conftest import D, make_tables
+from tables import D, make_tables
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -69,7 +69,7 @@ def test_default_run_isolates_a_missing_table(spark):
 
 
 def test_new_orders_are_seen_by_the_next_run(spark, tmp_path):
-    from conftest import D, make_tables
+    from tables import D, make_tables
 
     first = make_tables(spark, orders=[{"id": 1, "delivery_date": D("2025-01-02")}], lines=[{"order_id": 1}])
     PQ.write_tables(first, str(tmp_path))
@@ -85,7 +85,7 @@ def test_new_orders_are_seen_by_the_next_run(spark, tmp_path):
 
 
 def test_staged_tables_can_be_staged_again(spark, tmp_path):
-    from conftest import make_tables
+    from tables import make_tables
 
     t = make_tables(spark, orders=[{"id": 1}], lines=[{"order_id": 1}])
     PQ.write_tables(t, str(tmp_path / "a"))
@@ -100,7 +100,7 @@ def test_quantities_and_created_date_keep_their_types(spark, tmp_path):
     import pytest
     from pyspark.sql import functions as F
 
-    from conftest import D, make_tables
+    from tables import D, make_tables
     from ordertally import schema as S
 
     t = make_tables(spark, orders=[{"id": 1, "delivery_date": D("2025-01-02")}], lines=[{"order_id": 1}])

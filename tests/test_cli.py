@@ -41,7 +41,7 @@ def test_daily_rejects_bad_ranges(spark, text):
 
 
 def test_stage_then_run_from_staged_tables(spark):
-    from conftest import D, make_tables
+    from tables import D, make_tables
 
     t = make_tables(
         spark,

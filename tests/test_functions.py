@@ -1,7 +1,7 @@
 """Date parsing, parameters, predicates and joins."""
 
 import pytest
-from conftest import D, make_tables
+from tables import D, make_tables
 from pyspark.sql import functions as F
 
 from ordertally import schema as S

@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import D, M, make_tables
+from tables import D, M, make_tables
 
 from ordertally.params import ReportParams
 from ordertally.plans import reports as R

@@ -10,7 +10,7 @@ import datetime as dt
 import io
 
 import pytest
-from conftest import make_tables
+from tables import make_tables
 from pyspark.sql import functions as F
 
 from ordertally import schema as S

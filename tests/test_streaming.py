@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from conftest import D, make_tables
+from tables import D, make_tables
 
 from ordertally.plans import reports as R
 from ordertally.sources import parquet as PQ
