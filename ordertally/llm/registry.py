@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordertally.llm import (
     chat_format,
+    chat_repair,
     decontaminate,
     html_text,
     near_dup,
@@ -39,6 +40,7 @@ def queries() -> dict[str, Query]:
         "op8_warc_archive": _on(warc_archive.op8, "pages"),
         "op9_quality_rank": _on(quality_rank.op9, "documents", "labels"),
         "op10_decontaminate": _on(decontaminate.op10, "documents", "benchmark"),
+        "op13_chat_repair": _on(chat_repair.op13, "conversations"),
     }
 
 
