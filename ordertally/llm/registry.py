@@ -16,6 +16,7 @@ from ordertally.llm import (
     pii,
     quality_rank,
     quality_rules,
+    topk_search,
     toxicity,
     warc_archive,
 )
@@ -40,6 +41,7 @@ def queries() -> dict[str, Query]:
         "op8_warc_archive": _on(warc_archive.op8, "pages"),
         "op9_quality_rank": _on(quality_rank.op9, "documents", "labels"),
         "op10_decontaminate": _on(decontaminate.op10, "documents", "benchmark"),
+        "op12_topk_search": _on(topk_search.op12, "embeddings"),
         "op13_chat_repair": _on(chat_repair.op13, "conversations"),
     }
 
@@ -83,6 +85,20 @@ SELECT doc_id, len(words) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_it
 FROM docs LEFT JOIN hit_words USING (row) LEFT JOIN found USING (row)"""
 
 
+# Search: every query against every other row.
+_SEARCH_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The other operators (models, sketches, parsers, token ids) have no SQL form."""
-    return {"op8_warc_archive": _ARCHIVE_SQL, "op10_decontaminate": _WINDOWS_SQL}
+    return {"op8_warc_archive": _ARCHIVE_SQL, "op10_decontaminate": _WINDOWS_SQL, "op12_topk_search": _SEARCH_SQL}
