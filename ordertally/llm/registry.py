@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ordertally.llm import (
     chat_format,
     chat_repair,
+    collocations,
     decontaminate,
     html_text,
     near_dup,
@@ -41,6 +42,7 @@ def queries() -> dict[str, Query]:
         "op8_warc_archive": _on(warc_archive.op8, "pages"),
         "op9_quality_rank": _on(quality_rank.op9, "documents", "labels"),
         "op10_decontaminate": _on(decontaminate.op10, "documents", "benchmark"),
+        "op11_collocations": _on(collocations.op11, "documents"),
         "op12_topk_search": _on(topk_search.op12, "embeddings"),
         "op13_chat_repair": _on(chat_repair.op13, "conversations"),
     }
@@ -85,6 +87,35 @@ SELECT doc_id, len(words) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_it
 FROM docs LEFT JOIN hit_words USING (row) LEFT JOIN found USING (row)"""
 
 
+# Collocations: every phrase of one to three words within a piece, per language.
+_COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, size, array_to_string(w[place : place + size - 1], ' ') AS phrase
+  FROM words, (SELECT unnest([1, 2, 3]) AS size) AS sizes, unnest(range(1, len(w) - size + 2)) AS places(place)),
+counted AS (SELECT lang, size, phrase, CAST(COUNT(*) AS HUGEINT) AS f FROM grams GROUP BY lang, size, phrase),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, 1000000 * c.a * c.a // (l.f * r.f) AS score
+  FROM candidates c, unnest(range(1, size)) AS places(cut)
+    JOIN counted l ON l.lang = c.lang AND l.size = cut AND l.phrase = array_to_string(c.w[1 : cut], ' ')
+    JOIN counted r ON r.lang = c.lang AND r.size = c.size - cut AND r.phrase = array_to_string(c.w[cut + 1 :], ' ')),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM cuts) WHERE place = 1),
+inside AS (
+  SELECT lang, array_to_string(w[part : part + 1], ' ') AS phrase, MAX(a) AS longer
+  FROM candidates, (SELECT unnest([1, 2]) AS part) AS parts WHERE size = 3 GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept),
+totals AS (SELECT lang, SUM(f) AS n FROM counted WHERE size = 1 GROUP BY lang)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
 # Search: every query against every other row.
 _SEARCH_SQL = """
 WITH vectors AS (
@@ -101,4 +132,9 @@ WHERE rank <= 5"""
 
 def oracle_sql() -> dict[str, str]:
     """The other operators (models, sketches, parsers, token ids) have no SQL form."""
-    return {"op8_warc_archive": _ARCHIVE_SQL, "op10_decontaminate": _WINDOWS_SQL, "op12_topk_search": _SEARCH_SQL}
+    return {
+        "op8_warc_archive": _ARCHIVE_SQL,
+        "op10_decontaminate": _WINDOWS_SQL,
+        "op11_collocations": _COLLOCATIONS_SQL,
+        "op12_topk_search": _SEARCH_SQL,
+    }

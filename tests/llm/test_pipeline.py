@@ -43,7 +43,7 @@ def test_stages(spark, sf_small, tmp_path):
 
 def test_registered(spark, sf_small):
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(registry.oracle_sql()) <= set(registry.queries())
     assert corpus_pipeline.run(spark, sf_small).count() > 0
 
@@ -59,7 +59,7 @@ def test_queries_equal_their_sql(spark):
 
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     for name, sql in registry.oracle_sql().items():
         got = registry.queries()[name](spark, sf)
