@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordertally.llm.common import col, map_arrow, staged
@@ -334,21 +334,23 @@ def search(index: DataFrame, queries: DataFrame, group_bytes: int = GROUP_BYTES)
     """(query_id, rank, vec_id, score): the ``TOP`` best of every (id, vec) row of ``queries``."""
     spark = index.sparkSession
     blocks = staged(spark, map_arrow(_dealt(queries, BLOCK_QUERIES, "block"), _query_blocks, BLOCKS), "search-queries")
-    size = blocks.agg(F.coalesce(F.sum(F.length("q_exact") + 8 * F.size("q_ids")), F.lit(0)).alias("b")).first()["b"]
+    size = F.coalesce(F.sum(F.length("q_exact") + 8 * F.size("q_ids")), F.lit(0))
+    size, last = blocks.agg(size, F.coalesce(F.max("block"), F.lit(0))).first()
     groups = max(1, math.ceil(size / group_bytes))
     found = None
     for g in range(groups):
+        if g > last:
+            break
         some = blocks.filter(F.pmod("block", F.lit(groups)) == g)
-        # Query blocks against all shards: the stated query set, in blocks of a bounded size.
-        tiles = index.withColumn("_all", F.lit(0)).join(F.broadcast(some.withColumn("_all", F.lit(0))), "_all").drop("_all")
+        # Every shard meets every query block of the group: the stated query set, in blocks of a bounded size.
+        numbers = F.sequence(F.lit(g).cast("long"), F.lit(last).cast("long"), F.lit(groups).cast("long"))
+        tiles = index.withColumn("block", F.explode(numbers)).join(F.broadcast(some), "block")
         part = staged(spark, map_arrow(tiles, _search, FOUND), "search-found") if groups > 1 else map_arrow(tiles, _search, FOUND)
         found = part if found is None else found.unionByName(part)
     return _ranked(found)
 
 
 def _ranked(found: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
     order = Window.partitionBy("block", "q_row").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TOP)
     return ranked.select("query_id", "rank", "vec_id", "score")
