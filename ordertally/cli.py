@@ -3,6 +3,8 @@
     python -m ordertally weekly --tables DIR --out DIR [--start D --end D --cutoff D | --today D]
     python -m ordertally daily  --tables DIR --out DIR --range 111125-131125 [--strict-status]
     python -m ordertally detail --tables DIR --out DIR [--day D | --today D]
+    python -m ordertally report NAME --tables DIR --out DIR --start D [--end D --cutoff D]
+    python -m ordertally sql    --tables DIR --out DIR --file QUERY.sql [--start D --end D --cutoff D]
     python -m ordertally stage  --jdbc-url URL ... --out DIR [--jdbc-split N]
 
 Tables come from a Parquet folder (``--tables``), a database
@@ -10,6 +12,8 @@ Tables come from a Parquet folder (``--tables``), a database
 ``--jdbc-split N`` for parallel reads of the large tables) or the generated
 test data (``--fixtures SF_DIR``).  ``stage`` copies the tables into the
 date-partitioned Parquet layout that later runs read with ``--tables``.
+``report`` runs one report by its name, ``sql`` a query text over the tables by
+their names, with ``:start``, ``:end`` and ``:cutoff`` as dates.
 Without ``--start`` the weekly run covers the last 7 days (8 calendar days
 up to today); the detail run defaults to yesterday.  Exit status 1 if any report failed,
 2 for unusable parameters.
@@ -20,6 +24,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +32,12 @@ from pyspark.sql import functions as F
 from ordertally.functions.dates import parse_range
 from ordertally.params import ReportParams, last_n_days, yesterday
 from ordertally.plans import bundle
+from ordertally.plans.catalog import run_report
 from ordertally.plans.reports import LABELS, daily_detail
+from ordertally.schema import SCHEMAS
 from ordertally.session import apply_recommended, ensure_checkpoint_dir
 from ordertally.sinks.writers import report_path, with_labels, write_report
+from ordertally.sources.catalog import run_sql
 
 
 def _tables(spark: SparkSession, a: argparse.Namespace):
@@ -81,11 +89,42 @@ def parse_periods(items) -> dict[str, ReportParams]:
     return out
 
 
+def _period(a: argparse.Namespace) -> ReportParams:
+    if a.start:
+        return ReportParams(a.start, a.end or a.start, a.cutoff or None)
+    if a.end or a.cutoff:
+        raise ValueError("--end and --cutoff need --start")
+    return last_n_days(a.today)
+
+
+def _shown(dropped) -> str:
+    return " dropped: " + ", ".join(f"{k} {v}" for k, v in sorted(dropped.items())) if dropped else ""
+
+
+def _one(spark: SparkSession, t, a: argparse.Namespace) -> int:
+    """One report by its name, or one query text."""
+    p = _period(a)
+    if a.command == "report":
+        options = {"collation": a.collation} if a.collation else {}
+        df, name = run_report(a.name, t, p, **options), a.name
+        if a.headers:
+            df = with_labels(df, LABELS.get(name, {}))
+    else:
+        for table in SCHEMAS:
+            t[table].createOrReplaceTempView(table)
+        df, name = run_sql(spark, Path(a.file).read_text(), p), Path(a.file).stem
+    n = write_report(df, report_path(a.out, name, p.label), a.format)
+    print(f"{name} {p.label}: {n} rows")
+    return 0
+
+
 def build_parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="ordertally", description=__doc__.split("\n\n")[0])
     sub = ap.add_subparsers(dest="command", required=True)
-    for name in ("weekly", "daily", "detail", "stage"):
+    for name in ("weekly", "daily", "detail", "report", "sql", "stage"):
         sp = sub.add_parser(name)
+        if name == "report":
+            sp.add_argument("name")
         sp.add_argument("--tables")
         sp.add_argument("--fixtures")
         sp.add_argument("--jdbc-url")
@@ -100,10 +139,16 @@ def build_parser() -> argparse.ArgumentParser:
         sp.add_argument("--today")
         if name != "stage":
             sp.add_argument("--headers", action="store_true", help="write the display names of the columns")
-        if name == "weekly":
+        if name in ("weekly", "report", "sql"):
             sp.add_argument("--start")
             sp.add_argument("--end")
             sp.add_argument("--cutoff")
+        if name in ("weekly", "report"):
+            sp.add_argument("--collation", help="compare text with this collation, e.g. UTF8_LCASE")
+        if name == "sql":
+            sp.add_argument("--file", required=True, help="the query text")
+        if name == "weekly":
+            sp.add_argument("--count-drops", action="store_true", help="count rows that joins to dimensions drop")
             sp.add_argument("--share", default="persist", choices=["persist", "table", "none"])
             sp.add_argument("--period-for", action="append", default=[], metavar="REPORT=START:END[:CUTOFF]",
                             help="give one report its own period, e.g. yearly_orders=2025-01-01:2025-12-31")
@@ -123,24 +168,21 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     try:
         t = _tables(spark, a)
         if a.command == "weekly":
-            if a.start:
-                p = ReportParams(a.start, a.end or a.start, a.cutoff or None)
-            elif a.end or a.cutoff:
-                raise ValueError("--end and --cutoff need --start")
-            else:
-                p = last_n_days(a.today)
+            p = _period(a)
             share = None if a.share == "none" else a.share
             periods = parse_periods(a.period_for)
             manifest = bundle.run_all(
-                spark, t, p, out=a.out, fmt=a.format, share=share, periods=periods, headers=a.headers
+                spark, t, p, out=a.out, fmt=a.format, share=share, periods=periods, headers=a.headers,
+                collation=a.collation, count_drops=a.count_drops,
             )
             rows = manifest.collect()  # one row per report
             for r in rows:
                 print(f"{r['report']:22s} {r['status']:7s} {r['n_rows'] if r['n_rows'] is not None else '-':>8} "
-                      f"{r['seconds']:.1f}s {r['error'] or ''}")
+                      f"{r['seconds']:.1f}s {r['error'] or ''}{_shown(r['dropped'])}")
             return 1 if any(r["status"] != "ok" for r in rows) else 0
+        if a.command in ("report", "sql"):
+            return _one(spark, t, a)
         if a.command == "stage":
-            from ordertally.schema import SCHEMAS
             from ordertally.sources.parquet import write_tables
 
             write_tables(t, a.out, names=list(SCHEMAS))

@@ -65,3 +65,15 @@ def representative(cols, by) -> Column:
 def unpack(struct_col: str, names, prefix: str = "") -> list[Column]:
     """Columns ``struct_col.name`` aliased to ``prefix + name``."""
     return [F.col(f"{struct_col}.{n}").alias(prefix + n) for n in names]
+
+
+def collated(names, collation: str | None) -> tuple[list[Column], list[Column]]:
+    """Group keys of text columns that are equal under ``collation``, and what to show for each.
+
+    The keys are named ``_key_<name>``.  A group of several spellings shows the
+    least of them by bytes.  Without a collation the columns are their own keys.
+    """
+    if collation is None:
+        return [F.col(n) for n in names], []
+    keys = [F.collate(F.col(n), collation).alias(f"_key_{n}") for n in names]
+    return keys, [F.min(n).alias(n) for n in names]

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Identical rows that one task writes out from their count at once.
-EQUAL_ROWS = 10_000
-
 
 def sorted_desc(df: DataFrame, by, ties=(), hidden: bool = False, spread_ties: bool = False, settle=None) -> DataFrame:
     """Order by ``by`` descending (NULLs last), then ``ties`` ascending.
@@ -16,11 +13,11 @@ def sorted_desc(df: DataFrame, by, ties=(), hidden: bool = False, spread_ties: b
     aggregate that is not part of the output.  This is a global sort (a
     range-partitioned shuffle), whose bounds are sampled from its input.
 
-    ``spread_ties=True`` is for rows without a unique key: identical rows are
-    counted, and written out again with a copy number as the last sort key.
-    No key repeats, so no range partition can hold a large share of the rows,
-    and a rerun task places its rows as before.  A large count is first cut
-    into chunks of ``EQUAL_ROWS``, which different tasks write out.
+    ``spread_ties=True`` is for rows without a unique key: every row gets a
+    number as the last sort key, so no key repeats and no range partition can
+    hold a large share of the rows.  The rows are exchanged on all their
+    columns and sorted within their partitions before they are numbered, so a
+    rerun task numbers, and places, equal rows as before.
 
     ``settle`` names a column to exchange the rows on first, where nothing
     before the sort does: the sampling then reads the exchanged rows instead
@@ -30,15 +27,10 @@ def sorted_desc(df: DataFrame, by, ties=(), hidden: bool = False, spread_ties: b
     if spread_ties:
         columns = df.columns
         rest = [F.asc_nulls_last(c) for c in columns if c != by and c not in ties]
-        last = F.floor((F.col("_n_equal") - 1) / EQUAL_ROWS)
-        counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n_equal"))
-        chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        chunks = chunks.repartition(tasks, *columns, "_chunk")
-        first = F.col("_chunk") * EQUAL_ROWS
-        copies = F.sequence(first, F.least(first + EQUAL_ROWS, F.col("_n_equal")) - 1)
-        rows = chunks.withColumn("_copy", F.explode(copies)).drop("_n_equal", "_chunk")
-        out = rows.orderBy(*keys, *rest, F.asc("_copy")).drop("_copy")
+        # AQE splits a partition that equal rows fill.
+        placed = df.hint("rebalance", *columns).sortWithinPartitions(*columns)
+        numbered = placed.withColumn("_copy", F.monotonically_increasing_id())
+        out = numbered.orderBy(*keys, *rest, F.asc("_copy")).drop("_copy")
     else:
         if settle is not None:
             df = df.hint("rebalance", settle)

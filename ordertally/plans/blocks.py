@@ -7,6 +7,8 @@ can be checked against an independent SQL oracle.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,10 @@ from ordertally.functions import dates as D
 from ordertally.functions import predicates as P
 from ordertally.operators import joins as J
 from ordertally.params import ReportParams
+from ordertally.plans.partials import close_days, customer_orders_from_days
+from ordertally.session import scratch_path
+from ordertally.sources.catalog import run_sql
+from ordertally.sources.fixtures import FixtureTables, register_fixtures
 
 Tables = dict[str, DataFrame]
 
@@ -34,6 +40,32 @@ def param_period(spark: SparkSession, t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+# A user's own query with typed date parameters; ``{orders}`` and ``{store}`` are the tables.
+STORE_WINDOWS = """
+SELECT s.name AS store_name, o.delivery_window, COUNT(*) AS order_count,
+  COUNT(DISTINCT o.customer_id) AS customers, CAST(SUM(o.sum) AS DECIMAL(18,2)) AS sum_total,
+  MIN(o.delivery_date) AS first_day, MAX(o.delivery_date) AS last_day
+FROM {orders} o JOIN {store} s ON s.id = o.store_id
+WHERE o.delivery_date BETWEEN :start AND :end AND o.status NOT IN (4, 11)
+GROUP BY s.name, o.delivery_window
+HAVING MAX(o.delivery_date) >= :cutoff"""
+
+
+def sql_text_report(spark: SparkSession, t: Tables, p: ReportParams) -> DataFrame:
+    """A query given as SQL text: over the named views of a schema if the tables come from files, else over the tables as given."""
+    if isinstance(t, FixtureTables):
+        text = STORE_WINDOWS.format(orders="orders", store="store")  # plain names, found in the schema
+        return run_sql(spark, text, p, schema=register_fixtures(spark, t.sf_dir))
+    return run_sql(spark, STORE_WINDOWS, p, tables=t)
+
+
+def customer_year_from_days(spark: SparkSession, t: Tables, closed: ReportParams, p: ReportParams) -> DataFrame:
+    """Customer orders of ``p`` from staged daily partials: the days of ``closed`` are closed first, the rest is read from the orders."""
+    root = scratch_path(spark, f"customer-days-{uuid.uuid4().hex}")
+    close_days(spark, t, root, closed.start, closed.end)
+    return customer_orders_from_days(spark, t, root, p)
+
+
 def period_last_7(t: Tables, n: int = 7) -> DataFrame:
     """Orders per day in the last-``n``-days period ending on the latest
     delivery day (the data's "today"); inclusive, so ``n + 1`` days."""

@@ -41,3 +41,53 @@ REPORTS: dict[str, Callable[..., DataFrame]] = {
     "daily_product_totals": R.daily_product_totals,
     "daily_status": R.daily_status,
 }
+
+# Reports that group or join by text and take a ``collation``.
+COLLATED = {"new_customers", "zone_store_totals", "zone_totals"}
+
+# Tables that each report reads.
+READS: dict[str, tuple[str, ...]] = {
+    "new_customers": ("orders", "store"),
+    "packing_orders": ("orders", "order_product", "products", "store", "workers"),
+    "packing_by_worker": ("orders", "order_product", "workers"),
+    "missing_lines": ("orders", "order_product", "products", "store", "workers"),
+    "product_totals": ("orders", "order_product", "products", "categories"),
+    "customer_orders": ("orders",),
+    "second_month_orders": ("orders",),
+    "yearly_orders": ("orders",),
+    "recent_customers": ("orders",),
+    "coupon_orders": ("orders",),
+    "zone_store_totals": ("orders", "store", "cities", "city_groups"),
+    "zone_totals": ("orders", "store", "cities", "city_groups"),
+    "daily_detail": ("orders", "order_product", "products"),
+    "daily_product_totals": ("orders", "order_product", "products"),
+    "daily_status": ("orders", "order_product", "products"),
+}
+
+# Tables whose key a report's plan needs to be unique: it joins them after it
+# has aggregated, or keeps a row per order.  Elsewhere a repeated key
+# multiplies rows here as it does in SQL.
+RELIES_ON: dict[str, tuple[str, ...]] = {
+    "new_customers": ("store",),
+    "packing_orders": ("orders", "store", "workers"),
+    "packing_by_worker": ("orders", "workers"),
+    "product_totals": ("orders", "products", "categories"),
+    "daily_detail": ("orders",),
+    "daily_product_totals": ("products",),
+    "daily_status": ("products",),
+}
+
+
+def run_report(name: str, t: dict[str, DataFrame], p, **options) -> DataFrame:
+    """A report by its name, for the period ``p`` (``ReportParams``).
+
+    The daily reports take their days from the period: ``daily_detail`` its
+    first one, the others all of them.
+    """
+    if name not in REPORTS:
+        raise ValueError(f"unknown report {name!r}; use one of {', '.join(sorted(REPORTS))}")
+    if name == "daily_detail":
+        return REPORTS[name](t, p.start, **options)
+    if name in WEEKLY_REPORTS:
+        return REPORTS[name](t, p, **options)
+    return REPORTS[name](t, p.start, p.end, **options)

@@ -58,22 +58,28 @@ def period_lines(t: Tables, p: ReportParams) -> DataFrame:
 # R1: new customers
 
 
-def new_customers(t: Tables, p: ReportParams) -> DataFrame:
+def new_customers(t: Tables, p: ReportParams, collation: str | None = None) -> DataFrame:
     """Customers whose first order inside the period is on or after the cutoff.
 
     Grouped by customer, store and the name/phone written on the order, so
     one customer with two phone numbers gives two rows.  Ordered by the
     number of orders, descending.
+
+    With a ``collation`` (e.g. ``"UTF8_LCASE"``) names and phones that are
+    equal under it are one group, shown in their least spelling.
     """
     o = t["orders"].filter(
         P.in_period(p)
         & P.exclude_stores(*P.EXCLUDED_STORES)
         & P.status_not_in(*P.NEW_CUSTOMER_EXCLUDED_STATUSES)
     )
-    keys = ["customer_id", "store_id", "first_name", "last_name", "phone"]
+    texts = ["first_name", "last_name", "phone"]
+    text_keys, shown = A.collated(texts, collation)
+    keys = ["customer_id", "store_id", *texts]
     g = (
-        o.groupBy(*keys)
+        o.groupBy("customer_id", "store_id", *text_keys)
         .agg(
+            *shown,
             F.min("delivery_date").alias("first_order"),
             F.max("delivery_date").alias("last_order"),
             F.count("delivery_date").alias("number_of_orders"),
@@ -341,13 +347,16 @@ def zone_store_totals(t: Tables, p: ReportParams, collation: str | None = None)
     """Order count and total per store and delivery zone (zones with an
     empty description are left out; all stores included).  Unordered.
 
-    ``collation`` (e.g. ``"UTF8_LCASE"``) matches city names with that
-    collation, for sources whose database compares text case-insensitively.
+    ``collation`` (e.g. ``"UTF8_LCASE"``) matches city names, and groups store
+    and zone names, with that collation, for sources whose database compares
+    text case-insensitively.
     """
     z = _zone_groups(t, p, collation=collation)
-    return z.groupBy("store_id", "store_name", "zone").agg(
-        F.sum("n").cast("bigint").alias("order_count"), A.money_sum("s").alias("sum_total")
+    keys, shown = A.collated(["store_name", "zone"], collation)
+    g = z.groupBy("store_id", *keys).agg(
+        *shown, F.sum("n").cast("bigint").alias("order_count"), A.money_sum("s").alias("sum_total")
     )
+    return g.select("store_id", "store_name", "zone", "order_count", "sum_total")
 
 
 def zone_totals(t: Tables, p: ReportParams, collation: str | None = None) -> DataFrame:
@@ -357,7 +366,9 @@ def zone_totals(t: Tables, p: ReportParams, collation: str | None = None) -> Dat
     (the source shows an arbitrary one).  Ordered by order count, descending.
     """
     z = _zone_groups(t, p, excluded_stores=P.ZONE_EXCLUDED_STORES, collation=collation)
-    g = z.groupBy("zone").agg(
+    keys, shown = A.collated(["zone"], collation)
+    g = z.groupBy(*keys).agg(
+        *shown,
         F.sum("n").cast("bigint").alias("order_count"),
         A.money_sum("s").alias("sum_total"),
         F.min_by(F.struct("store_id", "store_name"), "min_id").alias("_rep"),

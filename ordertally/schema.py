@@ -136,7 +136,7 @@ def resolved(schema: T.StructType, source: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, of(f), f.nullable) for f in schema.fields])
 
 
-def _always_exact(have: T.DataType, want: T.DataType) -> bool:
+def always_exact(have: T.DataType, want: T.DataType) -> bool:
     """Whether every value of one type is one of the other."""
     if have == want or isinstance(have, T.NullType):
         return True
@@ -162,7 +162,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     def cast(f: T.StructField):
         c = F.col(f.name)
         out = c.try_cast(f.dataType)
-        if _always_exact(have[f.name], f.dataType):
+        if always_exact(have[f.name], f.dataType):
             return c.cast(f.dataType).alias(f.name)
         if isinstance(have[f.name], T.StringType):
             exact = out.isNotNull()
@@ -183,6 +183,46 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def key_problems(tables: dict[str, DataFrame], names) -> dict[str, str]:
+    """What is wrong with the declared unique keys of the named tables, by table name.
+
+    A repeated key, a missing key column and a table that cannot be read each
+    give their own message; tables without a problem are left out, and so are
+    tables that are not there.  The dimensions are checked in one job; if that
+    fails, one by one.
+    """
+    found: dict[str, str] = {}
+    parts: dict[str, DataFrame] = {}
+    for name in names:
+        if name not in UNIQUE_KEYS:
+            continue
+        try:
+            parts[name] = duplicate_keys(tables[name].select(F.col(UNIQUE_KEYS[name]).cast("string").alias("key")), "key").limit(1)
+        except KeyError:
+            continue
+        except Exception as e:
+            found[name] = f"{type(e).__name__}: {e}"
+
+    def repeated(some: dict[str, DataFrame]) -> list[str]:
+        every = None
+        for name, df in some.items():
+            one = df.select(F.lit(name).alias("name"))
+            every = one if every is None else every.unionByName(one)
+        return [] if every is None else [r["name"] for r in every.collect()]  # a row per table at most
+
+    try:
+        bad = repeated(parts)
+    except Exception:
+        bad = []
+        for name, df in parts.items():
+            try:
+                bad += repeated({name: df})
+            except Exception as e:
+                found[name] = f"{type(e).__name__}: {e}"
+    found.update({name: f"ValueError: {name}.{UNIQUE_KEYS[name]} is not unique" for name in bad})
+    return found
+
+
 def assert_unique_keys(tables: dict[str, DataFrame]) -> None:
     """Raise ``ValueError`` if any declared unique key is duplicated."""
     for name, key in UNIQUE_KEYS.items():

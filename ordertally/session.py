@@ -63,11 +63,50 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _on_file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate or replaced files, wherever it lies."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    fs, at = _on_file_system(spark, path)
+    fs.delete(at, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _on_file_system(spark, path)
+    return fs.exists(at)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder or file; fails if the file system refuses."""
+    fs, at = _on_file_system(spark, source)
+    if not fs.rename(at, _on_file_system(spark, target)[1]):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, replaced if it is there."""
+    fs, at = _on_file_system(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None without one."""
+    fs, at = _on_file_system(spark, path)
+    if not fs.exists(at):
+        return None
+    source = fs.open(at)
+    try:
+        size = fs.getFileStatus(at).getLen()
+        return bytes(b & 0xFF for b in source.readNBytes(int(size))).decode()
+    finally:
+        source.close()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,21 +4,80 @@ A bundle writes one dataset per report; a per-date report is written once,
 partitioned by ``report_date`` (one directory per day that has rows).  Row
 counts come from an ``Observation`` on the write itself, so counting costs
 no second job.
+
+A result is published in two steps.  It is written aside first, so a write that
+fails halfway leaves the former result as it was.  Then the former result is
+moved away and the new one into its place; a small note names the former
+result until that is done, so a run that dies in between loses nothing either:
+``current_path`` (and ``read_report``) follow the note, and the next write puts
+the former result back before it begins.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ordertally.session import delete_folder, path_exists, read_note, rename_path, write_note
+
 
 def _writer(df: DataFrame, fmt: str, mode: str):
     w = df.write.mode(mode).format(fmt)
     return w.option("header", "true") if fmt == "csv" else w
 
 
+def _beside(path: str, mark: str) -> str:
+    """A path in the same folder that Spark's readers pass over."""
+    folder, name = os.path.split(path.rstrip("/"))
+    return os.path.join(folder, f"_{mark}-{name}")
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where the last complete result of ``path`` lies."""
+    if not path_exists(spark, path):
+        former = read_note(spark, _beside(path, "former"))
+        if former and path_exists(spark, former):
+            return former
+    return path
+
+
+def _publish(spark: SparkSession, aside: str, path: str) -> None:
+    note = _beside(path, "former")
+    former = _beside(path, f"former-{uuid.uuid4().hex}")
+    replaces = path_exists(spark, path)
+    if replaces:
+        write_note(spark, note, former)
+        rename_path(spark, path, former)
+    rename_path(spark, aside, path)
+    if replaces:
+        delete_folder(spark, note)
+        delete_folder(spark, former)
+
+
+def _save(df: DataFrame, path: str, fmt: str, mode: str, partition_by: str | None = None) -> None:
+    spark = df.sparkSession
+
+    def save(target: str, how: str) -> None:
+        w = _writer(df, fmt, how)
+        (w.partitionBy(partition_by) if partition_by else w).save(target)
+
+    if fmt == "noop" or mode != "overwrite":
+        return save(path, mode)
+    kept = current_path(spark, path)
+    if kept != path:  # an earlier run died between the two renames
+        rename_path(spark, kept, path)
+    aside = _beside(path, f"new-{uuid.uuid4().hex}")
+    try:
+        save(aside, "errorifexists")
+    except BaseException:
+        delete_folder(spark, aside)
+        raise
+    _publish(spark, aside, path)
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False, mode: str = "overwrite") -> int:
     """Write one report and return its row count (observed during the write,
     in its result stage, so task retries do not count rows twice).
@@ -31,7 +90,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bo
     out = df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
     if single_file:
         out = out.coalesce(1)
-    _writer(out, fmt, mode).save(path)
+    _save(out, path, fmt, mode)
     return int(obs.get["n_rows"])
 
 
@@ -43,14 +102,14 @@ def write_by_date(df: DataFrame, path: str, date_col: str = "report_date", fmt:
     # count is observed above the exchange, in the write's result stage,
     # where Spark applies each task's metrics once even after retries.
     out = df.hint("rebalance", date_col).observe(obs, F.count(F.lit(1)).alias("n_rows"))
-    _writer(out, fmt, mode).partitionBy(date_col).save(path)
+    _save(out, path, fmt, mode, partition_by=date_col)
     return int(obs.get["n_rows"])
 
 
 def read_report(spark, path: str, schema, fmt: str = "parquet") -> DataFrame:
-    """A written report with its types."""
+    """The last complete result of a written report, with its types."""
     reader = spark.read.schema(schema).format(fmt)
-    return (reader.option("header", "true") if fmt == "csv" else reader).load(path)
+    return (reader.option("header", "true") if fmt == "csv" else reader).load(current_path(spark, path))
 
 
 def with_empty_dates(df: DataFrame, spine: DataFrame, date_col: str = "report_date") -> DataFrame:

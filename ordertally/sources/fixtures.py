@@ -9,6 +9,7 @@ both engines see identical inputs.  Money is DECIMAL(12,2), days are DATE.
 from __future__ import annotations
 
 import os
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -109,6 +110,10 @@ class FixtureTables(dict):
         super().__init__()
         self._spark, self._dir = spark, sf_dir
 
+    @property
+    def sf_dir(self) -> str:
+        return self._dir
+
     def __missing__(self, name: str) -> DataFrame:
         if name not in FIXTURE_SQL:
             raise KeyError(name)
@@ -122,6 +127,19 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return FixtureTables(spark, sf_dir)
 
 
+def register_fixtures(spark: SparkSession, sf_dir: str) -> str:
+    """The eight report tables over one scale-factor directory as views of a schema; returns its name."""
+    from ordertally.sources.catalog import register, sql_source
+
+    schema = f"report_fixtures_{zlib.crc32(os.path.abspath(sf_dir).encode()):08x}"
+    texts = {}
+    for name in S.SCHEMAS:
+        base = FIXTURE_SOURCE[name]
+        texts[name] = FIXTURE_SQL[name].format(**{base: f"parquet.`{base_path(sf_dir, base)}`"})
+    register(spark, schema, {name: sql_source(spark, text) for name, text in texts.items()})
+    return schema
+
+
 def oracle_with_clause() -> str:
     """``WITH f_orders AS (...), ...`` for the DuckDB oracle queries."""
     parts = []

@@ -1,7 +1,16 @@
-"""Relational source: read a report table from a database over JDBC."""
+"""Relational source: read a report table from a database over JDBC.
+
+Two ways in.  ``load_jdbc_tables`` reads tables in parallel ranges; where the
+rows of an id or a day are uneven, ``equal_ranges`` has the database count them
+and cuts ranges of about equal rows.  ``jdbc_catalog`` registers the database as
+a Spark catalog, whose tables take whole aggregates to the database: a size
+check then comes back as one row.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ordertally import schema as S
@@ -135,3 +144,106 @@ def load_jdbc_tables(
             df = load_jdbc(spark, url, name, props, require_credentials=require_credentials, **ranges.get(name, {}))
         out[name] = S.conform(df, S.SCHEMAS[name])
     return out
+
+
+# --- the database as a catalog ----------------------------------------------
+
+
+def jdbc_catalog(spark: SparkSession, name: str, url: str, props: dict | None = None) -> str:
+    """Register a database as the catalog ``name``; filters and aggregates on its tables run in the database."""
+    prefix = f"spark.sql.catalog.{name}"
+    spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+    for key, value in {"url": url, "pushDownAggregate": "true", "fetchsize": str(FETCH_ROWS), **(props or {})}.items():
+        spark.conf.set(f"{prefix}.{key}", str(value))
+    return name
+
+
+def load_catalog_tables(spark: SparkSession, catalog: str, namespace: str, names=None) -> dict[str, DataFrame]:
+    """Report tables of a registered database, by their names in any case, conformed to the declared schemas."""
+    found = {r["tableName"].lower(): r["tableName"] for r in spark.sql(f"SHOW TABLES IN `{catalog}`.`{namespace}`").collect()}
+    wanted = list(names or S.SCHEMAS)
+    missing = [n for n in wanted if n not in found]
+    if missing:
+        raise ValueError(f"the database has no table {', '.join(missing)}")
+    return {n: S.conform(spark.table(f"`{catalog}`.`{namespace}`.`{found[n]}`"), S.SCHEMAS[n]) for n in wanted}
+
+
+# --- ranges of about equal rows -------------------------------------------------
+
+# Buckets the database counts for each range wanted, and how often one that is too full is counted again, finer (enough for any 64-bit ids).
+BUCKETS_PER_RANGE = 16
+REFINEMENTS = 12
+
+
+def _counts(spark: SparkSession, url: str, query: str, props: dict | None) -> list[tuple]:
+    rows = spark.read.format("jdbc").options(url=url, query=query, **(props or {})).load().collect()  # a row per bucket
+    return [tuple(r) for r in rows]
+
+
+def _cut(buckets: list[tuple], n: int) -> list:
+    """First values of ``n`` ranges or fewer, from (first value, rows) in order."""
+    total, filled, starts = sum(c for _, c in buckets), 0, []
+    for first, rows in buckets:
+        if not starts or filled >= len(starts) * total / n:
+            starts.append(first)
+        filled += rows
+    return starts
+
+
+def _number_buckets(spark, url, table, column, n, props) -> list[tuple[int, int]]:
+    lo, hi = jdbc_bounds(spark, url, table, column, props)
+    if lo is None:
+        return []
+
+    def count(low: int, high: int, parts: int) -> list[tuple[int, int, int]]:
+        width = max(1, -(-(high - low + 1) // parts))
+        bucket = f"FLOOR(({column} - {low}) / {width})"
+        numbered = f"SELECT {bucket} AS b FROM {table} WHERE {column} BETWEEN {low} AND {high}"
+        found = _counts(spark, url, f"SELECT b, COUNT(*) AS n FROM ({numbered}) buckets GROUP BY b", props)
+        return sorted((low + int(b) * width, width, int(c)) for b, c in found)
+
+    buckets = count(int(lo), int(hi), n * BUCKETS_PER_RANGE)
+    share = sum(c for *_, c in buckets) / n
+    for _ in range(REFINEMENTS):
+        full = [b for b in buckets if b[2] > share / 2 and b[1] > 1]
+        if not full:
+            break
+        finer = [x for low, width, _ in full for x in count(low, low + width - 1, BUCKETS_PER_RANGE * 4)]
+        buckets = sorted([b for b in buckets if b not in full] + finer)
+    return [(low, c) for low, _, c in buckets]
+
+
+def equal_ranges(spark: SparkSession, url: str, table: str, column: str, n: int, props: dict | None = None) -> list[str]:
+    """Predicates that cut ``table`` into at most ``n`` ranges of ``column`` with about equal rows, and one for its NULLs.
+
+    For whole-number ids and for dates.  The database counts rows per bucket
+    (per day for dates), so ids that crowd together, or busy days, get ranges
+    of their own; one value is never cut.  Every row is in exactly one range.
+    """
+    kind = spark.read.format("jdbc").options(
+        url=url, query=f"SELECT {column} FROM {table} WHERE 1 = 0", **(props or {})).load().schema[0].dataType.simpleString()
+    if kind == "date":
+        days = _counts(spark, url, f"SELECT {column} AS d, COUNT(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY {column}", props)
+        starts = _cut(sorted((d, int(c)) for d, c in days), n)
+        shown = [f"'{d.isoformat()}'" for d in starts]
+    else:
+        shown = [str(x) for x in _cut(_number_buckets(spark, url, table, column, n, props), n)]
+    out = []
+    for k, first in enumerate(shown):
+        low = f"{column} >= {first}" if k else f"{column} IS NOT NULL"
+        out.append(low if k + 1 == len(shown) else f"{low} AND {column} < {shown[k + 1]}")
+    return out + [f"{column} IS NULL"]
+
+
+def load_jdbc_in_ranges(spark: SparkSession, url: str, table: str, column: str, n: int, props: dict | None = None) -> DataFrame:
+    """``table`` read in parallel, one task for each of ``equal_ranges``."""
+    predicates = equal_ranges(spark, url, table, column, n, props)
+    given = {"fetchsize": str(FETCH_ROWS), **(props or {})}
+    return spark.read.jdbc(url, table, predicates=predicates, properties={k: str(v) for k, v in given.items()})
+
+
+def load_jdbc_days(spark: SparkSession, url: str, table: str, column: str, start: dt.date, end: dt.date, n: int,
+                   props: dict | None = None) -> DataFrame:
+    """The rows of ``table`` from ``start`` to ``end``, read in ranges of days with about equal rows."""
+    inside = f"(SELECT * FROM {table} WHERE {column} BETWEEN '{start.isoformat()}' AND '{end.isoformat()}') days"
+    return load_jdbc_in_ranges(spark, url, inside, column, n, props)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,12 @@ def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """
     path = table_path(root, name)
     if name in KEEP_TYPES:
-        found = spark.read.parquet(path)
+        try:
+            found = spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return spark.read.schema(S.SCHEMAS[name]).parquet(path)  # staged without a row
         return S.conform(found, S.SCHEMAS[name]) if _differs(found, name) else _typed(spark, path, name, found.schema)
     return spark.read.schema(S.SCHEMAS[name]).parquet(path)
 
@@ -94,6 +100,53 @@ def write_tables(
             df.write.mode(mode).parquet(path)
 
 
+# Files of each bucketed table; both sides of a join need the same number.
+BUCKETS = 200
+BUCKET_COLUMNS = {"orders": "id", "order_product": "order_id"}
+
+
+def write_bucketed(tables: dict[str, DataFrame], schema: str, root: str, buckets: int = BUCKETS, names=None) -> None:
+    """Store report tables as tables of ``schema``, orders and order lines bucketed and sorted by the order id.
+
+    For reports over long periods, whose orders are too many to be broadcast:
+    the two large tables then join, and the lines add up per order, where they
+    lie, without an exchange.  The files are under ``root``; in a new session
+    ``register_bucketed`` names them again.  For short periods the layout of
+    ``write_tables`` reads less (one session may use both).  An order's lines
+    are one bucket, so an order that holds a large share of all lines is
+    better read from the other layout, where AQE splits it.
+    """
+    from ordertally.sources.catalog import create_schema
+
+    wanted = names or [n for n in S.SCHEMAS if _has(tables, n)]
+    create_schema(tables[wanted[0]].sparkSession, schema)
+    for name in wanted:
+        key = BUCKET_COLUMNS.get(name)
+        df = tables[name].repartition(buckets, key) if key else tables[name]
+        writer = df.write.mode("overwrite").format("parquet").option("path", os.path.join(root, name))
+        if key:
+            writer = writer.bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(f"`{schema}`.`{name}`")
+
+
+def register_bucketed(spark: SparkSession, schema: str, root: str, buckets: int = BUCKETS, names=None) -> dict[str, DataFrame]:
+    """Name the tables that ``write_bucketed`` left under ``root`` in a new session; returns them."""
+    from ordertally.sources.catalog import create_schema
+
+    create_schema(spark, schema)
+    out = {}
+    for name in names or S.SCHEMAS:
+        path = os.path.join(root, name)
+        columns = spark.read.parquet(path).schema.toDDL()
+        key = BUCKET_COLUMNS.get(name)
+        clustered = f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS " if key else ""
+        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+        place = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE `{schema}`.`{name}` ({columns}) USING parquet {clustered}LOCATION '{place}'")
+        out[name] = spark.table(f"`{schema}`.`{name}`")
+    return out
+
+
 def _has(tables, name: str) -> bool:
     """Membership that also works for lazily built table dicts."""
     try:

