@@ -294,18 +294,33 @@ def recent_customers(t: Tables, p: ReportParams) -> DataFrame:
     return sorted_desc(g, "order_count", ties=["customer_id"])
 
 
-def _customer_groups(t: Tables, p: ReportParams) -> DataFrame:
+# Beyond this many bytes of orders (by the plan's statistics) names are looked up in a second step.
+TWO_STEP_BYTES = 256 << 20
+
+
+def _customer_groups(t: Tables, p: ReportParams, two_steps: bool | None = None) -> DataFrame:
+    """Orders per customer, with the names on the lowest order id.
+
+    Names as aggregation buffers need a sort aggregate, which is quicker for
+    few orders.  For many, the hash aggregate keeps the lowest id alone and
+    the names are joined to it once after it: on 6 million orders that takes
+    4.9 s instead of 7.8 (without broadcasts; README).  Both give the same rows.
+    """
     o = period_orders(t, p).filter(P.exclude_stores(*P.EXCLUDED_STORES))
+    if two_steps is None:
+        two_steps = J.plan_bytes(o) > TWO_STEP_BYTES
     g = o.groupBy("customer_id").agg(
         F.min("delivery_date").alias("first_order"),
         F.max("delivery_date").alias("last_order"),
         A.exact_avg("sum").alias("avg_sum"),
         F.count("id").alias("order_count"),
-        A.representative(CUSTOMER_COLS, "id").alias("_rep"),
-    )
-    return g.select(
-        "customer_id", "first_order", "last_order", "avg_sum", "order_count", *A.unpack("_rep", CUSTOMER_COLS)
+        (F.min("id") if two_steps else A.representative(CUSTOMER_COLS, "id")).alias("_rep"),
     )
+    totals = ["customer_id", "first_order", "last_order", "avg_sum", "order_count"]
+    if two_steps:
+        named = o.select(F.col("id").alias("_id"), *CUSTOMER_COLS)
+        return g.join(named, F.col("_rep") == F.col("_id")).select(*totals, *CUSTOMER_COLS)
+    return g.select(*totals, *A.unpack("_rep", CUSTOMER_COLS))
 
 
 # --------------------------------------------------------------------------

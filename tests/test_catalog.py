@@ -228,6 +228,21 @@ def test_partials_of_null_customers_and_totals(spark, tmp_path):
     assert canon(PT.customer_orders_from_days(spark, t, str(tmp_path), P)) == canon(R.customer_orders(t, P)) != got
 
 
+# --- names in two steps -----------------------------------------------------------------
+
+
+def test_names_of_customers_in_two_steps(spark, monkeypatch):
+    t = FX.fixture_tables(spark, SF)
+    want = [canon(build(t, E.YEAR)) for build in (R.customer_orders, R.recent_customers)]
+    nulls = make_tables(spark, orders=[{"id": 2, "customer_id": None, "first_name": None}, {"id": 1, "customer_id": None, "phone": None}])
+    few = canon(R.customer_orders(nulls, P))
+    assert "SortAggregate" in plan(R.customer_orders(t, E.YEAR))
+    monkeypatch.setattr(R, "TWO_STEP_BYTES", 0)
+    assert "SortAggregate" not in plan(R.customer_orders(t, E.YEAR))
+    assert [canon(build(t, E.YEAR)) for build in (R.customer_orders, R.recent_customers)] == want
+    assert canon(R.customer_orders(nulls, P)) == few
+
+
 # --- collations ----------------------------------------------------------------------------
 
 
