@@ -89,7 +89,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
         F.col("c_symbol").cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.length("text").alias("chars"),
-        (F.octet_length("text") - F.length("text")).cast("double").alias("c_wide"),
+        F.regexp_count("text", F.lit(r"[^\x00-\x7F]")).cast("double").alias("c_wide"),
         *[f"c_{n}" for n in _COUNTED],
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
         F.filter(
