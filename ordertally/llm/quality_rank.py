@@ -4,8 +4,8 @@ A document's score is linear in style features of its whole text.  The
 weights are learned from preference pairs (a labelled good document against
 a labelled bad one) by the logistic loss on the difference of their
 features, as in the Bradley-Terry model.  The decision cuts the ranking at
-the quantile of the training scores that the share of bad documents gives,
-and a logistic link puts that cut at ``THRESHOLD``.
+the quantile of the scores of all training rows that the share of bad
+documents gives, and a logistic link puts that cut at ``THRESHOLD``.
 
 Features are computed in one pass over all documents and written as a narrow
 table; training takes at most ``SAMPLE_ROWS`` labelled rows of it (in the
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ordertally.llm.common import bounded_broadcast, crc_of_id, fields, map_columns, staged, words_of
 
 SAMPLE_ROWS = 40_000
+CUT_ACCURACY = 20_000  # ranks of the cut are right to one part in this many
 PAIRS = 200_000
 RIDGE = 1e-3
 SEED = 17
@@ -127,14 +128,16 @@ class RankModel:
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-6
-        z = _curved((x - self.mean) / self.scale)
-        self.weights = fit_pairs(z, y)
-        s = z @ self.weights
+        self.weights = fit_pairs(_curved((x - self.mean) / self.scale), y)
+        s = self.rank(x)
         self.cut = float(np.quantile(s, (y == 0).mean()))
         self.slope = 4 / max(1e-6, float(np.median(s[y == 1]) - np.median(s[y == 0])))
 
+    def rank(self, x: np.ndarray) -> np.ndarray:
+        return _curved((x - self.mean) / self.scale) @ self.weights
+
     def scores(self, x: np.ndarray) -> np.ndarray:
-        s = _curved((x - self.mean) / self.scale) @ self.weights
+        s = self.rank(x)
         return 1 / (1 + np.exp(-np.clip(self.slope * (s - self.cut), -30, 30) - np.log(THRESHOLD / (1 - THRESHOLD))))
 
 
@@ -148,11 +151,32 @@ def train(table: DataFrame, labels: DataFrame) -> RankModel | None:
         .agg(F.max("label").alias("label"))
     )
     rows = table.filter(use).join(bounded_broadcast(known), "doc_id").withColumn("__at", F.xxhash64("doc_id"))
-    sample = rows.orderBy("__at", "doc_id", "features").limit(SAMPLE_ROWS).select("features", "label").toPandas()
+    n = rows.count()
+    # Hashes are even, so the sample lies below this one: no partition sends more than its part of it.
+    share = 1.1 * SAMPLE_ROWS / max(n, 1)
+    low = rows if share >= 1 else rows.filter(F.col("__at") < int(-(2**63) + share * 2**64))
+    sample = low.orderBy("__at", "doc_id", "features").limit(SAMPLE_ROWS).select("features", "label").toPandas()
     y = (sample["label"] > 0).to_numpy(int)
     if not 0 < y.sum() < len(y):
         return None
-    return RankModel(np.stack(sample["features"].to_numpy()), y)
+    model = RankModel(np.stack(sample["features"].to_numpy()), y)
+    if n > len(sample):
+        _cut_over_all(model, rows)
+    return model
+
+
+def _cut_over_all(model: RankModel, rows: DataFrame) -> None:
+    """Take the cut, and the scale of the link, from all training rows: two aggregates."""
+
+    def run(features):
+        return [model.rank(np.asarray(features.flatten(), float).reshape(len(features), len(FEATURES)))]
+
+    ranked = map_columns(rows, ["features"], fields("rank double"), run, ["label"])
+    bad = F.col("label") <= 0
+    part = ranked.agg(F.avg(bad.cast("double"))).first()[0]
+    quantile = lambda p, which: F.percentile_approx(F.when(which, F.col("rank")), F.lit(p), F.lit(CUT_ACCURACY))
+    cut, lower, upper = ranked.agg(quantile(part, F.lit(True)), quantile(0.5, bad), quantile(0.5, ~bad)).first()
+    model.cut, model.slope = cut, 4 / max(1e-6, upper - lower)
 
 
 def score_quality(table: DataFrame, model: RankModel | None, keep: list[str]) -> DataFrame:
