@@ -31,9 +31,10 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20
 ORDERS_BROADCAST_BYTES = 64 << 20
 
-# Statistics of a plan (for files, their bytes) settle the matter up to here: even files that unpack to ten
-# times their size stay within the bounds above.
+# Statistics of a plan (for files, their bytes) settle the matter up to here, and up to a sixteenth of the bound:
+# files that unpack to sixteen times their size still stay within it.
 STATISTICS_BYTES = 4 << 20
+UNPACKED = 16
 
 # Statistics of a source that gives none (Spark's default for them is its largest long).
 UNKNOWN_BYTES = 1 << 60
@@ -104,7 +105,7 @@ def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
     """Whether ``df`` is within the bound, by its statistics or else measured."""
     bound = BROADCAST_BYTES if max_bytes is None else max_bytes
     known = plan_bytes(df)
-    if known <= min(bound, STATISTICS_BYTES):
+    if known <= min(bound // UNPACKED, STATISTICS_BYTES):
         return True
     if known >= UNKNOWN_BYTES and _texts(df):
         # A database counts its rows itself; texts are only fetched to be measured if the count alone is within the bound.
