@@ -14,6 +14,11 @@ then of different classes are compared too, all with all, in tiles of at most
 about ``TILE_ROWS`` rows a side: words that two texts cannot share rule most
 pairs out, the rest are aligned, and only links are written.
 
+Edits spread evenly at the allowed share leave no run of five words unchanged.
+So a text also has ``CLOSE_SKETCHES`` sketches over runs of ``CLOSE_SHINGLE``
+words, which only add candidates; a pair whose shorter text has fewer than
+``MEDIUM`` words is compared on ``MEDIUM_SKETCHES`` of them.
+
 A text of fewer than ``SHORT`` words has few shingles, and one edit may
 change them all.  It and the texts that can be similar to it have exact keys
 besides: cut into one segment more than the pair's allowed edits, the shorter
@@ -25,7 +30,9 @@ on to the sketches.
 Defined cases: null and empty texts are never copies of anything; a text of
 fewer than five words is one shingle; rows without an id belong to no class
 (the result has none for them, the filter keeps them); rows that repeat an
-id are one document, linked to whatever any of them is linked to.
+id are one document, linked to whatever any of them is linked to, and the
+filter keeps one row of each different text of a kept id; an empty table has
+no classes; a very long text is sketched in blocks of ``BLOCK`` hashes.
 """
 
 from __future__ import annotations
@@ -44,6 +51,10 @@ from ordertally.llm.common import bounded_broadcast, col, fields, map_arrow, map
 SHINGLE = 5
 SAMPLED = 2
 SKETCHES = 32
+CLOSE_SHINGLE = 3
+CLOSE_SKETCHES = 48
+MEDIUM = 64  # words of the shorter text below which a pair has more sketches in common
+MEDIUM_SKETCHES = 96
 SIMILARITY = 0.8
 MAX_ROUNDS = 40
 
@@ -56,6 +67,7 @@ SHORT = 20  # words below which a text's candidates are exact
 _LARGEST = np.uint64(2**64 - 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, SKETCHES, np.int64).astype(np.uint64)
+_CLOSE_SEEDS = np.random.default_rng(7).integers(1, 2**63, MEDIUM_SKETCHES, np.int64).astype(np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,11 +83,11 @@ def word_numbers(text: str | None) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
 
 
-def labelled_shingles(words: np.ndarray) -> np.ndarray:
+def labelled_shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """A hash of each shingle and its occurrence number, in text order."""
-    n = max(1, len(words) - SHINGLE + 1)
+    n = max(1, len(words) - size + 1)
     h = np.zeros(n, np.uint64)
-    for j in range(min(SHINGLE, len(words))):
+    for j in range(min(size, len(words))):
         h = _mix(h * _MULTIPLIER + words[j : j + n] + np.uint64(1))
     return _labelled(h)
 
@@ -97,12 +109,26 @@ def sketch(text: str | None) -> list[int] | None:
     words = word_numbers(text)
     if not len(words):
         return None
-    shingles = labelled_shingles(words)
+    return _sketch_values(labelled_shingles(words), _SEEDS)
+
+
+def close_sketch(text: str | None) -> list[int]:
+    """Sketch values over shorter shingles; none for texts whose pairs all have exact keys."""
+    words = word_numbers(text)
+    n = len(words)
+    if n < SHORT:
+        return []
+    seeds = _CLOSE_SEEDS if n - allowed_edits(n) < MEDIUM else _CLOSE_SEEDS[:CLOSE_SKETCHES]
+    return _sketch_values(labelled_shingles(words, CLOSE_SHINGLE), seeds)
+
+
+def _sketch_values(shingles: np.ndarray, seeds: np.ndarray) -> list[int]:
+    """Of each seed: a hash of the ``SAMPLED`` least shingles under it, in text order."""
     k = min(SAMPLED, len(shingles))
-    picked = np.empty((SKETCHES, k), np.int64)
+    picked = np.empty((len(seeds), k), np.int64)
     group = max(1, BLOCK // len(shingles))
-    for s in range(0, SKETCHES, group):
-        h = (shingles[None, :] ^ _SEEDS[s : s + group, None]) * _MULTIPLIER
+    for s in range(0, len(seeds), group):
+        h = (shingles[None, :] ^ seeds[s : s + group, None]) * _MULTIPLIER
         h ^= h >> np.uint64(32)
         h *= _MULTIPLIER
         rows = np.arange(len(h))
@@ -111,7 +137,7 @@ def sketch(text: str | None) -> list[int] | None:
             picked[s : s + group, j] = at
             h[rows, at] = _LARGEST
     picked.sort(1)  # text order
-    value = _SEEDS
+    value = seeds
     for j in range(k):
         value = _mix(value * _MULTIPLIER + shingles[picked[:, j]])
     return value.view(np.int64).tolist()
@@ -223,7 +249,7 @@ def sketch_table(docs: DataFrame) -> DataFrame:
     def run(texts):
         texts = texts.to_pylist()
         values = [sketch(t) for t in texts]
-        return [[len(words_of(t)) for t in texts], [v and v + short_keys(t) for v, t in zip(values, texts, strict=True)]]
+        return [[len(words_of(t)) for t in texts], [v and v + short_keys(t) + close_sketch(t) for v, t in zip(values, texts, strict=True)]]
 
     rows = docs.select("doc_id", "text", F.expr("CASE WHEN text <> '' THEN md5(text) END").alias("digest")).filter(
         "doc_id IS NOT NULL"
@@ -231,11 +257,19 @@ def sketch_table(docs: DataFrame) -> DataFrame:
     return map_columns(rows, ["text"], fields("n_words int, sketches array<long>"), run, ["doc_id", "digest"])
 
 
-def candidate_pairs(reps: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b: each document with the smallest id of every sketch value it shares."""
+def shared_values(reps: DataFrame) -> DataFrame:
+    """(value, doc_id, n_words, a, n): the sketch values that several rows of ``reps`` have.
+
+    ``a`` is the smallest id among the ``n`` rows with the value.
+    """
     keys = reps.select("doc_id", "n_words", F.explode("sketches").alias("value"))
-    pivots = keys.groupBy("value").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = keys.join(pivots.select("value", "a"), "value").filter("a <> doc_id")
+    several = keys.groupBy("value").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    return keys.join(several, "value")
+
+
+def candidate_pairs(members: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b: each document with the smallest id of every sketch value it shares."""
+    pairs = members.filter("a <> doc_id")
     return pairs.groupBy("a", F.col("doc_id").alias("b")).agg(F.first("n_words").alias("n_words"))
 
 
@@ -303,19 +337,19 @@ def tile_links(rows: list[tuple]) -> list[tuple[int, int]]:
     return out
 
 
-def links_across(docs: DataFrame, reps: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between members of a sketch value that ``classes`` (node, label) leaves apart.
+def links_across(docs: DataFrame, reps: DataFrame, shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a ``shared`` value that ``classes`` (node, label) leaves apart.
 
     A value's members are dealt into blocks, a class of many members into
     blocks of its own; a tile is two blocks, or one with itself.  No tile
     has two blocks of one class.
     """
     spark = docs.sparkSession
-    known = reps.select("doc_id", "n_words", F.explode("sketches").alias("value"))
+    known = shared.filter("n > 2").select("doc_id", "n_words", "value")  # two members have been compared
     known = known.join(classes.withColumnsRenamed({"node": "doc_id", "label": "class_id"}), "doc_id", "left")
     known = known.withColumn("class_id", F.coalesce("class_id", "doc_id"))
-    apart = known.groupBy("value").agg(F.count("*").alias("n"), F.min("class_id").alias("x"), F.max("class_id").alias("y"))
-    apart = apart.filter("n > 2 AND x < y").select("value")  # two members have been compared
+    apart = known.groupBy("value").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y"))
+    apart = apart.filter("x < y").select("value")
     members = staged(spark, known.join(apart, "value", "left_semi"), "members")
 
     sums = (F.sum("n").alias("n"), F.sum("words").alias("words"))
@@ -403,14 +437,15 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     copies = first.filter("n > 1").select("digest", "rep")
     # A row that is not the first of its copies is left to its representative.
     reps = table.join(first.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
-    pairs = staged(spark, candidate_pairs(reps.filter("sketches IS NOT NULL")), "candidates")
+    shared = staged(spark, shared_values(reps.filter("sketches IS NOT NULL")), "shared-values")
+    pairs = staged(spark, candidate_pairs(shared), "candidates")
     sizes = reps.groupBy("doc_id").agg(F.max("n_words").alias("n_a"))
     close = pairs.join(sizes.withColumnRenamed("doc_id", "a"), "a")
     close = close.filter(F.least("n_a", "n_words") >= F.lit(SIMILARITY) * F.greatest("n_a", "n_words") - 1)
     links = staged(spark, verified_links(docs, close.select("a", "b")), "links")
     same = ids.join(copies, "digest").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
     found = components(links.unionByName(same))
-    across = staged(spark, links_across(docs, reps.filter("sketches IS NOT NULL"), found), "links")
+    across = staged(spark, links_across(docs, reps.filter("sketches IS NOT NULL"), shared, found), "links")
     if not across.isEmpty():
         known = found.select(F.col("label").alias("a"), F.col("node").alias("b")).filter("a <> b")
         found = components(known.unionByName(across))
@@ -427,7 +462,8 @@ def op3(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each class (the smallest id), with the columns of ``docs``; rows without an id stay.
 
-    Rows that repeat a kept id are one document: one of them stays.
+    Rows that repeat a kept id are one document: of each of its texts one row
+    stays, the least by its columns' JSON.
     """
     classes = staged(docs.sparkSession, duplicate_classes(docs), "classes")
     dropped = classes.filter("doc_id <> class_id").select("doc_id")
@@ -437,5 +473,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     if repeated.isEmpty():
         return kept
     once = kept.join(bounded_broadcast(repeated), "doc_id", "left_anti")
-    several = kept.join(bounded_broadcast(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    several = kept.join(bounded_broadcast(repeated), "doc_id", "left_semi")
+    row = F.struct(*[col(c) for c in docs.columns])
+    several = several.groupBy("doc_id", F.md5("text")).agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*")
     return once.unionByName(several).select(*[col(c) for c in docs.columns])

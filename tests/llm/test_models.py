@@ -320,6 +320,28 @@ def test_sketches_follow_their_definition():
     assert len(near_dup.sketch("one")) == near_dup.SKETCHES
 
 
+@pytest.mark.parametrize("n", [20, 30, 60, 70, 200, 600])
+@pytest.mark.parametrize("least", [0.80, 0.85])
+@pytest.mark.parametrize("even", [False, True])
+def test_similar_texts_are_candidates(n, least, even):
+    rng = random.Random(15)
+    edits, pairs = near_dup.allowed_edits(n, least), []
+    while len(pairs) < 150:
+        a = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        b = list(a)
+        for p in [int((i + 0.5) * n / edits) for i in range(edits)][::-1] if even else sorted(rng.sample(range(n), edits))[::-1]:
+            new = [f"x{rng.randrange(5000)}"]
+            if even:
+                b[p] = new[0]
+            else:  # replaced, dropped or put in
+                b[p : p + rng.randint(0, 1)] = new * rng.randint(0, 1)
+        pair = " ".join(a), " ".join(b)
+        if near_dup.similar(*pair):
+            pairs.append(pair)
+    keys = lambda t: set(near_dup.sketch(t) + near_dup.short_keys(t) + near_dup.close_sketch(t))
+    assert np.mean([bool(keys(a) & keys(b)) for a, b in pairs]) >= 0.9
+
+
 def brute_classes(texts):
     label = {i: i for i in range(len(texts))}
 
@@ -444,4 +466,7 @@ def test_filter_keeps_one_of_each(spark, monkeypatch, broadcast_rows):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 4, 5, 6, None, None]
     assert near_dup.drop_near_duplicates(docs.limit(0)).count() == 0
+    other = " ".join(f"v{i}" for i in range(50))
+    twice = spark.createDataFrame([(7, text, "a"), (7, other, "b"), (7, other, "a"), (8, None, "a"), (8, "", "b")], "doc_id long, text string, lang string")
+    assert sorted(near_dup.drop_near_duplicates(twice).collect(), key=str) == sorted([(7, text, "a"), (7, other, "a"), (8, None, "a"), (8, "", "b")], key=str)
     assert near_dup.op3(docs.limit(0)).count() == 0
