@@ -16,8 +16,9 @@ pairs out, the rest are aligned, and only links are written.
 
 Edits spread evenly at the allowed share leave no run of five words unchanged.
 So a text also has ``CLOSE_SKETCHES`` sketches over runs of ``CLOSE_SHINGLE``
-words, which only add candidates; a pair whose shorter text has fewer than
-``MEDIUM`` words is compared on ``MEDIUM_SKETCHES`` of them.
+words, which only add candidates: each with the smallest id of the value, if
+the links so far leave the two in different classes.  A pair whose shorter
+text has fewer than ``MEDIUM`` words has ``MEDIUM_SKETCHES`` of them.
 
 A text of fewer than ``SHORT`` words has few shingles, and one edit may
 change them all.  It and the texts that can be similar to it have exact keys
@@ -244,25 +245,25 @@ def similar(x: str | None, y: str | None, least: float = SIMILARITY) -> bool:
 
 
 def sketch_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, n_words, sketches) of the documents that have an id; digest null for empty texts."""
+    """(doc_id, digest, n_words, sketches, close) of the documents that have an id; digest null for empty texts."""
 
     def run(texts):
         texts = texts.to_pylist()
         values = [sketch(t) for t in texts]
-        return [[len(words_of(t)) for t in texts], [v and v + short_keys(t) + close_sketch(t) for v, t in zip(values, texts, strict=True)]]
+        return [[len(words_of(t)) for t in texts], [v and v + short_keys(t) for v, t in zip(values, texts, strict=True)], [close_sketch(t) for t in texts]]
 
     rows = docs.select("doc_id", "text", F.expr("CASE WHEN text <> '' THEN md5(text) END").alias("digest")).filter(
         "doc_id IS NOT NULL"
     )
-    return map_columns(rows, ["text"], fields("n_words int, sketches array<long>"), run, ["doc_id", "digest"])
+    return map_columns(rows, ["text"], fields("n_words int, sketches array<long>, close array<long>"), run, ["doc_id", "digest"])
 
 
-def shared_values(reps: DataFrame) -> DataFrame:
-    """(value, doc_id, n_words, a, n): the sketch values that several rows of ``reps`` have.
+def shared_values(reps: DataFrame, sketches: str = "sketches") -> DataFrame:
+    """(value, doc_id, n_words, a, n): the values of the column ``sketches`` that several rows of ``reps`` have.
 
     ``a`` is the smallest id among the ``n`` rows with the value.
     """
-    keys = reps.select("doc_id", "n_words", F.explode("sketches").alias("value"))
+    keys = reps.select("doc_id", "n_words", F.explode(sketches).alias("value"))
     several = keys.groupBy("value").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1")
     return keys.join(several, "value")
 
@@ -273,6 +274,20 @@ def candidate_pairs(members: DataFrame) -> DataFrame:
     return pairs.groupBy("a", F.col("doc_id").alias("b")).agg(F.first("n_words").alias("n_words"))
 
 
+def close_pairs(reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` (a, b, n_words of b) whose numbers of words allow them to be similar."""
+    sizes = reps.groupBy(F.col("doc_id").alias("a")).agg(F.max("n_words").alias("n_a"))
+    near = pairs.join(sizes, "a").filter(F.least("n_a", "n_words") >= F.lit(SIMILARITY) * F.greatest("n_a", "n_words") - 1)
+    return near.select("a", "b")
+
+
+def pairs_apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that ``classes`` (node, label) leaves in different classes."""
+    for c in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("node").alias(c), F.col("label").alias(f"class_{c}")), c, "left")
+    return pairs.filter("coalesce(class_a, a) <> coalesce(class_b, b)").select("a", "b")
+
+
 def verified_links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar."""
     sides = pairs.select(
@@ -439,13 +454,13 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     reps = table.join(first.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
     shared = staged(spark, shared_values(reps.filter("sketches IS NOT NULL")), "shared-values")
     pairs = staged(spark, candidate_pairs(shared), "candidates")
-    sizes = reps.groupBy("doc_id").agg(F.max("n_words").alias("n_a"))
-    close = pairs.join(sizes.withColumnRenamed("doc_id", "a"), "a")
-    close = close.filter(F.least("n_a", "n_words") >= F.lit(SIMILARITY) * F.greatest("n_a", "n_words") - 1)
-    links = staged(spark, verified_links(docs, close.select("a", "b")), "links")
+    links = staged(spark, verified_links(docs, close_pairs(reps, pairs)), "links")
     same = ids.join(copies, "digest").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
     found = components(links.unionByName(same))
     across = staged(spark, links_across(docs, reps.filter("sketches IS NOT NULL"), shared, found), "links")
+    more = staged(spark, candidate_pairs(shared_values(reps, "close")), "candidates")
+    more = staged(spark, pairs_apart(close_pairs(reps, more), found), "candidates")
+    across = across.unionByName(staged(spark, verified_links(docs, more), "links"))
     if not across.isEmpty():
         known = found.select(F.col("label").alias("a"), F.col("node").alias("b")).filter("a <> b")
         found = components(known.unionByName(across))

@@ -342,6 +342,16 @@ def test_similar_texts_are_candidates(n, least, even):
     assert np.mean([bool(keys(a) & keys(b)) for a, b in pairs]) >= 0.9
 
 
+def test_evenly_edited_copies_are_found(spark):
+    rng = random.Random(16)
+    base = [[f"w{rng.randrange(5000)}" for _ in range(n)] for n in (25, 60, 100, 200, 400) * 8]
+    copies = [[f"x{i}" if i % 5 == 2 else w for i, w in enumerate(b)] for b in base]
+    texts = [" ".join(t) for t in base + copies]
+    got = {r.doc_id: r.class_id for r in near_dup.op3(documents(spark, texts)).collect()}
+    assert sum(got[len(base) + i] == i for i in range(len(base))) >= 0.9 * len(base)
+    assert all(got[i] == i for i in range(len(base)))
+
+
 def brute_classes(texts):
     label = {i: i for i in range(len(texts))}
 
