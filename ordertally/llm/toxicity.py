@@ -6,14 +6,18 @@ class (toxic, ordinary) has interpolated probabilities on its own counts of
 documents.  Both back off to one Kneser-Ney model of all counts, continuation
 counts below it, so an expression that is rare in both weighs nothing.  A
 document's figure is the difference of its log-likelihoods under the two
-classes divided by its length; a logistic curve fitted on labelled documents
-that the counts leave out turns it into a score.
+classes divided by its length, over all its symbols: seen n-grams by their two
+probabilities, symbols never seen after a history by what the two classes
+leave to the shared model there; bytes that no training text has are left out.  The part of that difference which comes from
+n-grams that speak clearly for a class is a second figure; a logistic curve of
+both, fitted on labelled documents that the counts leave out, gives the score.
 
 The counts cover four training rows in five, not yet the fifth of the curve.  Probabilities are DataFrame
 aggregates and joins.  Scoring needs only the difference of the two log
-probabilities per history and symbol; the table of these is broadcast as
-``BUCKETS`` half floats (16 MB at any corpus size), hashed, the most frequent
-n-gram of a bucket standing for it.
+probabilities per history and symbol.  The table of these is exact: sorted keys
+and their ratios, broadcast for up to ``BROADCAST_ROWS`` n-grams (32 MB), beyond that
+joined to the n-grams of the texts.  Both ways give the same sums, as ratios
+are rounded to multiples of 2^-18, whose sums are exact.
 
 Defined cases: null and empty texts, and texts without words, have
 difference 0; unlabelled rows and rows with null labels train nothing; of
@@ -31,17 +35,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import bounded_broadcast, col, crc_of_id, fields, map_arrow, map_columns, pieces, staged, words_of
+from ordertally.llm.common import (
+    BROADCAST_ROWS,
+    bounded_broadcast,
+    col,
+    crc_of_id,
+    fields,
+    map_arrow,
+    map_columns,
+    pieces,
+    staged,
+    words_of,
+)
 
 ORDER = 6  # symbols of an n-gram, its history included; at most 8, to be packed into a long
 DISCOUNT = 0.75
-# An n-gram speaks for a class only where its share of toxic documents departs
+# An n-gram speaks clearly for a class where its share of toxic documents departs
 # from that of its history by so many squared standard errors, as a multiple of
-# the logarithm of the number of n-grams tried; elsewhere both classes use the
-# shared model.
+# the logarithm of the number of n-grams tried.
 EVIDENCE = 2.2
 SHARED_WEIGHT = 4.0  # occurrences that the shared model counts for in each class
-BUCKETS = 1 << 23
+BUCKETS = 1 << 23  # of a table without keys
+RATIO_STEPS = 1 << 18  # ratios are multiples of one over this: exact as floats, and so are sums of them as doubles
 CHUNK = 1 << 18  # bytes of text handled at once
 THRESHOLD = 0.3
 UNTRAINED_SCORE = 0.1
@@ -173,17 +188,27 @@ def evidence_needed(ngrams: int) -> float:
     return EVIDENCE * float(np.log(max(2, ngrams)))
 
 
-def log_ratios(counts: DataFrame, ngrams: int) -> DataFrame:
-    """(key, n, ratio): log of the toxic over the ordinary probability, of n-grams that speak for a class.
-
-    ``ngrams`` is the number of rows of ``counts``.
-    """
-    sums = counts.groupBy(_history().alias("h")).agg(
+def _history_sums(counts: DataFrame) -> DataFrame:
+    """(h, toxic_s, ordinary_s, toxic_types, ordinary_types, types) of each history."""
+    return counts.groupBy(_history().alias("h")).agg(
         *[F.sum(c).alias(f"{c}_s") for c in ("toxic", "ordinary")],
         *[F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_types") for c in ("toxic", "ordinary")],
         F.count("*").alias("types"),
     )
-    rows = counts.withColumn("h", _history()).join(sums, "h").join(shared_probabilities(counts), "key")
+
+
+def _left(c: str) -> Column:
+    """Occurrences after a history that a class leaves to the shared model."""
+    return DISCOUNT * F.col(f"{c}_types") + SHARED_WEIGHT
+
+
+def log_ratios(counts: DataFrame, ngrams: int | None = None) -> DataFrame:
+    """(key, n, ratio, surprise): log of the toxic over the ordinary probability of every n-gram.
+
+    With ``ngrams``, the number of rows of ``counts``, only the n-grams that
+    speak clearly for a class.
+    """
+    rows = counts.withColumn("h", _history()).join(_history_sums(counts), "h").join(shared_probabilities(counts), "key")
 
     seen = F.col("toxic") + F.col("ordinary")
     pooled = (F.greatest(seen - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("types") * F.col("q")) / (
@@ -192,14 +217,42 @@ def log_ratios(counts: DataFrame, ngrams: int) -> DataFrame:
     rows = rows.withColumn("pooled", pooled)
 
     def p(c: str):
-        left = DISCOUNT * F.col(f"{c}_types") + SHARED_WEIGHT
-        own = F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + left * F.col("pooled")
+        own = F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + _left(c) * F.col("pooled")
         return own / (F.col(f"{c}_s") + SHARED_WEIGHT)
 
     share = F.col("toxic_s") / (F.col("toxic_s") + F.col("ordinary_s"))
     surprise = F.pow(F.col("toxic") - seen * share, 2) / (seen * share * (1 - share) + 1)
-    rows = rows.filter(surprise >= evidence_needed(ngrams))
-    return rows.select("key", seen.alias("n"), F.log(p("toxic") / p("ordinary")).alias("ratio"))
+    rows = rows.select("key", seen.alias("n"), F.log(p("toxic") / p("ordinary")).alias("ratio"), surprise.alias("surprise"))
+    return rows if ngrams is None else rows.filter(F.col("surprise") >= evidence_needed(ngrams))
+
+
+def backoff_ratios(counts: DataFrame) -> DataFrame:
+    """(key, ratio): the log ratio of a symbol never seen after a history.
+
+    Both classes give such a symbol the shared probability times what they
+    leave to the shared model, so the former cancels out.  The key is the
+    history with symbol 0, which no text has.  After a history that the counts
+    lack, both use the shared model alone, and the ratio is 0.
+    """
+
+    def mass(c: str):
+        return _left(c) / (F.col(f"{c}_s") + SHARED_WEIGHT)
+
+    return _history_sums(counts).select(
+        F.shiftleft("h", 8).alias("key"), F.log(mass("toxic") / mass("ordinary")).alias("ratio")
+    )
+
+
+def ratio_table(counts: DataFrame, ngrams: int) -> DataFrame:
+    """(key, ratio, clear): all log ratios; ``clear`` is the ratio of an n-gram that speaks clearly for a class, else 0."""
+    seen = log_ratios(counts)
+    clear = F.when(F.col("surprise") >= evidence_needed(ngrams), F.col("ratio")).otherwise(0.0)
+    rows = seen.select("key", "ratio", clear.alias("clear")).unionByName(
+        backoff_ratios(counts).withColumn("clear", F.lit(0.0))
+    )
+    return rows.select(
+        "key", *[(F.rint(F.col(c) * RATIO_STEPS) / RATIO_STEPS).cast("float").alias(c) for c in ("ratio", "clear")]
+    )
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -218,29 +271,117 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.
     return w[:-1] / scale, float(w[-1] - (w[:-1] * mean / scale).sum())
 
 
+def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic curve that falls in no column: one that would gets weight 0."""
+    used = list(range(x.shape[1]))
+    while True:
+        w, intercept = fit_logistic(x[:, used], y)
+        if not used or w.min() >= 0:
+            break
+        del used[int(w.argmin())]
+    weights = np.zeros(x.shape[1])
+    weights[used] = w
+    return weights, intercept
+
+
 @dataclass
 class ToxicityModel:
-    ratios: object  # broadcast array of BUCKETS floats, None if untrained
+    # Broadcast arrays: the ratios, one row per key (their ``clear`` part as a second
+    # column), and the sorted keys.  Without keys, ratios of BUCKETS hashed places.
+    ratios: object = None
     weight: float = 0.0
     intercept: float = 0.0
-
-    def difference(self, texts: list) -> np.ndarray:
-        """Length-normalised log-likelihood difference of each text."""
+    keys: object = None
+    symbols: np.ndarray | None = None  # of each byte, whether the counts have it
+    clear_weight: float = 0.0
+    table: DataFrame | None = None  # in place of the arrays: the table, joined to the texts' n-grams
+
+    @property
+    def untrained(self) -> bool:
+        return self.ratios is None and self.table is None
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each n-gram: its own, else its history's if the symbol is known, else the last, which is 0."""
+        if self.keys is None:
+            return bucket_of(keys)
+        known, keys = self.keys.value, keys.view(np.int64)
+        at = np.searchsorted(known, keys)
+        new = np.flatnonzero(known[at] != keys)
+        after = keys[new] & ~np.int64(255)
+        at[new] = np.searchsorted(known, after)
+        none = (known[at[new]] != after) | ~self.symbols[keys[new] & 255]
+        at[new[none]] = len(known) - 1
+        return at
+
+    def differences(self, texts: list) -> np.ndarray:
+        """Length-normalised log-likelihood difference of each text: a row per text, a column per column of the ratios."""
         data, ends = _joined(texts)
-        sums = np.zeros(len(texts) + 1)
+        ratios = self.ratios.value.reshape(len(self.ratios.value), -1)
+        sums = np.zeros((len(texts) + 1, ratios.shape[1]))
         for s, keys, use in _chunks(data, ends):
-            value = np.where(use, self.ratios.value[bucket_of(keys)], 0).astype(np.float64)
+            value = np.where(use[:, None], ratios[self._at(keys)], 0).astype(np.float64)
             # Places are dealt to their texts: each text's share of this chunk.
-            total = np.concatenate(([0.0], np.cumsum(value)))
+            total = np.concatenate((np.zeros((1, value.shape[1])), np.cumsum(value, axis=0)))
             edge = np.clip(ends, s, s + len(value)) - s
             sums[1:] += total[edge]
         sizes = np.diff(np.concatenate(([0], ends)))
-        return np.diff(sums) / np.maximum(sizes - 1, 1)
+        return np.diff(sums, axis=0) / np.maximum(sizes - 1, 1)[:, None]
+
+    def difference(self, texts: list) -> np.ndarray:
+        return self.differences(texts)[:, 0]
+
+    def score(self, difference: Column, clear: Column) -> Column:
+        if self.untrained:
+            return F.lit(UNTRAINED_SCORE)
+        z = self.weight * difference + self.clear_weight * clear + self.intercept
+        return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+
+
+def ngrams_of(texts: DataFrame) -> DataFrame:
+    """(digest, key, n): how often each n-gram stands in the text, of rows (digest, text); equal texts once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches):
+            for digest, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                data, ends = _joined([text])
+                parts = [np.unique(k[use].view(np.int64), return_counts=True) for _, k, use in _chunks(data, ends)]
+                if parts:
+                    keys, of = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+                    n = np.bincount(of, np.concatenate([c for _, c in parts])).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([digest] * len(keys), pa.string()), pa.array(keys), pa.array(n)], ["digest", "key", "n"]
+                    )
+
+    rows = map_arrow(texts.select("digest", "text"), run, "digest string, key long, n long")
+    return rows.groupBy("digest", "key").agg(F.max("n").alias("n"))
+
+
+def joined_differences(docs: DataFrame, table: DataFrame, symbols: np.ndarray, keep: list[str]) -> DataFrame:
+    """``keep`` with (__all, __clear) by joins of the texts' n-grams with ``table``, for tables of any size."""
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    docs = docs.select(*[col(c) for c in keep], digest.alias("__digest"), F.col("text").alias("__text"))
+    grams = ngrams_of(docs.select(F.col("__digest").alias("digest"), F.col("__text").alias("text")))
+    after = table.select(F.col("key").alias("after"), F.col("ratio").alias("after_ratio"))
+    known = F.col("key").bitwiseAND(F.lit(255)).isin(np.flatnonzero(symbols).tolist())
+    grams = grams.join(table, "key", "left").withColumn("after", F.when(known, F.col("key").bitwiseAND(F.lit(~255))))
+    grams = grams.join(after, "after", "left")
+    whole = F.coalesce("ratio", "after_ratio", F.lit(0.0)).cast("double")
+    sums = grams.groupBy("digest").agg(
+        (F.sum(F.col("n") * whole) / F.sum("n")).alias("__all"),
+        (F.sum(F.col("n") * F.coalesce("clear", F.lit(0.0)).cast("double")) / F.sum("n")).alias("__clear"),
+    )
+    rows = docs.join(sums.withColumnRenamed("digest", "__digest"), "__digest", "left")
+    return rows.select(*[col(c) for c in keep], *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("__all", "__clear")])
 
-    def scores(self, texts: list) -> np.ndarray:
-        if self.ratios is None:
-            return np.full(len(texts), UNTRAINED_SCORE)
-        return 1 / (1 + np.exp(-np.clip(self.weight * self.difference(texts) + self.intercept, -30, 30)))
+
+def with_differences(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
+    """``keep`` with (__all, __clear): each text's difference and the part of it from n-grams that speak clearly."""
+    if model.untrained:
+        return docs.select(*[col(c) for c in keep], F.lit(0.0).alias("__all"), F.lit(0.0).alias("__clear"))
+    if model.table is not None:
+        return joined_differences(docs, model.table, model.symbols, keep)
+    found = fields("__all double, __clear double")
+    return map_columns(docs, ["text"], found, lambda t: list(model.differences(t.to_pylist()).T), keep)
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, use) -> DataFrame:
@@ -257,33 +398,30 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, use) -> DataF
 def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Fit on labelled rows whose crc32(doc_id) mod 4 is not 2."""
     spark = docs.sparkSession
-    rows = labelled_texts(docs, labels, "toxic", F.pmod(crc_of_id(), F.lit(4)) != 2)
+    training = labelled_texts(docs, labels, "toxic", F.pmod(crc_of_id(), F.lit(4)) != 2)
     part = F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(CALIBRATION_SHARE))
-    counts = staged(spark, ngram_counts(rows.filter(part != 0)), "ngram-counts")
+    counts = staged(spark, ngram_counts(training.filter(part != 0)), "ngram-counts")
     seen = counts.agg(F.sum("toxic"), F.sum("ordinary"), F.count("*")).first()
     if not seen[0] or not seen[1]:
-        return ToxicityModel(None)
-    keyed = map_columns(
-        log_ratios(counts, seen[2]),
-        ["key"],
-        fields("bucket int"),
-        lambda k: [pa.array(bucket_of(k.to_numpy(zero_copy_only=False).view(np.uint64)).astype(np.int32))],
-        ["n", "ratio"],
-    )
-    table = keyed.groupBy("bucket").agg(F.max_by("ratio", F.struct("n", "ratio")).cast("float").alias("ratio")).toPandas()
-    ratios = np.zeros(BUCKETS, np.float16)
-    ratios[table["bucket"]] = table["ratio"]
-    model = ToxicityModel(spark.sparkContext.broadcast(ratios))
-    held = rows.filter(part == 0).withColumn("__at", F.xxhash64("doc_id"))
-    held = map_columns(
-        held, ["text"], fields("x double"), lambda t: [model.difference(t.to_pylist())], ["__at", "doc_id", "label"]
-    )
-    curve = held.orderBy("__at", "doc_id", "x").limit(CALIBRATION_ROWS).select("x", "label").toPandas()
-    x, y = curve["x"].to_numpy(float), (curve["label"] > 0).to_numpy(float)
+        return ToxicityModel()
+    table = ratio_table(counts, seen[2])
+    symbols = np.zeros(256, bool)
+    symbols[[r[0] for r in counts.select(F.col("key").bitwiseAND(F.lit(255))).distinct().collect()]] = True
+    if seen[2] <= BROADCAST_ROWS:  # there are at most as many histories as n-grams
+        rows = table.toArrow().sort_by("key")
+        # The last row is that of no n-gram.
+        keys = np.append(rows["key"].to_numpy(), np.iinfo(np.int64).max)
+        ratios = np.append(np.column_stack([rows["ratio"].to_numpy(), rows["clear"].to_numpy()]), np.zeros((1, 2), np.float32), axis=0)
+        model = ToxicityModel(spark.sparkContext.broadcast(ratios), keys=spark.sparkContext.broadcast(keys), symbols=symbols)
+    else:
+        model = ToxicityModel(table=staged(spark, table, "ngram-ratios"), symbols=symbols)
+    held = training.filter(part == 0).withColumn("__at", F.xxhash64("doc_id"))
+    held = with_differences(held, model, ["__at", "doc_id", "label"])
+    curve = held.orderBy("__at", "doc_id", "__all", "__clear").limit(CALIBRATION_ROWS).select("__all", "__clear", "label").toPandas()
+    x, y = curve[["__all", "__clear"]].to_numpy(float), (curve["label"] > 0).to_numpy(float)
     if 0 < y.sum() < len(y):
-        neutral = np.zeros(NEUTRAL_ROWS)
-        w, model.intercept = fit_logistic(np.append(x, neutral)[:, None], np.append(y, neutral))
-        model.weight = float(max(w[0], 0.0))
+        w, model.intercept = fit_curve(np.append(x, np.zeros((NEUTRAL_ROWS, 2)), axis=0), np.append(y, np.zeros(NEUTRAL_ROWS)))
+        model.weight, model.clear_weight = float(w[0]), float(w[1])
     else:  # too few rows for a curve: a plain one that asks for clear evidence
         model.weight, model.intercept = 10.0, float(np.log(UNTRAINED_SCORE / (1 - UNTRAINED_SCORE)))
     return model
@@ -291,12 +429,10 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 if the score reaches ``THRESHOLD``)."""
-
-    def run(texts):
-        s = model.scores(texts.to_pylist())
-        return [s, (s >= THRESHOLD).astype(np.int32)]
-
-    return map_columns(docs, ["text"], fields("score double, predicted int"), run, keep)
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("score", "predicted")]
+    rows = with_differences(docs, model, kept)
+    rows = rows.withColumn("score", model.score(F.col("__all"), F.col("__clear"))).drop("__all", "__clear")
+    return rows.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def op2(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -307,5 +443,5 @@ def op2(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents of ``docs`` that the model does not reject, with their own columns."""
     model = train(docs, labels)
-    kept = map_columns(docs, ["text"], fields("__toxic double"), lambda t: [model.scores(t.to_pylist())])
-    return kept.filter(F.col("__toxic") < THRESHOLD).select(*[col(c) for c in docs.columns])
+    kept = with_differences(docs, model, docs.columns)
+    return kept.filter(model.score(F.col("__all"), F.col("__clear")) < THRESHOLD).select(*[col(c) for c in docs.columns])

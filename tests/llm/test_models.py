@@ -85,6 +85,93 @@ def test_ngram_counts_and_log_ratios(spark):
     assert set(ratios) == spoken
 
 
+def test_difference_of_whole_class_models(spark):
+    """Every symbol counts, weak n-grams and symbols unseen after a history too; not unseen histories and bytes."""
+    rng = random.Random(2)
+    word = lambda k: "".join(rng.choice(k) for _ in range(rng.randint(1, 8)))
+    rows = [(" ".join(word("aabcé" if y else "abbce") for _ in range(rng.randint(1, 30))), y) for y in [0, 1, 0] * 20]
+    counts = toxicity.ngram_counts(spark.createDataFrame(rows, "text string, label int")).cache()
+    got = brute_counts(rows)
+    ngrams = set(got[0]) | set(got[1])
+    d, weight = toxicity.DISCOUNT, toxicity.SHARED_WEIGHT
+    followed = Counter(x[1:] for x in {g[i:] for g in ngrams for i in range(len(g))} if len(x) > 1)
+    by_history = {}
+    for g in ngrams:
+        by_history.setdefault(g[:-1], []).append(g)
+
+    def shared(g):
+        if not g:
+            return 1 / 256
+        after = [n for x, n in followed.items() if x[:-1] == g[:-1]]
+        return (max(followed[g] - d, 0) + d * len(after) * shared(g[1:])) / sum(after) if after else shared(g[1:])
+
+    def ratio(g):
+        grams = by_history.get(g[:-1])
+        if not grams:
+            return 0.0
+        sums = {k: sum(got[k][x] for x in grams) for k in (0, 1)}
+        n = got[0][g] + got[1][g]
+        pooled = (max(n - d, 0) + d * len(grams) * shared(g[1:])) / (sums[0] + sums[1])
+        p = {}
+        for k in (0, 1):
+            left = d * sum(got[k][x] > 0 for x in grams) + weight
+            p[k] = (max(got[k][g] - d, 0) + left * pooled) / (sums[k] + weight)
+        return math.log(p[1] / p[0])
+
+    packed = lambda g: int.from_bytes(g, "big")
+    found = {r.key: r.ratio for r in toxicity.log_ratios(counts).collect()}
+    assert found == {packed(g): pytest.approx(ratio(g), abs=1e-9) for g in ngrams}
+    after = {r.key: r.ratio for r in toxicity.backoff_ratios(counts).collect()}
+    assert after == {packed(h + b"\0"): pytest.approx(ratio(h + b"z"), abs=1e-9) for h in by_history}
+
+    clear = {r.key for r in toxicity.log_ratios(counts, len(ngrams)).collect()}
+    table = toxicity.ratio_table(counts, len(ngrams)).toPandas().sort_values("key")
+    assert set(table.key[table.clear != 0]) == clear
+    known = {g[-1] for g in ngrams}
+    held = lambda v: type("Held", (), {"value": v})()
+    values = np.append(table[["ratio", "clear"]].to_numpy(), [[0.0, 0.0]], axis=0)
+    keys, symbols = np.append(table.key.to_numpy(), 2**63 - 1), np.isin(np.arange(256), list(known))
+    model = toxicity.ToxicityModel(held(values), keys=held(keys), symbols=symbols)
+    texts = [rows[0][0], "a", "zaz bbzb", "qqq", "cab " * 9 + "éa", "ecbaabbc eeeecccc bééé abcabcabc", "", None]
+    unseen = 0
+    for text, x in zip(texts, model.difference(texts), strict=True):
+        data = toxicity._bytes(text)
+        parts = [data[max(0, i - toxicity.ORDER + 1) : i + 1] for i in range(1, len(data))]
+        parts = [p[p[:-1].rfind(b" ") :] if b" " in p[:-1] else p for p in parts]
+        want = sum(ratio(p) for p in parts if p[-1] in known) / max(1, len(parts))
+        assert x == pytest.approx(want, abs=2**-18) and (text or x == 0)
+        unseen += sum(p not in ngrams and p[-1] in known and p[:-1] in by_history for p in parts)
+    assert unseen > 5
+    # A text without any n-gram beyond the bound is not the same as one without words.
+    assert model.differences(["a"])[0, 1] == 0 != model.differences(["a"])[0, 0]
+
+
+def test_differences_joined_beyond_the_broadcast(spark, monkeypatch):
+    texts = ["nice words here"] * 30 + ["awful scum trash"] * 30
+    texts += ["nice scum", "nice scum", "zzz nicer trashy", "words " * 500 + "scum", None, "", "…"]
+    docs = documents(spark, texts).withColumn("doc_id", F.expr("if(doc_id > 62, null, doc_id)"))
+    labels = spark.createDataFrame([(i, int(i >= 30)) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    rows = lambda m: sorted(map(tuple, toxicity.score_toxicity(docs, m).collect()), key=str)
+    want = rows(model)
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(toxicity, "CHUNK", 37)
+    joined = toxicity.train(docs, labels)
+    assert model.table is None and joined.table is not None and joined.weight == model.weight > 0
+    assert rows(joined) == want and len(want) == len(texts)
+
+
+def test_a_curve_falls_in_no_column():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 2))
+    y = (x[:, 0] + rng.normal(size=400) > 0).astype(float)
+    for sign in (1, -1):
+        w, _ = toxicity.fit_curve(x * [1, sign], y)
+        assert w[0] > 0 and w[1] >= 0
+    w, b = toxicity.fit_curve(-x[:, :1], y)  # falls: left out
+    assert w.tolist() == [0] and b == pytest.approx(math.log(y.mean() / (1 - y.mean())), abs=1e-3)
+
+
 def test_keys_do_not_depend_on_chunks(monkeypatch):
     rng = random.Random(4)
     texts = ["".join(rng.choice("ab é.X") for _ in range(rng.randint(0, 300))) for _ in range(20)] + [None, "", "!!"]
