@@ -144,6 +144,7 @@ def test_difference_of_whole_class_models(spark):
     assert unseen > 5
     # A text without any n-gram beyond the bound is not the same as one without words.
     assert model.differences(["a"])[0, 1] == 0 != model.differences(["a"])[0, 0]
+    counts.unpersist()
 
 
 def test_differences_joined_beyond_the_broadcast(spark, monkeypatch):
