@@ -16,8 +16,10 @@ The counts cover four training rows in five, not yet the fifth of the curve.  Pr
 aggregates and joins.  Scoring needs only the difference of the two log
 probabilities per history and symbol.  The table of these is exact: sorted keys
 and their ratios, broadcast for up to ``BROADCAST_ROWS`` n-grams (32 MB), beyond that
-joined to the n-grams of the texts.  Both ways give the same sums, as ratios
-are rounded to multiples of 2^-18, whose sums are exact.
+kept in sorted blocks in the shared folder.  A task then sums a text's words, and looks
+up the n-grams of the distinct words of about ``GROUP_BYTES`` of texts in one pass over the
+blocks; no text or n-gram of it is shuffled.  Both ways give the same sums, as
+ratios are rounded to multiples of 2^-18, whose sums are exact.
 
 Defined cases: null and empty texts, and texts without words, have
 difference 0; unlabelled rows and rows with null labels train nothing; of
@@ -27,20 +29,25 @@ among the training labels every score is ``UNTRAINED_SCORE``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ordertally.llm.blocks import rows_at, sorted_blocks
 from ordertally.llm.common import (
     BROADCAST_ROWS,
-    bounded_broadcast,
+    PIECE_ROWS,
     col,
     crc_of_id,
     fields,
+    groups,
     map_arrow,
     map_columns,
     pieces,
@@ -58,6 +65,9 @@ SHARED_WEIGHT = 4.0  # occurrences that the shared model counts for in each clas
 BUCKETS = 1 << 23  # of a table without keys
 RATIO_STEPS = 1 << 18  # ratios are multiples of one over this: exact as floats, and so are sums of them as doubles
 CHUNK = 1 << 18  # bytes of text handled at once
+GROUP_BYTES = 16 << 20  # of rows for which the blocks of a table are read once
+GROUP_WORDS = 250_000  # distinct words after which they are read again
+LABEL_GROUP_BYTES = 4 << 20  # of rows whose labels are looked up at once
 THRESHOLD = 0.3
 UNTRAINED_SCORE = 0.1
 # One training row in so many is left out of the counts for the curve, and
@@ -120,11 +130,19 @@ def _documents_with(data: bytes, ends: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield np.unique(keys[first], return_counts=True)
 
 
-def ngram_counts(labelled: DataFrame) -> DataFrame:
-    """(key, toxic, ordinary): documents with the n-gram, over all rows of ``labelled`` (text, label)."""
+def ngram_counts(labelled: DataFrame, label_of: Callable[[pa.Array], pa.Array] | None = None) -> DataFrame:
+    """(key, toxic, ordinary): documents with the n-gram, over all rows of ``labelled`` (text, label).
+
+    With ``label_of`` the rows are (text, doc_id), and those whose id has a label count.
+    """
+
+    def with_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in groups(batches, LABEL_GROUP_BYTES):
+            labels = label_of(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), labels], ["text", "label"]).filter(labels.is_valid())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches):
+        for b in pieces(with_labels(batches) if label_of else batches):
             label = np.array(b.column(1).to_pylist(), bool)
             texts = b.column(0).to_pylist()
             for kind in (True, False):
@@ -135,7 +153,7 @@ def ngram_counts(labelled: DataFrame) -> DataFrame:
                         [pa.array(keys), *map(pa.array, (n, zero) if kind else (zero, n))], ["key", "toxic", "ordinary"]
                     )
 
-    rows = map_arrow(labelled.select("text", "label"), run, "key long, toxic long, ordinary long")
+    rows = map_arrow(labelled.select("text", "doc_id" if label_of else "label"), run, "key long, toxic long, ordinary long")
     return rows.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -284,6 +302,36 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return weights, intercept
 
 
+def with_none(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(ratios, keys) with a last row, that of no n-gram."""
+    ratios = np.append(np.column_stack(columns), np.zeros((1, len(columns)), np.float32), axis=0)
+    return ratios, np.append(keys, np.iinfo(np.int64).max)
+
+
+def _row_of(keys: np.ndarray, known: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Row of each n-gram among the sorted ``known``: its own, else its history's if the symbol is known, else the last."""
+    keys = keys.view(np.int64)
+    at = np.searchsorted(known, keys)
+    new = np.flatnonzero(known[at] != keys)
+    after = keys[new] & ~np.int64(255)
+    at[new] = np.searchsorted(known, after)
+    none = (known[at[new]] != after) | ~symbols[keys[new] & 255]
+    at[new[none]] = len(known) - 1
+    return at
+
+
+def _sums(data: bytes, ends: np.ndarray, ratios: np.ndarray, row_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The ratios of each text's n-grams added up."""
+    sums = np.zeros((len(ends) + 1, ratios.shape[1]))
+    for s, keys, use in _chunks(data, ends):
+        value = np.where(use[:, None], ratios[row_of(keys)], 0).astype(np.float64)
+        # Places are dealt to their texts: each text's share of this chunk.
+        total = np.concatenate((np.zeros((1, value.shape[1])), np.cumsum(value, axis=0)))
+        edge = np.clip(ends, s, s + len(value)) - s
+        sums[1:] += total[edge]
+    return np.diff(sums, axis=0)
+
+
 @dataclass
 class ToxicityModel:
     # Broadcast arrays: the ratios, one row per key (their ``clear`` part as a second
@@ -294,7 +342,7 @@ class ToxicityModel:
     keys: object = None
     symbols: np.ndarray | None = None  # of each byte, whether the counts have it
     clear_weight: float = 0.0
-    table: DataFrame | None = None  # in place of the arrays: the table, joined to the texts' n-grams
+    table: list[str] | None = None  # in place of the arrays: files with the table's sorted blocks
 
     @property
     def untrained(self) -> bool:
@@ -304,28 +352,41 @@ class ToxicityModel:
         """Row of each n-gram: its own, else its history's if the symbol is known, else the last, which is 0."""
         if self.keys is None:
             return bucket_of(keys)
-        known, keys = self.keys.value, keys.view(np.int64)
-        at = np.searchsorted(known, keys)
-        new = np.flatnonzero(known[at] != keys)
-        after = keys[new] & ~np.int64(255)
-        at[new] = np.searchsorted(known, after)
-        none = (known[at[new]] != after) | ~self.symbols[keys[new] & 255]
-        at[new[none]] = len(known) - 1
-        return at
+        return _row_of(keys, self.keys.value, self.symbols)
 
     def differences(self, texts: list) -> np.ndarray:
         """Length-normalised log-likelihood difference of each text: a row per text, a column per column of the ratios."""
         data, ends = _joined(texts)
-        ratios = self.ratios.value.reshape(len(self.ratios.value), -1)
-        sums = np.zeros((len(texts) + 1, ratios.shape[1]))
-        for s, keys, use in _chunks(data, ends):
-            value = np.where(use[:, None], ratios[self._at(keys)], 0).astype(np.float64)
-            # Places are dealt to their texts: each text's share of this chunk.
-            total = np.concatenate((np.zeros((1, value.shape[1])), np.cumsum(value, axis=0)))
-            edge = np.clip(ends, s, s + len(value)) - s
-            sums[1:] += total[edge]
+        sums = _sums(data, ends, self.ratios.value.reshape(len(self.ratios.value), -1), self._at)
         sizes = np.diff(np.concatenate(([0], ends)))
-        return np.diff(sums, axis=0) / np.maximum(sizes - 1, 1)[:, None]
+        return sums / np.maximum(sizes - 1, 1)[:, None]
+
+    def _of_words(self, words: list[bytes]) -> np.ndarray:
+        """The sums of each word by the table's blocks."""
+        parts = [b" " + w + b" " for w in words]
+        data, ends = b"".join(parts), np.cumsum([len(p) for p in parts], dtype=np.int64)
+        found = [np.unique(k[use].view(np.int64)) for _, k, use in _chunks(data, ends)]
+        wanted = np.unique(np.concatenate([*found, *(k & ~np.int64(255) for k in found)]))
+        keys, *ratios = rows_at(self.table, wanted)
+        ratios, known = with_none(keys, ratios)
+        return _sums(data, ends, ratios, lambda k: _row_of(k, known, self.symbols))
+
+    def differences_by_words(self, texts: pa.Array) -> np.ndarray:
+        """``differences`` by the table's blocks: what a symbol adds depends on its word alone."""
+        out = np.zeros((len(texts), 2))
+        numbers, of = defaultdict(itertools.count().__next__), []
+        for at in range(0, len(texts), PIECE_ROWS):
+            for text in texts.slice(at, PIECE_ROWS).to_pylist():
+                words = words_of(text.lower()) if text else []
+                of.append((np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)), sum(map(len, words)) + len(words)))
+            last = at + PIECE_ROWS >= len(texts)
+            if numbers and (last or len(numbers) >= GROUP_WORDS):
+                sums = self._of_words(list(numbers))
+                end = min(at + PIECE_ROWS, len(texts))
+                for row, (words, size) in enumerate(of, end - len(of)):
+                    out[row] = sums[words].sum(axis=0) / max(size, 1)
+                numbers, of = defaultdict(itertools.count().__next__), []
+        return out
 
     def difference(self, texts: list) -> np.ndarray:
         return self.differences(texts)[:, 0]
@@ -337,70 +398,62 @@ class ToxicityModel:
         return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
 
 
-def ngrams_of(texts: DataFrame) -> DataFrame:
-    """(digest, key, n): how often each n-gram stands in the text, of rows (digest, text); equal texts once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches):
-            for digest, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                data, ends = _joined([text])
-                parts = [np.unique(k[use].view(np.int64), return_counts=True) for _, k, use in _chunks(data, ends)]
-                if parts:
-                    keys, of = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-                    n = np.bincount(of, np.concatenate([c for _, c in parts])).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([digest] * len(keys), pa.string()), pa.array(keys), pa.array(n)], ["digest", "key", "n"]
-                    )
-
-    rows = map_arrow(texts.select("digest", "text"), run, "digest string, key long, n long")
-    return rows.groupBy("digest", "key").agg(F.max("n").alias("n"))
-
-
-def joined_differences(docs: DataFrame, table: DataFrame, symbols: np.ndarray, keep: list[str]) -> DataFrame:
-    """``keep`` with (__all, __clear) by joins of the texts' n-grams with ``table``, for tables of any size."""
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    docs = docs.select(*[col(c) for c in keep], digest.alias("__digest"), F.col("text").alias("__text"))
-    grams = ngrams_of(docs.select(F.col("__digest").alias("digest"), F.col("__text").alias("text")))
-    after = table.select(F.col("key").alias("after"), F.col("ratio").alias("after_ratio"))
-    known = F.col("key").bitwiseAND(F.lit(255)).isin(np.flatnonzero(symbols).tolist())
-    grams = grams.join(table, "key", "left").withColumn("after", F.when(known, F.col("key").bitwiseAND(F.lit(~255))))
-    grams = grams.join(after, "after", "left")
-    whole = F.coalesce("ratio", "after_ratio", F.lit(0.0)).cast("double")
-    sums = grams.groupBy("digest").agg(
-        (F.sum(F.col("n") * whole) / F.sum("n")).alias("__all"),
-        (F.sum(F.col("n") * F.coalesce("clear", F.lit(0.0)).cast("double")) / F.sum("n")).alias("__clear"),
-    )
-    rows = docs.join(sums.withColumnRenamed("digest", "__digest"), "__digest", "left")
-    return rows.select(*[col(c) for c in keep], *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("__all", "__clear")])
-
-
 def with_differences(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """``keep`` with (__all, __clear): each text's difference and the part of it from n-grams that speak clearly."""
     if model.untrained:
         return docs.select(*[col(c) for c in keep], F.lit(0.0).alias("__all"), F.lit(0.0).alias("__clear"))
-    if model.table is not None:
-        return joined_differences(docs, model.table, model.symbols, keep)
     found = fields("__all double, __clear double")
+    if model.table is not None:
+        return map_columns(docs, ["text"], found, lambda t: list(model.differences_by_words(t).T), keep, GROUP_BYTES)
     return map_columns(docs, ["text"], found, lambda t: list(model.differences(t.to_pylist()).T), keep)
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, use) -> DataFrame:
-    """(doc_id, text, label) of the labelled documents that ``use`` (a condition on doc_id) admits."""
-    known = (
+def known_labels(labels: DataFrame, label: str, use: Column) -> DataFrame:
+    """(doc_id, label) of the labelled ids that ``use`` (a condition on doc_id) admits."""
+    return (
         labels.select("doc_id", col(label).cast("int").alias("label"))
         .filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & use)
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    return docs.select("doc_id", "text").filter(use).join(bounded_broadcast(known), "doc_id")
+
+
+def label_lookup(known: DataFrame) -> Callable[[pa.Array], pa.Array]:
+    """The label of each id, null for others, from sorted blocks: for labels of any number of documents."""
+    blocks = sorted_blocks(known.sparkSession, known.select(F.col("doc_id").cast("long").alias("key"), "label"), "labels")
+
+    def label_of(ids: pa.Array) -> pa.Array:
+        wanted, at = np.unique(ids.drop_null().to_numpy().astype(np.int64), return_inverse=True)
+        keys, labels = rows_at(blocks, wanted)
+        row = np.searchsorted(keys, wanted)
+        has = np.append(keys, 0)[row] == wanted
+        has &= row < len(keys)
+        found = np.zeros(len(ids), np.int32)
+        valid = ids.is_valid().to_numpy(zero_copy_only=False)
+        found[valid] = np.append(labels, 0)[row][at]
+        valid[valid] = has[at]
+        return pa.array(found, mask=~valid)
+
+    return label_of
 
 
 def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Fit on labelled rows whose crc32(doc_id) mod 4 is not 2."""
+    """Fit on labelled rows whose crc32(doc_id) mod 4 is not 2.
+
+    Labels of more than ``BROADCAST_ROWS`` documents are looked up by the tasks
+    that count, and joined to the figures of the curve's texts, so no text is
+    shuffled (but those of ids that are no integers).
+    """
     spark = docs.sparkSession
-    training = labelled_texts(docs, labels, "toxic", F.pmod(crc_of_id(), F.lit(4)) != 2)
+    use = F.pmod(crc_of_id(), F.lit(4)) != 2
     part = F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(CALIBRATION_SHARE))
-    counts = staged(spark, ngram_counts(training.filter(part != 0)), "ngram-counts")
+    training, known = docs.select("doc_id", "text").filter(use), known_labels(labels, "toxic", use)
+    few, label_of = known.count() <= BROADCAST_ROWS, None
+    if few or not all(isinstance(df.schema["doc_id"].dataType, T.IntegralType) for df in (docs, labels)):
+        training = training.join(F.broadcast(known) if few else known.hint("merge"), "doc_id")
+    else:
+        label_of = label_lookup(known)
+    counts = staged(spark, ngram_counts(training.filter(part != 0), label_of), "ngram-counts")
     seen = counts.agg(F.sum("toxic"), F.sum("ordinary"), F.count("*")).first()
     if not seen[0] or not seen[1]:
         return ToxicityModel()
@@ -409,14 +462,14 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     symbols[[r[0] for r in counts.select(F.col("key").bitwiseAND(F.lit(255))).distinct().collect()]] = True
     if seen[2] <= BROADCAST_ROWS:  # there are at most as many histories as n-grams
         rows = table.toArrow().sort_by("key")
-        # The last row is that of no n-gram.
-        keys = np.append(rows["key"].to_numpy(), np.iinfo(np.int64).max)
-        ratios = np.append(np.column_stack([rows["ratio"].to_numpy(), rows["clear"].to_numpy()]), np.zeros((1, 2), np.float32), axis=0)
+        ratios, keys = with_none(rows["key"].to_numpy(), [rows[c].to_numpy() for c in ("ratio", "clear")])
         model = ToxicityModel(spark.sparkContext.broadcast(ratios), keys=spark.sparkContext.broadcast(keys), symbols=symbols)
     else:
-        model = ToxicityModel(table=staged(spark, table, "ngram-ratios"), symbols=symbols)
+        model = ToxicityModel(table=sorted_blocks(spark, table, "ngram-ratios"), symbols=symbols)
     held = training.filter(part == 0).withColumn("__at", F.xxhash64("doc_id"))
-    held = with_differences(held, model, ["__at", "doc_id", "label"])
+    held = with_differences(held, model, ["__at", "doc_id"] if label_of else ["__at", "doc_id", "label"])
+    if label_of:
+        held = held.join(known.hint("merge"), "doc_id")
     curve = held.orderBy("__at", "doc_id", "__all", "__clear").limit(CALIBRATION_ROWS).select("__all", "__clear", "label").toPandas()
     x, y = curve[["__all", "__clear"]].to_numpy(float), (curve["label"] > 0).to_numpy(float)
     if 0 < y.sum() < len(y):

@@ -9,10 +9,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ordertally.llm import chat_format, near_dup, quality_rank, quality_rules, toxicity
+from ordertally.llm import blocks, chat_format, common, near_dup, quality_rank, quality_rules, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -162,6 +163,77 @@ def test_differences_joined_beyond_the_broadcast(spark, monkeypatch):
     assert rows(joined) == want and len(want) == len(texts)
 
 
+def test_beyond_the_broadcast_no_text_is_shuffled(spark, monkeypatch):
+    """The table of n-grams, and labels, are read by the tasks: the plans have no exchange, the results are the same."""
+    rng = random.Random(4)
+    word = lambda k: "".join(rng.choice(k) for _ in range(rng.randint(1, 9)))
+    texts = [" ".join(word("aabcé" if i % 3 else "abbce") for _ in range(rng.randint(0, 40))) for i in range(90)]
+    texts += [None, "", "…", "zzz abq", "a" * 300 + " b", "Q ab" * 200]
+    docs = documents(spark, texts).withColumn("doc_id", F.expr("cast(if(doc_id > 92, null, if(doc_id = 7, 8, doc_id)) as int)"))
+    labels = [(i, int(i % 3 == 0)) for i in range(0, 94, 2)] + [(8, 1), (None, 1), (10, None), (5000, 1)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    broadcast = toxicity.train(docs, labels)
+    scores = rows(toxicity.score_toxicity(docs, broadcast))
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(toxicity, "GROUP_BYTES", 2000)
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 60)
+    counted, plans = toxicity.ngram_counts, []
+    monkeypatch.setattr(toxicity, "ngram_counts", lambda df, *a: plans.append(df) or counted(df, *a))
+    model = toxicity.train(docs, labels)
+    assert broadcast.table is None and len(model.table) > 2
+    assert (model.weight, model.clear_weight, model.intercept) == (broadcast.weight, broadcast.clear_weight, broadcast.intercept)
+    scored = toxicity.score_toxicity(docs, model)
+    assert rows(scored) == scores
+    for df in (scored, *plans):
+        assert "Exchange" not in df._jdf.queryExecution().toString()
+
+    # The words of several parts of the texts, looked up in several passes.
+    monkeypatch.setattr(toxicity, "PIECE_ROWS", 4)
+    monkeypatch.setattr(toxicity, "GROUP_WORDS", 20)
+    got = model.differences_by_words(pa.array([None, "", *texts, "", None]))
+    assert np.array_equal(got[2:-2], broadcast.differences(texts)) and not got[[0, 1, -2, -1]].any()
+    assert model.differences_by_words(pa.array(["", None, ",", "", "."])).tolist() == [[0.0, 0.0]] * 5
+
+
+def test_counts_with_labels_looked_up(spark):
+    texts = [f"w{i % 7} q{i}" for i in range(40)] + [None]
+    docs = documents(spark, texts).withColumn("doc_id", F.expr("cast(if(doc_id = 5, null, doc_id % 30) as int)"))
+    labels = spark.createDataFrame([(i, (i or 0) % 2, k) for k in range(2) for i in [0, -3, 8, 9, 29, 5, 77, None]], "doc_id long, toxic int, n int")
+    labels = labels.withColumn("toxic", F.expr("if(n = 1 and doc_id = 8, 1, if(doc_id = 9, null, toxic))"))
+    known = toxicity.known_labels(labels, "toxic", F.col("doc_id") != 0)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(known) == [(-3, 1), (5, 1), (8, 1), (29, 1), (77, 1)]
+    label_of = toxicity.label_lookup(known)
+    assert label_of(pa.array([8, None, 9, 8, -3, 78, -4, 0], pa.int32())).to_pylist() == [1, None, None, 1, 1, None, None, None]
+    assert label_of(pa.array([None], pa.int64())).to_pylist() == [None] and label_of(pa.array([], pa.int64())).to_pylist() == []
+    got = rows(toxicity.ngram_counts(docs, label_of))
+    assert got and got == rows(toxicity.ngram_counts(docs.join(known, "doc_id")))
+
+
+def test_rows_of_sorted_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 70)
+    rows = [(7 * i - 900, float(i), -i) for i in range(500)]
+    table = spark.createDataFrame(random.Random(3).sample(rows, 500), "key long, x double, y int")
+    files = blocks.sorted_blocks(spark, table, "trial")
+    assert len(files) > 3
+    for wanted in ([-(2**63), -901, -900, -893, 0, 3, 2593, 2594, 2**63 - 1], range(-1000, 3000), [5], [], [-900], [2593]):
+        found = [r for r in rows if r[0] in set(wanted)]
+        key, x, y = blocks.rows_at(files, np.array(list(wanted), np.int64))
+        assert [*zip(key.tolist(), x.tolist(), y.tolist(), strict=True)] == found and y.dtype == np.int32
+
+
+def test_columns_of_groups(spark):
+    """Groups go to the function whole; rows and their order are those of pieces."""
+    df = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(3000)], "i int, t string").coalesce(1)
+    of = lambda t: [[len(t)] * len(t)]
+    one, many = (
+        common.map_columns(df, ["t"], common.fields("n long"), of, group_bytes=b).collect() for b in (0, 1 << 30)
+    )
+    assert {r.n for r in one} == {common.PIECE_ROWS} and {r.n for r in many} == {3000}
+    assert [r[:2] for r in one] == [r[:2] for r in many] and [r.i for r in many] == list(range(3000))
+
+
 def test_a_curve_falls_in_no_column():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 2))
