@@ -6,7 +6,7 @@ import corpus_pipeline
 import __spark_entry__ as entry
 from pyspark.sql import functions as F
 
-from ordertally.llm import decontaminate, near_dup, packing, pii, registry
+from ordertally.llm import decontaminate, near_dup, packing, pii, registry, toxicity
 from ordertally.llm.common import words_of
 
 
@@ -67,3 +67,16 @@ def test_queries_equal_their_sql(spark):
         names = [d[0] for d in want.description]
         assert sorted(names) == sorted(got.columns)
         assert sorted(map(str, (tuple(r) for r in got.select(names).collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_toxicity_stage_shuffles_no_text_beyond_the_broadcast(spark, monkeypatch):
+    """Its plan has no exchange, and it keeps the same rows, those without an id or text and repeated ones too."""
+    texts = ["nice words here"] * 30 + ["awful scum trash"] * 30 + ["nice scum", "zzz nicer", "zzz nicer", None, ""]
+    rows = [(None if i == 61 else min(i, 63), t, "en", "s", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i >= 30)) for i in range(60)], "doc_id long, toxic int")
+    want = sorted(map(str, toxicity.drop_toxic(docs, labels).collect()))
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 0)
+    kept = toxicity.drop_toxic(docs, labels)
+    assert "Exchange" not in kept._jdf.queryExecution().toString() and kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == want and 34 <= len(want) < len(texts)
